@@ -75,6 +75,8 @@ def dangling(fact: DataFrame, dim: DataFrame, key: str, check: str) -> DataFrame
 
 @dataclass(frozen=True)
 class Star:
+    """The four Gold tables.  Anything with these attributes will do."""
+
     fact_sales: DataFrame
     dim_customer: DataFrame
     dim_product: DataFrame

@@ -11,7 +11,7 @@ import yaml
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructType
+from pyspark.sql.types import StructType
 
 from lakemart.functions.columns import is_blank
 
@@ -90,8 +90,12 @@ def load_expectations(dataset: str, path: str | Path = RULES_DIR / "expectations
 
 def validate_rules(spark: SparkSession, rules: Iterable[Rule], schema: StructType) -> list[str]:
     """Every defect of the rules against a table schema, as messages."""
-    probe = spark.createDataFrame([], schema)
+    return _defects(spark.createDataFrame([], schema), list(rules))
+
+
+def _defects(probe: DataFrame, rules: list[Rule]) -> list[str]:
     errors = []
+    usable = []
     for rule in rules:
         label = rule.name or "(unnamed rule)"
         if not rule.name:
@@ -104,19 +108,24 @@ def validate_rules(spark: SparkSession, rules: Iterable[Rule], schema: StructTyp
         missing = [a for a in FUNCTIONS[rule.function] if not rule.arguments.get(a)]
         if missing:
             errors.append(f"{label}: missing argument {', '.join(missing)}")
-            continue
-        try:
-            test = probe.select(rule.failed().alias("failed"))
-            if rule.function == "sql_expression":
-                kind = probe.select(F.expr(rule.arguments["expression"]).alias("e")).schema["e"].dataType
-                if not isinstance(kind, BooleanType):
-                    errors.append(f"{label}: expression is {kind.simpleString()}, not boolean")
-            test.schema  # analysis only
-        except PySparkException as problem:
-            errors.append(f"{label}: {str(problem).splitlines()[0]}")
+        else:
+            usable.append(rule)
+    if _problem(probe, usable):
+        # Look at them one by one only to name the culprits.
+        found = ((rule, _problem(probe, [rule])) for rule in usable)
+        errors += [f"{rule.name}: {text}" for rule, text in found if text]
     return errors
 
 
+def _problem(probe: DataFrame, rules: list[Rule]) -> str:
+    """What the analyser says about the rules; nothing is executed."""
+    try:
+        probe.select(*(r.failed().alias(f"r{i}") for i, r in enumerate(rules)))
+    except PySparkException as problem:
+        return str(problem).splitlines()[0]
+    return ""
+
+
 # --------------------------------------------------------------------- split
 
 ERROR_TYPE = "array<struct<name:string,criticality:string,message:string>>"
@@ -130,7 +139,7 @@ def _parsing_rules(df: DataFrame) -> list[Rule]:
 
 def _checked(df: DataFrame, rules: Iterable[Rule]) -> list[Rule]:
     rules = [*rules, *_parsing_rules(df)]
-    problems = validate_rules(df.sparkSession, rules, df.schema)
+    problems = _defects(df, rules)
     if problems:
         raise ValueError("invalid quality rules: " + "; ".join(problems))
     return rules

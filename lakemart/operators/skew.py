@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 
 
+def is_bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only if it was counted to be small.
 
     A larger one is returned unmarked: the join then shuffles, and adaptive
     execution splits its skewed partitions.
     """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
+    return F.broadcast(df) if is_bounded(df, max_rows) else df
 
 
 def heavy_keys(df: DataFrame, key: Column, parts: int = 200) -> DataFrame:

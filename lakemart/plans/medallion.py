@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from lakemart.operators import cdc, gates, gold, quality, silver
+from lakemart.operators import cdc, gold, quality, silver
 
 # Order in which repeated sales are told apart: oldest first, then every value.
 SALES_ORDER = (
@@ -53,29 +52,34 @@ class Medallion:
         """Before deduplication."""
         return silver.transactions(self.bronze.transactions())
 
-    def _silver(self, dataset: str) -> DataFrame:
-        sources: dict[str, Callable[[], DataFrame]] = {
-            "transactions": lambda: cdc.deduplicate(self.cleaned_transactions, "transaction_id", SALES_ORDER),
-            "opportunity": lambda: silver.opportunity(self.bronze.opportunity()),
-            "inventory": lambda: silver.inventory(self.inventory_current),
-            "product_catalog": lambda: silver.product_catalog(self.product_history),
-            "account": lambda: silver.account(self.account_history),
-        }
-        return sources[dataset]()
+    @cached_property
+    def silver_transactions(self) -> DataFrame:
+        return cdc.deduplicate(self.cleaned_transactions, "transaction_id", SALES_ORDER)
+
+    @cached_property
+    def silver_opportunity(self) -> DataFrame:
+        return silver.opportunity(self.bronze.opportunity())
 
     @cached_property
-    def silver(self) -> dict[str, DataFrame]:
-        return {d: self._silver(d) for d in quality.DATASETS}
+    def silver_inventory(self) -> DataFrame:
+        return silver.inventory(self.inventory_current)
 
     @cached_property
-    def rules(self) -> dict[str, list[quality.Rule]]:
-        return {d: quality.load_rules(d) for d in quality.DATASETS}
+    def silver_product_catalog(self) -> DataFrame:
+        return silver.product_catalog(self.product_history)
+
+    @cached_property
+    def silver_account(self) -> DataFrame:
+        return silver.account(self.account_history)
+
+    def silver(self, dataset: str) -> DataFrame:
+        return getattr(self, f"silver_{dataset}")
 
     def valid(self, dataset: str) -> DataFrame:
-        return quality.valid_rows(self.silver[dataset], self.rules[dataset])
+        return quality.valid_rows(self.silver(dataset), quality.load_rules(dataset))
 
     def quarantine(self, dataset: str) -> DataFrame:
-        return quality.quarantined_rows(self.silver[dataset], self.rules[dataset])
+        return quality.quarantined_rows(self.silver(dataset), quality.load_rules(dataset))
 
     # -------------------------------------------------------------- gold
     @cached_property
@@ -93,7 +97,3 @@ class Medallion:
     @cached_property
     def fact_sales(self) -> DataFrame:
         return gold.fact_sales(self.valid("transactions"), self.valid("opportunity"))
-
-    @property
-    def star(self) -> gates.Star:
-        return gates.Star(self.fact_sales, self.dim_customer, self.dim_product, self.dim_date)

@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampType
 
-from lakemart.operators import cdc, gates, quality, security
+from lakemart.operators import cdc, chat, documents, gates, gold, quality, retrieval, security, silver
 from lakemart.plans import marts, semantics
 from lakemart.plans.medallion import Medallion
 from lakemart.plans.samples import SampleBronze
+from lakemart.sources.tables import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,7 +47,8 @@ def _layers(build: Callable[[Medallion], DataFrame]) -> Query:
 
 
 def _mart(build: Callable[[gates.Star], DataFrame]) -> Query:
-    return _layers(lambda m: build(m.star))
+    # A Medallion is a star whose tables are planned only when asked for.
+    return _layers(build)
 
 
 def _day(name: str):
@@ -104,7 +106,7 @@ def _all_reasons(m: Medallion) -> DataFrame:
 
 
 def _reconciliation(m: Medallion) -> DataFrame:
-    return gates.reconcile({d: (m.silver[d], m.valid(d), m.quarantine(d)) for d in quality.DATASETS})
+    return gates.reconcile({d: (m.silver(d), m.valid(d), m.quarantine(d)) for d in quality.DATASETS})
 
 
 def _policy(m: Medallion) -> security.Policy:
@@ -130,15 +132,140 @@ def _phone_mask(m: Medallion) -> DataFrame:
     return views[0].unionByName(views[1])
 
 
+# ------------------------------------------------------------------ documents
+
+
+def _sales_summary(m: Medallion) -> DataFrame:
+    return documents.product_sales_summary(m.fact_sales)
+
+
+def _product_documents(m: Medallion) -> DataFrame:
+    return documents.product_documents(m.dim_product, _sales_summary(m))
+
+
+def _page_documents(m: Medallion) -> DataFrame:
+    return documents.page_documents(m.bronze.table("pages"))
+
+
+def _document_chunks(m: Medallion) -> DataFrame:
+    return documents.combine(documents.chunk(documents.text_documents(m.bronze.table("documents"))))
+
+
+def _page_chunks(m: Medallion) -> DataFrame:
+    return documents.explode_prepared(documents.prepare(_page_documents(m)))
+
+
+def _rag_chunks(m: Medallion) -> DataFrame:
+    return documents.combine(documents.chunk(_product_documents(m)), _page_chunks(m))
+
+
+def _questions(m: Medallion) -> DataFrame:
+    return m.bronze.table("benchmark").select(
+        F.col("item_id").alias("question_id"), F.col("text").alias("question")
+    )
+
+
+def _label_centres(m: Medallion) -> DataFrame:
+    """Mean vector of each label, as the vectors to search for."""
+    places = m.bronze.table("embeddings").select("label", F.posexplode("embedding").alias("place", "x"))
+    means = places.groupBy("label", "place").agg(F.avg(F.col("x").cast("double")).alias("mean"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("place", "mean"))), lambda p: p.mean)
+    return means.groupBy("label").agg(listed.alias("embedding"))
+
+
+def _vector_topk(m: Medallion) -> DataFrame:
+    return retrieval.vector_topk(
+        _label_centres(m), m.bronze.table("embeddings").select("vec_id", "embedding"), 10, "label", "vec_id"
+    )
+
+
+def _lsh_topk(m: Medallion) -> DataFrame:
+    index = retrieval.LshIndex().fit(m.bronze.table("embeddings").select("vec_id", "embedding"))
+    return index.topk(_label_centres(m), 10, "label", "vec_id")
+
+
+def _bm25_topk(m: Medallion) -> DataFrame:
+    return retrieval.bm25_topk(_questions(m), _document_chunks(m))
+
+
+def _hybrid(m: Medallion, chunks: DataFrame) -> DataFrame:
+    embedder = retrieval.HashedEmbedder().fit(chunks, "chunk_to_embed")
+    return retrieval.hybrid_topk(_questions(m), chunks, embedder)
+
+
+def _hybrid_topk(m: Medallion) -> DataFrame:
+    return _hybrid(m, materialize(_document_chunks(m), "document-chunks"))
+
+
+def _retrieval_context(m: Medallion) -> DataFrame:
+    chunks = materialize(_rag_chunks(m), "rag-chunks")
+    hits = retrieval.retrieved_columns(_hybrid(m, chunks), chunks)
+    return retrieval.contexts(_questions(m), hits)
+
+
+def _catalog_chunks(m: Medallion, versions: DataFrame) -> DataFrame:
+    """Chunks of the product documents of one state of the catalog."""
+    never_sold = m.spark.createDataFrame(
+        [], "product_id string, total_units_sold bigint, total_net_sales decimal(24,2), transaction_count bigint"
+    )
+    current = silver.product_catalog(versions.withColumn("__END_AT", F.lit(None).cast("timestamp")))
+    return documents.combine(documents.chunk(documents.product_documents(gold.dim_product(current), never_sold)))
+
+
+def _index_sync(m: Medallion) -> DataFrame:
+    """Which run embedded each chunk after the catalog moved on from May 2024."""
+    day, end = F.lit("2024-05-01").cast("timestamp"), F.col("__END_AT")
+    versions = materialize(m.product_history, "product-history")
+    may = versions.filter((F.col("__START_AT") <= day) & (end.isNull() | (end > day)))
+    old = materialize(_catalog_chunks(m, may), "old-chunks")
+    new = materialize(_catalog_chunks(m, versions.filter(end.isNull())), "new-chunks")
+    embedder = retrieval.HashedEmbedder().fit(old, "chunk_to_embed")
+
+    def embed(chunks: DataFrame, run: str) -> DataFrame:
+        return embedder.embed(chunks, "chunk_to_embed").select("chunk_id", "embedding", F.lit(run).alias("run"))
+
+    synced = retrieval.sync_index(embed(old, "first"), old, new, lambda chunks: embed(chunks, "second"))
+    return synced.select("chunk_id", "run", F.size("embedding").alias("dimensions"))
+
+
+def _history_items(m: Medallion) -> DataFrame:
+    """Conversation turns as replayed items, assistants in four spellings."""
+    turns = m.bronze.table("conversations")
+    return turns.selectExpr(
+        "conv_id",
+        "turn",
+        """parse_json(case
+             when role != 'assistant' then to_json(named_struct('role', role, 'content', text))
+             when (conv_id + turn) % 4 = 0 then to_json(named_struct('type', 'message', 'role', role, 'content', text))
+             when (conv_id + turn) % 4 = 1 then to_json(named_struct('type', 'message', 'role', role, 'content', array(
+                    named_struct('type', 'output_text', 'text', text), named_struct('type', 'refusal', 'text', 'no'),
+                    named_struct('type', 'output_text', 'text', 'end'))))
+             when (conv_id + turn) % 4 = 2 then to_json(named_struct('id', concat('m', conv_id), 'type', 'message', 'role', role,
+                    'content', array(named_struct('type', 'output_text', 'text', text))))
+             else to_json(named_struct('role', role, 'content', text)) end) as item""",
+    )
+
+
+def _normalized_history(m: Medallion) -> DataFrame:
+    done = chat.normalize_history(_history_items(m))
+    return done.select(
+        "conv_id",
+        "turn",
+        "collapsed",
+        *(F.try_variant_get("item", f"$.{f}", "string").alias(f) for f in ("id", "type", "role")),
+        F.try_variant_get("item", "$.content", "string").alias("content"),
+    )
+
+
 def build_queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for d in quality.DATASETS:
         if d == "transactions":
             q["silver_transactions"] = _layers(lambda m: m.cleaned_transactions)
-            q["dedup_transactions"] = _layers(lambda m: m.silver["transactions"])
+            q["dedup_transactions"] = _layers(lambda m: m.silver("transactions"))
         else:
-            q[f"silver_{d}"] = _layers(lambda m, d=d: m.silver[d])
-        q[f"expect_{d}"] = _layers(lambda m, d=d: quality.measure(m.silver[d], quality.load_expectations(d)))
+            q[f"silver_{d}"] = _layers(lambda m, d=d: m.silver(d))
+        q[f"expect_{d}"] = _layers(lambda m, d=d: quality.measure(m.silver(d), quality.load_expectations(d)))
         q[f"valid_{d}"] = _layers(lambda m, d=d: m.valid(d))
         q[f"quarantine_{d}"] = _layers(lambda m, d=d: m.quarantine(d))
     q["quarantine_reasons"] = _layers(_all_reasons)
@@ -177,4 +304,19 @@ def build_queries() -> dict[str, Query]:
         )
     )
     q["entity_values"] = _mart(semantics.entity_values)
+
+    q["product_sales_summary"] = _layers(_sales_summary)
+    q["product_documents"] = _layers(_product_documents)
+    q["product_chunks"] = _layers(lambda m: documents.combine(documents.chunk(_product_documents(m))))
+    q["document_chunks"] = _layers(_document_chunks)
+    q["page_text"] = _layers(_page_documents)
+    q["page_chunks"] = _layers(lambda m: documents.combine(_page_chunks(m)))
+    q["rag_chunks"] = _layers(_rag_chunks)
+    q["index_sync"] = _layers(_index_sync)
+    q["vector_topk"] = _layers(_vector_topk)
+    q["lsh_topk"] = _layers(_lsh_topk)
+    q["bm25_topk"] = _layers(_bm25_topk)
+    q["hybrid_topk"] = _layers(_hybrid_topk)
+    q["retrieval_context"] = _layers(_retrieval_context)
+    q["normalized_history"] = _layers(_normalized_history)
     return q

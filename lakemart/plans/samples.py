@@ -8,8 +8,26 @@ amounts, repeated keys, changes and deletes.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+
+def _versions(key: str) -> str:
+    """insert; an unchanged update; a real update; a delete."""
+    return f"""inline(array_compact(array(
+        named_struct('op', 'I', 'seq', timestamp'2024-01-01', 'version', 1),
+        if({key} % 5 = 0, named_struct('op', 'U', 'seq', timestamp'2024-03-01', 'version', 1), null),
+        if({key} % 3 = 0, named_struct('op', 'U', 'seq', timestamp'2024-06-01', 'version', 2), null),
+        if({key} % 101 = 0, named_struct('op', 'D', 'seq', timestamp'2024-09-01', 'version', if({key} % 3 = 0, 2, 1)), null))))"""
+
+
+def _address(kind: str) -> list[str]:
+    return [
+        f"concat(' Street ', c_custkey) as {kind}Street",
+        f"if(c_custkey % 29 != 0, concat('City ', c_nationkey), null) as {kind}City",
+        f"n_name as {kind}State",
+        f"lpad(string(c_custkey), 8, '0') as {kind}PostalCode",
+        f"r_name as {kind}Country",
+    ]
 
 
 class SampleBronze:
@@ -22,195 +40,118 @@ class SampleBronze:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    # ------------------------------------------------------------- sales
-
     def transactions(self) -> DataFrame:
-        order, line, store = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_suppkey")
-        price = F.col("l_extendedprice").cast("decimal(10,2)")
-        sold = F.timestamp_add(
-            "SECOND",
-            F.pmod(order * 37 + line, F.lit(86400)).cast("int"),
-            F.col("l_shipdate").cast("timestamp"),
+        price = "cast(l_extendedprice as decimal(10,2))"
+        sold = (
+            "timestampadd(SECOND, int(pmod(l_orderkey * 37 + l_linenumber, 86400)), cast(l_shipdate as timestamp))"
         )
-        return self.table("lineitem").select(
-            F.when(order % 113 == 0, F.lit("  "))
-            .when(order % 127 != 0, F.concat(F.lit(" txn"), order, F.lit("-"), line, F.lit(" ")))
-            .alias("transaction_id"),
-            F.when(order % 61 != 0, F.concat(F.lit(" oPP "), order, F.lit(" "))).alias("opportunity_name"),
-            F.concat(F.lit(" p"), F.col("l_partkey")).alias("product_id"),
-            F.concat(F.lit("s"), store).alias("store_id"),
-            F.when(order % 97 == 0, F.lit("0"))
-            .when(order % 79 == 0, F.lit("n/a"))
-            .otherwise(F.col("l_quantity").cast("int").cast("string"))
-            .alias("quantity"),
-            price.alias("selling_price"),
-            (price * F.col("l_discount").cast("decimal(4,2)")).cast("decimal(10,2)").alias("discount_amount"),
-            F.when(order % 89 == 0, F.lit("not recorded"))
-            .otherwise(F.date_format(sold, "dd-MMM-yyyy hh.mm.ss a"))
-            .alias("transaction_timestamp"),
-            F.when(order % 50 == 0, F.lit("Cheque"))
-            .when(store % 4 == 0, F.lit("BLIK"))
-            .when(store % 4 == 1, F.lit(" Card "))
-            .when(store % 4 == 2, F.lit("Cash"))
-            .otherwise(F.lit("Bank Transfer "))
-            .alias("payment_mode"),
-            F.when(F.col("l_linestatus") == "O", F.lit(" Online")).otherwise(F.lit("Store ")).alias("sales_channel"),
+        return self.table("lineitem").selectExpr(
+            """case when l_orderkey % 113 = 0 then '  '
+                    when l_orderkey % 127 != 0 then concat(' txn', l_orderkey, '-', l_linenumber, ' ')
+               end as transaction_id""",
+            "if(l_orderkey % 61 != 0, concat(' oPP ', l_orderkey, ' '), null) as opportunity_name",
+            "concat(' p', l_partkey) as product_id",
+            "concat('s', l_suppkey) as store_id",
+            """case when l_orderkey % 97 = 0 then '0' when l_orderkey % 79 = 0 then 'n/a'
+                    else string(int(l_quantity)) end as quantity""",
+            f"{price} as selling_price",
+            f"cast({price} * cast(l_discount as decimal(4,2)) as decimal(10,2)) as discount_amount",
+            f"""if(l_orderkey % 89 = 0, 'not recorded', date_format({sold}, 'dd-MMM-yyyy hh.mm.ss a'))
+                as transaction_timestamp""",
+            """case when l_orderkey % 50 = 0 then 'Cheque' when l_suppkey % 4 = 0 then 'BLIK'
+                    when l_suppkey % 4 = 1 then ' Card ' when l_suppkey % 4 = 2 then 'Cash'
+                    else 'Bank Transfer ' end as payment_mode""",
+            "if(l_linestatus = 'O', ' Online', 'Store ') as sales_channel",
         )
 
     def opportunity(self) -> DataFrame:
-        key, status = F.col("o_orderkey"), F.col("o_orderstatus")
-        ordered = F.col("o_orderdate").cast("timestamp")
-        won = status == "F"
-        text = F.lit(None).cast("string")
-        return self.table("orders").select(
-            F.concat(F.lit("OPP-"), key).alias("Id"),
-            (key % 53 == 0).alias("IsDeleted"),
-            F.when(key % 83 == 0, F.lit(" ")).otherwise(F.concat(F.lit("ACC-"), F.col("o_custkey"))).alias("AccountId"),
-            F.concat(F.lit("Opp "), key).alias("Name"),
-            F.col("o_orderpriority").alias("Description"),
-            F.when(key % 59 == 0, F.lit("Stalled"))
-            .when(key % 41 != 0, F.when(won, "Closed Won").when(status == "O", "Negotiation/Review").otherwise("Prospecting"))
-            .alias("StageName"),
-            F.col("o_totalprice").cast("decimal(18,2)").alias("Amount"),
-            F.when(key % 67 == 0, F.lit(120.0)).when(won, F.lit(100.0)).when(status == "O", F.lit(60.0)).otherwise(F.lit(10.0)).alias("Probability"),
-            ordered.cast("date").alias("CloseDate"),
-            F.lit("New Business").alias("Type"),
-            text.alias("NextStep"),
-            F.lit("Web").alias("LeadSource"),
-            won.alias("IsClosed"),
-            won.alias("IsWon"),
-            F.when(won, "Closed").otherwise("Pipeline").alias("ForecastCategory"),
-            F.concat(F.lit("USR-"), F.col("o_custkey") % 10).alias("OwnerId"),
-            F.timestamp_add("DAY", F.lit(-30), ordered).alias("CreatedDate"),
-            ordered.alias("LastModifiedDate"),
-        )
-
-    # ------------------------------------------------------------- feeds
-
-    @staticmethod
-    def _versions(key: Column, middle: Column) -> Column:
-        """insert; an unchanged update; a real update; a delete."""
-
-        def change(op: str, day: str, version: Column) -> Column:
-            return F.struct(
-                F.lit(op).alias("op"),
-                F.lit(day).cast("timestamp").alias("seq"),
-                version.alias("version"),
-            )
-
-        one, two = F.lit(1), F.lit(2)
-        return F.inline(
-            F.array_compact(
-                F.array(
-                    change("I", "2024-01-01", one),
-                    F.when(middle, change("U", "2024-03-01", one)),
-                    F.when(key % 3 == 0, change("U", "2024-06-01", two)),
-                    F.when(key % 101 == 0, change("D", "2024-09-01", F.when(key % 3 == 0, two).otherwise(one))),
-                )
-            )
+        return self.table("orders").selectExpr(
+            "concat('OPP-', o_orderkey) as Id",
+            "o_orderkey % 53 = 0 as IsDeleted",
+            "if(o_orderkey % 83 = 0, ' ', concat('ACC-', o_custkey)) as AccountId",
+            "concat('Opp ', o_orderkey) as Name",
+            "o_orderpriority as Description",
+            """case when o_orderkey % 59 = 0 then 'Stalled'
+                    when o_orderkey % 41 = 0 then null
+                    when o_orderstatus = 'F' then 'Closed Won'
+                    when o_orderstatus = 'O' then 'Negotiation/Review'
+                    else 'Prospecting' end as StageName""",
+            "cast(o_totalprice as decimal(18,2)) as Amount",
+            """case when o_orderkey % 67 = 0 then 120.0D when o_orderstatus = 'F' then 100.0D
+                    when o_orderstatus = 'O' then 60.0D else 10.0D end as Probability""",
+            "cast(o_orderdate as date) as CloseDate",
+            "'New Business' as Type",
+            "cast(null as string) as NextStep",
+            "'Web' as LeadSource",
+            "o_orderstatus = 'F' as IsClosed",
+            "o_orderstatus = 'F' as IsWon",
+            "if(o_orderstatus = 'F', 'Closed', 'Pipeline') as ForecastCategory",
+            "concat('USR-', o_custkey % 10) as OwnerId",
+            "timestampadd(DAY, -30, cast(o_orderdate as timestamp)) as CreatedDate",
+            "cast(o_orderdate as timestamp) as LastModifiedDate",
         )
 
     def account_feed(self) -> DataFrame:
-        key = F.col("c_custkey")
-        places = self.table("nation").join(
-            self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
-        )
-        rows = self.table("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-        rows = rows.select("*", self._versions(key, key % 5 == 0))
-        version = F.col("version")
-        street = F.concat(F.lit(" Street "), key)
-        city = F.when(key % 29 != 0, F.concat(F.lit("City "), F.col("c_nationkey")))
-        post = F.lpad(key.cast("string"), 8, "0")
-        return rows.select(
+        nations = self.table("nation").join(self.table("region").withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
+        rows = self.table("customer").join(nations.withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey")
+        return rows.selectExpr("*", _versions("c_custkey")).selectExpr(
             "op",
             "seq",
-            F.concat(F.lit(" ACC-"), key).alias("Id"),
-            F.when(key % 211 != 0, F.lit(False)).alias("IsDeleted"),
-            F.concat(F.lit(" "), F.col("c_name"), F.lit(" ")).alias("Name"),
-            F.col("c_mktsegment").alias("Type"),
-            F.when(key % 10 == 0, F.concat(F.lit("ACC-"), F.floor(key / 10))).alias("ParentId"),
-            *(
-                value.alias(f"{kind}{part}")
-                for kind in ("Billing", "Shipping")
-                for part, value in (
-                    ("Street", street),
-                    ("City", city),
-                    ("State", F.col("n_name")),
-                    ("PostalCode", post),
-                    ("Country", F.col("r_name")),
-                )
-            ),
-            F.when(key % 17 != 0, F.concat(F.lit("+48 "), key, F.lit("-"), version)).alias("Phone"),
-            F.concat(F.lit("https://shop"), key, F.lit(".example.com")).alias("Website"),
-            F.when(key % 13 == 1, F.lit(" Retail ")).when(key % 13 > 1, F.lit("Wholesale")).alias("Industry"),
-            F.col("c_acctbal").cast("decimal(18,2)").alias("AnnualRevenue"),
-            F.when(key % 103 == 0, F.lit(-5)).otherwise((key % 500).cast("int") + (version - 1) * 10).alias("NumberOfEmployees"),
-            F.concat(F.lit("segment "), F.col("c_mktsegment")).alias("Description"),
+            "concat(' ACC-', c_custkey) as Id",
+            "if(c_custkey % 211 != 0, false, null) as IsDeleted",
+            "concat(' ', c_name, ' ') as Name",
+            "c_mktsegment as Type",
+            "if(c_custkey % 10 = 0, concat('ACC-', c_custkey div 10), null) as ParentId",
+            *_address("Billing"),
+            *_address("Shipping"),
+            "if(c_custkey % 17 != 0, concat('+48 ', c_custkey, '-', version), null) as Phone",
+            "concat('https://shop', c_custkey, '.example.com') as Website",
+            "case when c_custkey % 13 = 1 then ' Retail ' when c_custkey % 13 > 1 then 'Wholesale' end as Industry",
+            "cast(c_acctbal as decimal(18,2)) as AnnualRevenue",
+            "if(c_custkey % 103 = 0, -5, int(c_custkey % 500) + (version - 1) * 10) as NumberOfEmployees",
+            "concat('segment ', c_mktsegment) as Description",
         )
 
     def product_feed(self) -> DataFrame:
-        key = F.col("p_partkey")
-        suppliers = self.table("supplier")
-        parts = self.table("part").withColumn(
-            "_supplier", key % suppliers.agg(F.count(F.lit(1)).alias("n")).scalar()
-        )
-        rows = parts.join(suppliers, F.col("_supplier") == F.col("s_suppkey"))
-        rows = rows.select("*", self._versions(key, key % 5 == 0))
-        kind = F.col("p_type")
-        price = (
-            F.col("p_retailprice").cast("decimal(12,2)")
-            * F.col("p_size").cast("decimal(4,0)")
-            * F.lit("0.1").cast("decimal(2,1)")
-            * F.col("version").cast("decimal(2,0)")
+        suppliers = self.table("supplier").select("s_suppkey", "s_name")
+        rows = self.spark.sql(
+            "SELECT * FROM {part} JOIN {supplier} ON s_suppkey = p_partkey % (SELECT count(*) FROM {supplier})",
+            part=self.table("part"),
+            supplier=suppliers,
         )
-        return rows.select(
+        return rows.selectExpr("*", _versions("p_partkey")).selectExpr(
             "op",
             "seq",
-            F.concat(F.lit(" p"), key, F.lit(" ")).alias("product_id"),
-            F.when(key % 71 == 0, F.lit("")).otherwise(F.col("p_name")).alias("product_name"),
-            F.when(kind == "STANDARD", "electronics")
-            .when(kind == "ECONOMY", "mobile")
-            .when(kind == "MEDIUM", "appliances")
-            .when(kind == "PROMO", "furniture")
-            .when(kind == "SMALL", "groceries")
-            .otherwise("oversize")
-            .alias("category"),
-            F.when(key % 11 != 0, F.concat(F.lit(" line "), F.lower(kind))).alias("subcategory"),
-            F.when(key % 7 != 0, F.col("p_brand")).alias("brand"),
-            price.cast("decimal(12,2)").alias("unit_price"),
-            F.col("s_name").alias("supplier_name"),
-            F.when(key % 31 != 0, F.date_add(F.lit("2020-01-01").cast("date"), (key % 1000).cast("int"))).alias("launch_date"),
-            F.when(key % 37 != 0, F.col("seq")).alias("updated_at"),
+            "concat(' p', p_partkey, ' ') as product_id",
+            "if(p_partkey % 71 = 0, '', p_name) as product_name",
+            """case p_type when 'STANDARD' then 'electronics' when 'ECONOMY' then 'mobile'
+                    when 'MEDIUM' then 'appliances' when 'PROMO' then 'furniture'
+                    when 'SMALL' then 'groceries' else 'oversize' end as category""",
+            "if(p_partkey % 11 != 0, concat(' line ', lower(p_type)), null) as subcategory",
+            "if(p_partkey % 7 != 0, p_brand, null) as brand",
+            """cast(cast(p_retailprice as decimal(12,2)) * cast(p_size as decimal(4,0))
+                    * cast(0.1 as decimal(2,1)) * cast(version as decimal(2,0)) as decimal(12,2)) as unit_price""",
+            "s_name as supplier_name",
+            "if(p_partkey % 31 != 0, date_add(date'2020-01-01', int(p_partkey % 1000)), null) as launch_date",
+            "if(p_partkey % 37 != 0, seq, null) as updated_at",
         )
 
     def inventory_feed(self) -> DataFrame:
-        part, store = F.col("l_partkey"), F.col("l_suppkey")
-        both = part + store
         pairs = self.table("lineitem").select("l_partkey", "l_suppkey").distinct()
-
-        def change(op: str, day: str, extra: int) -> Column:
-            return F.struct(F.lit(op).alias("op"), F.lit(day).cast("timestamp").alias("seq"), F.lit(extra).alias("extra"))
-
-        rows = pairs.select(
+        return pairs.selectExpr(
             "*",
-            F.inline(
-                F.array_compact(
-                    F.array(
-                        change("I", "2024-01-01", 0),
-                        F.when(both % 4 == 0, change("U", "2024-02-01", 5)),
-                        F.when(both % 97 == 0, change("D", "2024-03-01", 5)),
-                    )
-                )
-            ),
-        )
-        return rows.select(
+            """inline(array_compact(array(
+                named_struct('op', 'I', 'seq', timestamp'2024-01-01', 'extra', 0),
+                if((l_partkey + l_suppkey) % 4 = 0, named_struct('op', 'U', 'seq', timestamp'2024-02-01', 'extra', 5), null),
+                if((l_partkey + l_suppkey) % 97 = 0, named_struct('op', 'D', 'seq', timestamp'2024-03-01', 'extra', 5), null))))""",
+        ).selectExpr(
             "op",
             "seq",
-            F.concat(F.lit(" inv"), part, F.lit("-"), store, F.lit(" ")).alias("inventory_id"),
-            F.concat(F.lit("p"), part).alias("product_id"),
-            F.concat(F.lit(" s"), store).alias("store_id"),
-            (part * store % 50 - 1 + F.col("extra")).cast("int").alias("stock_quantity"),
-            F.lit(10).alias("reorder_level"),
-            F.when(store % 23 == 0, F.lit(" ")).otherwise(F.concat(F.lit("WH-"), store % 5)).alias("warehouse_location"),
-            F.when(part % 43 != 0, F.col("seq")).alias("last_stock_update"),
+            "concat(' inv', l_partkey, '-', l_suppkey, ' ') as inventory_id",
+            "concat('p', l_partkey) as product_id",
+            "concat(' s', l_suppkey) as store_id",
+            "int(l_partkey * l_suppkey % 50 - 1 + extra) as stock_quantity",
+            "10 as reorder_level",
+            "if(l_suppkey % 23 = 0, ' ', concat('WH-', l_suppkey % 5)) as warehouse_location",
+            "if(l_partkey % 43 != 0, seq, null) as last_stock_update",
         )

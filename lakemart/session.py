@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Recording the Python line of every Column costs more than planning does.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

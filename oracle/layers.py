@@ -292,6 +292,119 @@ RELATIONS = {
                t.payment_mode, t.sales_channel
         FROM v_transactions t LEFT JOIN v_opportunity o ON upper(trim(t.opportunity_name)) = upper(trim(o.name))""",
 }
+
+
+def chunks(source: str) -> str:
+    """120-word windows, 100 words apart."""
+    return f"""
+        SELECT document_id || '_' || i AS chunk_id, CAST(i AS INT) AS chunk_position, piece AS chunk_to_retrieve,
+               concat_ws(': ', category, piece) AS chunk_to_embed,
+               '{{"chunks":' || n_chunks || ',"start_word":' || (i * 100) || '}}' AS metadata,
+               source AS source_uri, document_type, product_id, category, product_segment
+        FROM (SELECT *, array_to_string(w[i * 100 + 1 : i * 100 + 120], ' ') AS piece FROM (
+            SELECT *, unnest(range(n_chunks)) AS i FROM (
+                SELECT *, CASE WHEN len(w) = 0 THEN 0 ELSE greatest(CAST(ceil((len(w) - 120) / 100.0) AS BIGINT), 0) + 1 END AS n_chunks FROM (
+                    SELECT *, list_filter(regexp_split_to_array(content, '[ \\t\\r\\n]+'), lambda x: x <> '') AS w FROM {source}))))"""
+
+
+def term_rows(source: str, key: str, text: str) -> str:
+    return (
+        f"SELECT {key} AS id, unnest(list_filter(regexp_split_to_array(lower({text}), '[^\\p{{L}}\\p{{N}}]+'), "
+        f"lambda x: x <> '')) AS term FROM {source}"
+    )
+
+
+def page_text() -> str:
+    x = "html"
+    for pattern in (
+        r"(?is)<script\b.*?</script\s*>",
+        r"(?is)<style\b.*?</style\s*>",
+        r"(?is)<(?:nav|header|footer)\b.*?</(?:nav|header|footer)\s*>",
+        r"(?is)<!--.*?-->",
+        r"(?is)<[^>]*>",
+    ):
+        x = f"regexp_replace({x}, '{pattern}', ' ', 'g')"
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
+        x = f"replace({x}, '{entity}', '{char}')"
+    return f"trim(regexp_replace({x}, '[ \\t\\r\\n]+', ' ', 'g'))"
+
+
+NO_PRODUCT = "CAST(NULL AS VARCHAR) AS product_id, CAST(NULL AS VARCHAR) AS category, CAST(NULL AS VARCHAR) AS product_segment"
+PRODUCT_TEXT = " || chr(10) || ".join(
+    f"'{label}: ' || coalesce(CAST({column} AS VARCHAR), 'Unknown')"
+    for label, column in (
+        ("Product ID", "p.product_id"), ("Product Name", "product_name"), ("Category", "category"),
+        ("Subcategory", "subcategory"), ("Brand", "brand"), ("Unit Price", "unit_price"),
+        ("Supplier", "supplier_name"), ("Product Segment", "product_segment"), ("Launch Date", "launch_date"),
+        ("Total Units Sold", "coalesce(total_units_sold, 0)"),
+        ("Total Net Sales", "CAST(coalesce(total_net_sales, 0) AS DECIMAL(38,2))"),
+        ("Transaction Count", "coalesce(transaction_count, 0)"),
+    )
+)
+
+
+def product_texts(products: str) -> str:
+    return f"""
+        SELECT 'product_' || p.product_id AS document_id, 'product' AS document_type, 'gold.dim_product' AS source,
+               p.product_id AS product_id, category, product_segment, {PRODUCT_TEXT} AS content
+        FROM {products} p LEFT JOIN sales_summary s ON p.product_id = s.product_id"""
+
+
+RELATIONS |= {
+    "sales_summary": """
+        SELECT product_id, CAST(sum(quantity) AS BIGINT) AS total_units_sold, sum(net_sales_amount) AS total_net_sales,
+               count(DISTINCT transaction_id) AS transaction_count FROM fact_sales GROUP BY product_id""",
+    "d_product": product_texts("dim_product"),
+    "d_page": f"SELECT 'page_' || sha256(url) AS document_id, 'page' AS document_type, url AS source, {NO_PRODUCT}, {page_text()} AS content FROM pages",
+    "d_text": f"SELECT 'text_' || doc_id AS document_id, 'text' AS document_type, source, {NO_PRODUCT}, text AS content FROM documents",
+    "k_product": chunks("d_product"),
+    "k_page": chunks("d_page"),
+    "k_text": chunks("d_text"),
+    "k_rag": "SELECT * FROM k_product UNION ALL SELECT * FROM k_page",
+}
+
+
+def search(chunk_relation: str, depth: int) -> dict[str, str]:
+    """Keyword, vector and fused rankings of the benchmark texts."""
+    c = chunk_relation
+    top = "row_number() OVER (PARTITION BY question_id ORDER BY score DESC, chunk_id) AS rank"
+    weigh = f"""
+        SELECT id, slot, CAST(count(*) AS DOUBLE) * any_value(idf) AS w
+        FROM (SELECT id, CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % 256 AS slot FROM {{0}}) JOIN {c}_slots USING (slot) GROUP BY id, slot"""
+    return {
+        f"{c}_terms": term_rows(c, "chunk_id", "chunk_to_retrieve"),
+        f"{c}_eterms": term_rows(c, "chunk_id", "chunk_to_embed"),
+        "q_terms": term_rows("benchmark", "item_id", "text"),
+        f"{c}_tf": f"SELECT id, term, count(*) AS tf FROM {c}_terms GROUP BY 1, 2",
+        f"{c}_len": f"SELECT id, count(*) AS dl FROM {c}_terms GROUP BY 1",
+        f"{c}_n": f"SELECT (SELECT count(*) FROM {c}) AS n, (SELECT count(*) FROM {c}_terms) / CAST((SELECT count(*) FROM {c}) AS DOUBLE) AS avgdl",
+        f"{c}_df": f"SELECT term, count(*) AS df FROM {c}_tf GROUP BY 1",
+        f"{c}_bm25": f"""
+            SELECT question_id, chunk_id, score, {top} FROM (
+                SELECT q.id AS question_id, t.id AS chunk_id,
+                       round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * dl / avgdl))), 6) AS score
+                FROM (SELECT DISTINCT id, term FROM q_terms) q JOIN {c}_tf t ON q.term = t.term JOIN {c}_df d ON d.term = t.term
+                JOIN {c}_len l ON l.id = t.id, {c}_n GROUP BY 1, 2) QUALIFY rank <= {depth}""",
+        f"{c}_slots": f"""
+            SELECT slot, ln((any_value(n) + 1.0) / (count(*) + 1.0)) AS idf FROM (
+                SELECT DISTINCT id, CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % 256 AS slot FROM {c}_eterms), {c}_n GROUP BY slot""",
+        f"{c}_dw": weigh.format(f"{c}_eterms"),
+        f"{c}_qw": weigh.format("q_terms"),
+        f"{c}_dnorm": f"SELECT id, sqrt(sum(w * w)) AS norm FROM {c}_dw GROUP BY id",
+        f"{c}_qnorm": f"SELECT id, sqrt(sum(w * w)) AS norm FROM {c}_qw GROUP BY id",
+        f"{c}_vector": f"""
+            SELECT question_id, chunk_id, score, {top} FROM (
+                SELECT q.id AS question_id, d.id AS chunk_id, round(sum(q.w * d.w) / (any_value(qn.norm) * any_value(dn.norm)), 6) AS score
+                FROM {c}_qw q JOIN {c}_dw d ON q.slot = d.slot JOIN {c}_qnorm qn ON qn.id = q.id JOIN {c}_dnorm dn ON dn.id = d.id
+                GROUP BY 1, 2) QUALIFY rank <= {depth}""",
+        f"{c}_hybrid": f"""
+            SELECT question_id, chunk_id, score, {top} FROM (
+                SELECT question_id, chunk_id, round(sum(1.0::DOUBLE / (60 + rank)), 9) AS score
+                FROM (SELECT * FROM {c}_vector UNION ALL SELECT * FROM {c}_bm25) GROUP BY 1, 2) QUALIFY rank <= 10""",
+    }
+
+
+RELATIONS |= search("k_text", 50) | search("k_rag", 50)
 for _d in RULES:
     RELATIONS[f"v_{_d}"] = f"SELECT * FROM s_{_d} WHERE {ok(_d)}"
     RELATIONS[f"q_{_d}"] = f"SELECT * FROM s_{_d} WHERE NOT ({ok(_d)})"

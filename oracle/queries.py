@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.layers import EXPECTATIONS, KEYS, RULES, failed, with_sql
+from oracle.layers import EXPECTATIONS, KEYS, RELATIONS, RULES, chunks, failed, product_texts, with_sql
 
 
 def plain(source: str, doubles: str = "", stamps: str = "", dates: str = "", where: str = "") -> str:
@@ -177,6 +177,56 @@ def _sql() -> dict[str, str]:
         for t, columns in ENTITIES.items()
         for c in columns
     )
+    sql["product_sales_summary"] = plain("sales_summary", doubles="total_net_sales")
+    sql["product_documents"] = "SELECT * FROM d_product"
+    sql["product_chunks"] = "SELECT * FROM k_product"
+    sql["document_chunks"] = "SELECT * FROM k_text"
+    sql["page_text"] = "SELECT document_id, document_type, source, content FROM d_page"
+    sql["page_chunks"] = "SELECT * FROM k_page"
+    sql["rag_chunks"] = "SELECT * FROM k_rag"
+
+    def catalog(where: str) -> str:
+        shown = RELATIONS["s_product_catalog"].replace("FROM product_history", f"FROM product_history WHERE {where}")
+        return chunks(f"({product_texts(f'({shown})').replace('sales_summary', '(SELECT * FROM sales_summary WHERE FALSE)')})")
+
+    may = catalog("__START_AT <= TIMESTAMP '2024-05-01' AND (__END_AT IS NULL OR __END_AT > TIMESTAMP '2024-05-01')")
+    sql["index_sync"] = f"""
+        SELECT n.chunk_id, CASE WHEN o.chunk_id IS NULL OR o.chunk_to_retrieve <> n.chunk_to_retrieve THEN 'second' ELSE 'first' END AS run,
+               256 AS dimensions
+        FROM ({catalog("__END_AT IS NULL")}) n LEFT JOIN ({may}) o ON o.chunk_id = n.chunk_id"""
+    sql["vector_topk"] = """
+        SELECT label, vec_id, score, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS rank FROM (
+            SELECT c.label, e.vec_id, round(list_cosine_similarity(c.v, CAST(e.embedding AS DOUBLE[])), 6) AS score
+            FROM embeddings e, (SELECT label, list(m ORDER BY place) AS v FROM (
+                SELECT label, place, avg(CAST(x AS DOUBLE)) AS m FROM (
+                    SELECT label, unnest(embedding) AS x, unnest(range(len(embedding))) AS place FROM embeddings) GROUP BY 1, 2)
+                GROUP BY label) c)
+        QUALIFY rank <= 10"""
+    sql["bm25_topk"] = "SELECT * FROM k_text_bm25 WHERE rank <= 10"
+    sql["hybrid_topk"] = "SELECT * FROM k_text_hybrid"
+    block = (
+        "'Source: ' || coalesce(nullif(source_uri, ''), 'Unknown source') || chr(10) || "
+        "'Document type: ' || coalesce(nullif(document_type, ''), 'Unknown') || chr(10) || "
+        "'Product ID: ' || coalesce(nullif(product_id, ''), 'N/A') || chr(10) || "
+        "'Category: ' || coalesce(nullif(category, ''), 'N/A') || chr(10) || "
+        "'Content:' || chr(10) || coalesce(chunk_to_retrieve, '')"
+    )
+    sql["retrieval_context"] = f"""
+        SELECT item_id AS question_id, text AS question,
+               CASE WHEN trim(text) = '' THEN 'No question was provided.'
+                    ELSE coalesce(body, 'The available knowledge does not contain enough information.') END AS context
+        FROM benchmark LEFT JOIN (
+            SELECT question_id, string_agg({block}, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY rank) AS body
+            FROM k_rag_hybrid JOIN k_rag USING (chunk_id) GROUP BY question_id) ON question_id = item_id"""
+    sql["normalized_history"] = """
+        SELECT conv_id, turn, coalesce(role = 'assistant' AND (conv_id + turn) % 4 IN (0, 1), FALSE) AS collapsed,
+               CASE WHEN role = 'assistant' AND (conv_id + turn) % 4 = 2 THEN 'm' || conv_id END AS id,
+               CASE WHEN role = 'assistant' AND (conv_id + turn) % 4 = 2 THEN 'message' END AS type,
+               role,
+               CASE WHEN role = 'assistant' AND (conv_id + turn) % 4 = 1 THEN text || chr(10) || 'end'
+                    WHEN role = 'assistant' AND (conv_id + turn) % 4 = 2
+                    THEN '[{"text":' || to_json(text) || ',"type":"output_text"}]' ELSE text END AS content
+        FROM conversations"""
     return sql
 
 
