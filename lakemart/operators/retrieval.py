@@ -14,7 +14,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -273,6 +273,20 @@ class HashedEmbedder:
         self.weights = np.log((total + 1.0) / (seen + 1.0))
         return self
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """One small row: the weight of every dimension."""
+        row = [(self.dimensions, [float(w) for w in self.weights])]
+        spark.createDataFrame(row, "dimensions int, weights array<double>").coalesce(1).write.mode(
+            "overwrite"
+        ).parquet(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> HashedEmbedder:
+        row = spark.read.parquet(path).head()
+        out = cls(row.dimensions)
+        out.weights = np.array(row.weights)
+        return out
+
     def embed(self, df: DataFrame, text: str, name: str = "embedding") -> DataFrame:
         if self.weights is None:
             raise ValueError("fit the embedder first")

@@ -70,7 +70,7 @@ def transactions(raw: DataFrame, strict: bool = False, flag_failures: bool = Fal
             "discount_amount": discount,
             "transaction_timestamp": when_sold,
         }
-        extra["parse_failures"] = F.array_compact(
+        failures = F.array_compact(
             F.array(
                 *(
                     F.when(~is_blank(F.col(n)) & value.isNull(), F.lit(n))
@@ -78,6 +78,11 @@ def transactions(raw: DataFrame, strict: bool = False, flag_failures: bool = Fal
                 )
             )
         )
+        if "_rescued_data" in raw.columns:
+            # Values the ingest already could not fit into their column.
+            lost = F.json_object_keys("_rescued_data")
+            failures = F.array_union(failures, F.coalesce(lost, F.array().cast("array<string>")))
+        extra["parse_failures"] = failures
 
     return project(
         raw,

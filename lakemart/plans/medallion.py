@@ -28,8 +28,15 @@ class Medallion:
     ``product_feed`` and ``inventory_feed``.
     """
 
-    def __init__(self, bronze, start: date = gold.CALENDAR_START, end: date = gold.CALENDAR_END):
+    def __init__(
+        self,
+        bronze,
+        start: date = gold.CALENDAR_START,
+        end: date = gold.CALENDAR_END,
+        flag_failures: bool = False,
+    ):
         self.bronze = bronze
+        self.flag_failures = flag_failures
         self.spark = bronze.spark
         self.start, self.end = start, end
 
@@ -50,7 +57,7 @@ class Medallion:
     @cached_property
     def cleaned_transactions(self) -> DataFrame:
         """Before deduplication."""
-        return silver.transactions(self.bronze.transactions())
+        return silver.transactions(self.bronze.transactions(), flag_failures=self.flag_failures)
 
     @cached_property
     def silver_transactions(self) -> DataFrame:

@@ -13,7 +13,10 @@ from lakemart.operators import cdc, chat, documents, gates, gold, quality, retri
 from lakemart.plans import marts, semantics
 from lakemart.plans.medallion import Medallion
 from lakemart.plans.samples import SampleBronze
+from lakemart.session import scratch_dir
 from lakemart.sources.tables import materialize
+from lakemart.streaming import ingest
+from lakemart.streaming import silver as stream_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -257,6 +260,57 @@ def _normalized_history(m: Medallion) -> DataFrame:
     )
 
 
+# -------------------------------------------------------------------- streams
+
+
+def _drop(df: DataFrame, folder: str) -> None:
+    """Write rows as CSV files the way the shops deliver them."""
+    df.write.mode("append").csv(
+        folder, header=True, nullValue="null", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+
+
+def _stream_ingest_dedup(m: Medallion) -> DataFrame:
+    """CSV files to Bronze to deduplicated Silver, run twice over the stream."""
+    root = scratch_dir(m.spark, "stream-dedup")
+    drops = ingest.CsvDrops(f"{root}/in", f"{root}/bronze", f"{root}/state")
+    spec = stream_silver.SilverStream(
+        "transactions", silver.transactions, f"{root}/silver", f"{root}/silver-state", "transaction_id"
+    )
+    _drop(m.bronze.transactions(), drops.source)
+    for _ in range(2):  # the second run finds nothing new
+        ingest.run(m.spark, drops)
+        stream_silver.run(ingest.stream_table(m.spark, drops), spec)
+    return stream_silver.read_table(m.spark, spec).select("transaction_id")
+
+
+def _stream_schema_evolution(m: Medallion) -> DataFrame:
+    """Three deliveries: as agreed, with a new column, in another order."""
+    root = scratch_dir(m.spark, "stream-evolution")
+    drops = ingest.CsvDrops(f"{root}/in", f"{root}/bronze", f"{root}/state")
+    sales = m.bronze.transactions(keep=("l_linenumber", "l_suppkey"))
+    line = F.col("l_linenumber")
+    tier = F.concat(F.lit("tier "), F.col("l_suppkey") % 3)
+    base = [c for c in sales.columns if c not in ("l_linenumber", "l_suppkey")]
+    deliveries = (
+        sales.filter(line <= 3).select(*base),
+        sales.filter(line.between(4, 5)).select(*base, tier.alias("loyalty_tier")),
+        sales.filter(line > 5).select(*reversed(base)),
+    )
+    for rows in deliveries:
+        _drop(rows, drops.source)
+        ingest.run(m.spark, drops)
+    table = ingest.read_table(m.spark, drops)
+    return table.select(
+        F.trim("transaction_id").alias("transaction_id"),
+        F.trim("store_id").alias("store_id"),
+        "quantity",
+        "selling_price",
+        "loyalty_tier",
+        ingest.RESCUED,
+    )
+
+
 def build_queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for d in quality.DATASETS:
@@ -319,4 +373,7 @@ def build_queries() -> dict[str, Query]:
     q["hybrid_topk"] = _layers(_hybrid_topk)
     q["retrieval_context"] = _layers(_retrieval_context)
     q["normalized_history"] = _layers(_normalized_history)
+
+    q["stream_ingest_dedup"] = _layers(_stream_ingest_dedup)
+    q["stream_schema_evolution"] = _layers(_stream_schema_evolution)
     return q

@@ -40,7 +40,8 @@ class SampleBronze:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def transactions(self) -> DataFrame:
+    def transactions(self, keep: tuple[str, ...] = ()) -> DataFrame:
+        """Raw sales; ``keep`` adds columns of the sample table as they are."""
         price = "cast(l_extendedprice as decimal(10,2))"
         sold = (
             "timestampadd(SECOND, int(pmod(l_orderkey * 37 + l_linenumber, 86400)), cast(l_shipdate as timestamp))"
@@ -62,6 +63,7 @@ class SampleBronze:
                     when l_suppkey % 4 = 1 then ' Card ' when l_suppkey % 4 = 2 then 'Cash'
                     else 'Bank Transfer ' end as payment_mode""",
             "if(l_linestatus = 'O', ' Online', 'Store ') as sales_channel",
+            *keep,
         )
 
     def opportunity(self) -> DataFrame:

@@ -227,6 +227,16 @@ def _sql() -> dict[str, str]:
                     WHEN role = 'assistant' AND (conv_id + turn) % 4 = 2
                     THEN '[{"text":' || to_json(text) || ',"type":"output_text"}]' ELSE text END AS content
         FROM conversations"""
+    sql["stream_ingest_dedup"] = "SELECT DISTINCT transaction_id FROM c_transactions"
+    sql["stream_schema_evolution"] = """
+        SELECT trim(CASE WHEN l_orderkey % 113 = 0 THEN '  '
+                    WHEN l_orderkey % 127 <> 0 THEN ' txn' || l_orderkey || '-' || l_linenumber || ' ' END) AS transaction_id,
+               's' || l_suppkey AS store_id,
+               CASE WHEN l_orderkey % 97 = 0 THEN 0 WHEN l_orderkey % 79 <> 0 THEN CAST(l_quantity AS INT) END AS quantity,
+               CAST(CAST(l_extendedprice AS DECIMAL(10,2)) AS DOUBLE) AS selling_price,
+               CASE WHEN l_linenumber IN (4, 5) THEN 'tier ' || (l_suppkey % 3) END AS loyalty_tier,
+               CASE WHEN l_orderkey % 97 <> 0 AND l_orderkey % 79 = 0 THEN '{"quantity":"n/a"}' END AS _rescued_data
+        FROM lineitem"""
     return sql
 
 
