@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.contracts import DIM_CUSTOMER
+from lakemart.contracts import DIM_CUSTOMER, DIM_PRODUCT, names
 from lakemart.functions.columns import conform, date_key, match_key, project
 from lakemart.operators.skew import salted_left_join
 
@@ -22,14 +22,8 @@ def dim_customer(accounts: DataFrame) -> DataFrame:
     return conform(renamed, DIM_CUSTOMER)
 
 
-PRODUCT_COLUMNS = (
-    "product_id", "product_name", "category", "subcategory", "brand",
-    "product_segment", "unit_price", "supplier_name", "launch_date", "updated_at",
-)
-
-
 def dim_product(products: DataFrame) -> DataFrame:
-    return products.where("is_active").select(*PRODUCT_COLUMNS)
+    return products.where("is_active").select(*names(DIM_PRODUCT))
 
 
 def date_spine(spark: SparkSession, start: date = CALENDAR_START, end: date = CALENDAR_END) -> DataFrame:

@@ -122,7 +122,7 @@ def _problem(probe: DataFrame, rules: list[Rule]) -> str:
     try:
         probe.select(*(r.failed().alias(f"r{i}") for i, r in enumerate(rules)))
     except PySparkException as problem:
-        return str(problem).splitlines()[0]
+        return str(problem).strip().splitlines()[0]
     return ""
 
 

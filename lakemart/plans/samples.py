@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakemart.sources.tables import spread
+
 
 def _versions(key: str) -> str:
     """insert; an unchanged update; a real update; a delete."""
@@ -38,7 +40,7 @@ class SampleBronze:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
 
     def transactions(self, keep: tuple[str, ...] = ()) -> DataFrame:
         """Raw sales; ``keep`` adds columns of the sample table as they are."""

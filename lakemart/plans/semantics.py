@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemart import contracts
 from lakemart.operators.gates import GateFailed, Star
 
 
@@ -52,6 +53,23 @@ class Model:
         }
     )
 
+    # Columns of each table, known without planning the table.
+    columns: Mapping[str, tuple[str, ...]] = field(
+        default_factory=lambda: {
+            "fact_sales": contracts.names(contracts.FACT_SALES),
+            "dim_customer": contracts.names(contracts.DIM_CUSTOMER),
+            "dim_product": contracts.names(contracts.DIM_PRODUCT),
+            "dim_date": contracts.names(contracts.DIM_DATE),
+        }
+    )
+
+    def home(self, column: str) -> str:
+        """The table a column is taken from; the fact comes first."""
+        for table, columns in self.columns.items():
+            if column in columns:
+                return table
+        raise KeyError(f"no table of the model has a column {column!r}")
+
     def measure(self, word: str) -> Measure:
         wanted = " ".join(word.lower().replace("_", " ").split())
         for m in self.measures:
@@ -82,17 +100,8 @@ def star_query(
     """
     m = model.measure(measure)
     filters = dict(filters or {})
-    fact_columns = set(star.fact_sales.columns)
-    homes: dict[str, str] = {}
-    for column in [*dims, *filters]:
-        if column in fact_columns:
-            continue
-        for dim in model.joins:
-            if column in getattr(star, dim).columns:
-                homes[column] = dim
-                break
-        else:
-            raise KeyError(f"no table of the model has a column {column!r}")
+    found = {c: model.home(c) for c in [*dims, *filters]}
+    homes = {c: table for c, table in found.items() if table != "fact_sales"}
 
     def matches(column: str) -> Column:
         value = filters[column]
