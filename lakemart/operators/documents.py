@@ -70,7 +70,7 @@ def page_documents(pages: DataFrame) -> DataFrame:
 def file_documents(files: DataFrame) -> DataFrame:
     """Like :func:`page_documents` for files scanned as (path, content) bytes."""
     return page_documents(
-        files.select(F.col("path").alias("url"), F.decode("content", F.lit("UTF-8")).alias("html"))
+        files.select(F.col("path").alias("url"), F.decode("content", "UTF-8").alias("html"))
     )
 
 

@@ -143,10 +143,10 @@ def _read_schema(spark: SparkSession, drops: CsvDrops) -> StructType:
 
 def read_table(spark: SparkSession, drops: CsvDrops) -> DataFrame:
     """The table so far.  The saved schema spares a look into every file."""
-    return spark.read.schema(_read_schema(spark, drops)).parquet(drops.table)
+    return spark.read.schema(_read_schema(spark, drops)).parquet(drops.table).drop(BATCH)
 
 
 def stream_table(spark: SparkSession, drops: CsvDrops, max_files: int = 1000) -> DataFrame:
     """The table as a stream of its new files."""
     reader = spark.readStream.schema(_read_schema(spark, drops)).option("maxFilesPerTrigger", max_files)
-    return reader.parquet(drops.table)
+    return reader.parquet(drops.table).drop(BATCH)
