@@ -12,9 +12,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -24,6 +25,7 @@ from lakemart.operators.skew import is_bounded
 
 MAX_QUERIES = 2048
 BLOCK_ROWS = 8192
+TEXT_BLOCK = 1024
 SCORE_DIGITS = 6
 
 # Constants of the BM25 and rank fusion formulas.
@@ -67,12 +69,19 @@ def _best_of_block(
     query_buckets: np.ndarray | None = None, buckets: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query id, id, score) of each query's ``k`` best rows of one block."""
-    order = np.argsort(ids, kind="stable")
-    ids, vectors = ids[order], vectors[order]
     scores = np.round(queries @ _unit(vectors).T, SCORE_DIGITS) + 0.0  # no -0.0
     if buckets is not None:
-        shared = (query_buckets[:, None, :] == buckets[order][None, :, :]).any(axis=2)
+        shared = (query_buckets[:, None, :] == buckets[None, :, :]).any(axis=2)
         scores = np.where(shared, scores, -np.inf)
+    return _select(scores, query_ids, ids, k)
+
+
+def _select(
+    scores: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Best ``k`` columns per row of ``scores``, equal scores by id."""
+    order = np.argsort(ids, kind="stable")
+    ids, scores = ids[order], scores[:, order]
     at = _first_k(scores, k)
     picked = np.take_along_axis(scores, at, axis=1)
     real = picked > -np.inf
@@ -332,32 +341,103 @@ def bm25_topk(
 ) -> DataFrame:
     """BM25 keyword top-k of every question over the whole corpus.
 
-    Only postings of asked terms are scored.  Scores are summed inside each
-    document's partition, and each task passes on ``k`` rows per question.
+    If the questions' terms fit into every task (they are counted first), the
+    corpus is scored where it lies, without a shuffle of texts or postings, and
+    each batch passes on at most ``k`` rows per question.  Otherwise terms and
+    postings are joined.
     """
     asked = questions.select(question_id, F.explode(F.array_distinct(terms(F.col(question)))).alias("term"))
-    # The question terms are counted once; both lists below have no more rows.
-    small = is_bounded(asked)
-    wanted = asked.select("term").distinct()
-    size = F.size(terms(F.col(text)))
-    totals = docs.select(F.count(F.lit(1)).alias("n"), F.avg(size).alias("avg"))
-    corpus = totals.select(F.struct("n", "avg")).scalar()
-    postings = term_counts(docs, doc_id, text).join(F.broadcast(wanted) if small else wanted, "term", "left_semi")
+    if is_bounded(asked) and is_bounded(questions, MAX_QUERIES):
+        scored = _bm25_in_place(asked, docs, k, question_id, doc_id, text)
+    else:
+        scored = _bm25_by_join(asked, docs, question_id, doc_id, text)
+    return keep_top(scored, k, question_id, doc_id)
 
+
+def _bm25_in_place(
+    asked: DataFrame, docs: DataFrame, k: int, question_id: str, doc_id: str, text: str
+) -> DataFrame:
+    spark = asked.sparkSession
+    pairs = asked.toArrow()  # counted before
+    schema = _result_schema(asked, question_id, docs, doc_id)
+    words = docs.select(doc_id, terms(F.col(text)).alias("_terms"))
+    vocabulary = pc.unique(pairs.column("term")) if pairs.num_rows else pa.array([], pa.string())
+    if len(vocabulary) == 0:
+        return spark.createDataFrame([], schema)
+
+    # One pass for the totals and the number of documents with each term.
+    totals = Observation()
+    seen = words.observe(totals, F.count(F.lit(1)).alias("n"), F.sum(F.size("_terms")).alias("words"))
+    frequency = (
+        seen.select(F.explode(F.array_distinct("_terms")).alias("term"))
+        .join(F.broadcast(asked.select("term").distinct()), "term", "left_semi")
+        .groupBy("term")
+        .agg(F.count(F.lit(1)).alias("df"))
+        .toArrow()
+    )  # at most one row per asked term
+    n = totals.get["n"]
+    average = (totals.get["words"] or 0) / n if n else 0.0
+    df = np.zeros(len(vocabulary))
+    df[pc.index_in(frequency.column("term"), vocabulary).to_numpy()] = frequency.column("df").to_numpy()
+    rarity = np.log(1 + (n - df + 0.5) / (df + 0.5))
+
+    ids = np.asarray(pc.unique(pairs.column(question_id)).to_pylist())
+    position = {q: i for i, q in enumerate(ids.tolist())}
+    wants = np.array([position[q] for q in pairs.column(question_id).to_pylist()])
+    term_of = pc.index_in(pairs.column("term"), vocabulary).to_numpy()
+    sent = spark.sparkContext.broadcast((vocabulary, rarity, ids, term_of, wants, average))
+    out = pa.schema([(f.name, _arrow_type(f)) for f in schema])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, rarity, ids, term_of, wants, average = sent.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXT_BLOCK):
+                part = batch.slice(at, TEXT_BLOCK)
+                scores = _bm25_scores(part.column(1), vocabulary, rarity, term_of, wants, len(ids), average)
+                found = _select(scores, ids, np.asarray(part.column(0).to_pylist()), k)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(found, out)], schema=out)
+
+    return words.mapInArrow(score, schema)
+
+
+def _bm25_scores(lists: pa.ListArray, vocabulary, rarity, term_of, wants, n_questions, average) -> np.ndarray:
+    """Questions x documents; minus infinity where no term is shared."""
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.float64)
+    at = pc.index_in(lists.flatten(), vocabulary)
+    hit = pc.is_valid(at).to_numpy(zero_copy_only=False)
+    owner = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)[hit]
+    term = at.drop_null().to_numpy(zero_copy_only=False).astype(np.int64)
+    used, column = np.unique(term, return_inverse=True)
+    tf = np.zeros((len(lists), len(used)))
+    np.add.at(tf, (owner, column), 1.0)
+    damped = tf + BM25_K1 * (1 - BM25_B + BM25_B * lengths / average)[:, None] if average else tf + 1.0
+    weights = rarity[used] * tf * (BM25_K1 + 1) / damped
+    asked = np.zeros((len(used), n_questions))
+    slot = np.searchsorted(used, term_of)
+    present = slot < len(used)
+    present[present] = used[slot[present]] == term_of[present]
+    asked[slot[present], wants[present]] = 1.0
+    scores = (weights @ asked).T
+    return np.where(scores > 0, np.round(scores, SCORE_DIGITS), -np.inf)
+
+
+def _bm25_by_join(asked: DataFrame, docs: DataFrame, question_id: str, doc_id: str, text: str) -> DataFrame:
+    size = F.size(terms(F.col(text)))
+    corpus = docs.select(F.struct(F.count(F.lit(1)).alias("n"), F.avg(size).alias("avg"))).scalar()
+    postings = term_counts(docs, doc_id, text).join(asked.select("term").distinct(), "term", "left_semi")
     n, average = corpus.getField("n"), corpus.getField("avg")
-    frequency = postings.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
-    rarity = frequency.select(
-        "term", F.log(1 + (n - F.col("_df") + 0.5) / (F.col("_df") + 0.5)).alias("_idf")
+    rarity = (
+        postings.groupBy("term")
+        .agg(F.count(F.lit(1)).alias("_df"))
+        .select("term", F.log(1 + (n - F.col("_df") + 0.5) / (F.col("_df") + 0.5)).alias("_idf"))
     )
-    weighed = asked.join(rarity, "term")
     damped = F.col("tf") + BM25_K1 * (1 - BM25_B + BM25_B * F.col("length") / average)
-    scored = (
-        postings.join(F.broadcast(weighed) if small else weighed, "term")
+    return (
+        postings.join(asked.join(rarity, "term"), "term")
         .groupBy(question_id, doc_id)
         .agg(F.sum(F.col("_idf") * F.col("tf") * (BM25_K1 + 1) / damped).alias("_sum"))
         .select(question_id, doc_id, F.round("_sum", SCORE_DIGITS).alias("score"))
     )
-    return keep_top(scored, k, question_id, doc_id)
 
 
 # --------------------------------------------------------------------- hybrid

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakemart.operators.gates import Star
 from lakemart.operators.ranking import rank_all, share_of_total
 from lakemart.plans.semantics import star_query
+from lakemart.sources.tables import materialize
 
 TOTAL = "total_net_sales"
 
@@ -51,7 +52,8 @@ def category_share(star: Star) -> DataFrame:
 
 def product_rank(star: Star) -> DataFrame:
     """Every sold product with its place by net sales."""
-    sold = star_query(star, ["product_id", "product_name"])
+    # Ranking looks at the totals several times: write them once.
+    sold = materialize(star_query(star, ["product_id", "product_name"]), "product-totals")
     return rank_all(sold, TOTAL, "sales_rank")
 
 

@@ -118,7 +118,7 @@ def test_bm25(texts):
 
 
 def test_bm25_without_broadcast(texts, monkeypatch):
-    monkeypatch.setattr(R, "is_bounded", lambda df: False)
+    monkeypatch.setattr(R, "is_bounded", lambda df, rows=0: False)
     assert found(R.bm25_topk(*texts, 3)) == brute_bm25(3)
 
 
