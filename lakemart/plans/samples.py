@@ -40,7 +40,8 @@ class SampleBronze:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return spread(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread(df, by=df.columns[0])  # each table starts with its key
 
     def transactions(self, keep: tuple[str, ...] = ()) -> DataFrame:
         """Raw sales; ``keep`` adds columns of the sample table as they are."""

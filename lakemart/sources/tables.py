@@ -28,9 +28,11 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
     return df.sparkSession.read.parquet(path)
 
 
-def spread(df: DataFrame, least_bytes: int = 4 << 20) -> DataFrame:
+def spread(df: DataFrame, by: str, least_bytes: int = 4 << 20) -> DataFrame:
     """Deal a plain scan out to all cores if it arrives in too few pieces.
 
+    ``by`` is a column with many values; dealing by its hash needs no sort.
+
     Work on a file with one row group would run in one task.  A scan with at
     least as many pieces as the cluster has cores, as any large table has, and
     a scan too small to matter are returned unchanged.
@@ -39,7 +41,7 @@ def spread(df: DataFrame, least_bytes: int = 4 << 20) -> DataFrame:
     plan = df._jdf.queryExecution().optimizedPlan()
     if int(str(plan.stats().sizeInBytes())) < least_bytes or df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores)
+    return df.repartition(cores, by)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
