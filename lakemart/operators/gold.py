@@ -32,6 +32,16 @@ def date_spine(spark: SparkSession, start: date = CALENDAR_START, end: date = CA
     return spark.range(days).select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("full_date"))
 
 
+def date_spine_covering(df: DataFrame, column: str) -> DataFrame:
+    """One row per day of all years that ``column`` touches."""
+    first, last = F.min(column).cast("date"), F.max(column).cast("date")
+    years = df.agg(
+        F.trunc(first, "year").alias("start"),
+        F.date_sub(F.add_months(F.trunc(last, "year"), 12), 1).alias("end"),
+    )
+    return years.select(F.explode(F.sequence("start", "end", F.expr("interval 1 day"))).alias("full_date"))
+
+
 def dim_date(spine: DataFrame) -> DataFrame:
     day = F.col("full_date")
     weekday: Column = F.dayofweek(day)  # 1 = Sunday

@@ -26,6 +26,7 @@ from lakemart.operators.skew import is_bounded
 MAX_QUERIES = 2048
 BLOCK_ROWS = 8192
 TEXT_BLOCK = 1024
+SCORE_CELLS = 4 << 20  # scores a task holds at a time
 SCORE_DIGITS = 6
 
 # Constants of the BM25 and rank fusion formulas.
@@ -148,14 +149,15 @@ def vector_topk(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         qids, qvectors, qbuckets = sent.value
+        rows = max(k, SCORE_CELLS // len(qids))
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            found = _best_of_block(
-                qvectors, qids, _matrix(batch.column(1)), np.asarray(batch.column(0).to_pylist()), k,
-                qbuckets, _matrix(batch.column(2)) if bucket else None,
-            )
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(found, out)], schema=out)
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                found = _best_of_block(
+                    qvectors, qids, _matrix(part.column(1)), np.asarray(part.column(0).to_pylist()), k,
+                    qbuckets, _matrix(part.column(2)) if bucket else None,
+                )
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(found, out)], schema=out)
 
     return keep_top(stored.mapInArrow(score, schema), k, query_id, corpus_id)
 

@@ -80,7 +80,7 @@ def visibility(df: DataFrame, policy: Policy, principals: DataFrame) -> DataFram
     asked = principals.select("principal").distinct().join(admins, "principal", "left")
     right = F.col("_admin").isNotNull() | F.col("principal").isin(*policy.privileged)
     asked = asked.withColumn("privileged", right).withColumn("whole", right.cast("tinyint"))
-    seen = asked.join(scopes, "whole", "left")
+    seen = asked.join(F.broadcast(scopes), "whole", "left")  # two rows at most
     rows = F.coalesce("visible_rows", F.lit(0))
     return seen.select(
         "principal",

@@ -342,7 +342,9 @@ def build_queries() -> dict[str, Query]:
 
     q["dim_customer"] = _layers(lambda m: m.dim_customer)
     q["dim_product"] = _layers(lambda m: m.dim_product)
-    q["dim_date"] = _layers(lambda m: m.dim_date)
+    q["dim_date"] = _layers(
+        lambda m: gold.dim_date(gold.date_spine_covering(m.bronze.table("lineitem"), "l_shipdate"))
+    )
     q["fact_sales"] = _layers(lambda m: m.fact_sales)
     q["gold_quality"] = _layers(_gold_quality)
 

@@ -14,6 +14,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Keys remembered by a stream live on disk, not in the executor's heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # Recording the Python line of every Column costs more than planning does.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -285,7 +285,8 @@ RELATIONS = {
                'Q' || quarter(d) AS quarter_name, month(d) AS month, strftime(d, '%B') AS month_name, strftime(d, '%b %Y') AS month_year,
                year(d) * 100 + month(d) AS month_year_sort, CAST(date_trunc('month', d) AS DATE) AS month_start, weekofyear(d) AS week_of_year,
                day(d) AS day, strftime(d, '%A') AS day_name, isodow(d) AS day_of_week_sort, isodow(d) IN (6, 7) AS is_weekend
-        FROM (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY)) AS d)""",
+        FROM (SELECT unnest(generate_series(s, e, INTERVAL 1 DAY)) AS d FROM (
+            SELECT date_trunc('year', min(l_shipdate)) AS s, make_date(year(max(l_shipdate)), 12, 31) AS e FROM lineitem))""",
     "fact_sales": """
         SELECT t.transaction_id, CAST(strftime(t.transaction_timestamp, '%Y%m%d') AS INT) AS date_key, o.account_id AS customer_id,
                t.product_id, t.store_id, t.quantity, t.selling_price, t.discount_amount, t.net_amount AS net_sales_amount,

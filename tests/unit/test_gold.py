@@ -75,6 +75,12 @@ def test_calendar(spark):
     assert (monday.day_of_week_sort, monday.is_weekend, monday.week_of_year) == (1, False, 1)
 
 
+def test_calendar_covers_the_data(spark):
+    df = spark.createDataFrame([(datetime(2024, 5, 1),), (datetime(2025, 12, 31, 23),), (None,)], "at timestamp")
+    spine = [r.full_date for r in gold.date_spine_covering(df, "at").collect()]
+    assert (min(spine), max(spine), len(spine)) == (date(2024, 1, 1), date(2025, 12, 31), 731)
+
+
 def test_dim_customer(spark):
     names = (
         "id", "is_deleted", "customer_name", "type", "billing_city", "billing_state", "billing_country", "phone",
