@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: what a reader without the right sees instead of a phone number.
@@ -35,6 +35,29 @@ class Policy:
         return not self.memberships.filter(hit).isEmpty()
 
 
+def current_principal(spark: SparkSession) -> str:
+    return spark.range(1).select(F.session_user()).head()[0]
+
+
+def register_functions(spark: SparkSession, policy: Policy, principal: str | None = None) -> None:
+    """The two security functions for SQL text, settled for one principal.
+
+    ``filter_customer_region(billing_state)`` and ``mask_customer_phone(phone)``
+    last as long as the session.  Registering fails if the policy cannot be
+    read, so doing it before Gold keeps an unprotected Gold from being built.
+    """
+    right = str(policy.is_privileged(principal or current_principal(spark))).lower()
+    region = policy.open_region.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION filter_customer_region(billing_state STRING) "
+        f"RETURNS BOOLEAN RETURN {right} OR billing_state = '{region}'"
+    )
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION mask_customer_phone(phone STRING) "
+        f"RETURNS STRING RETURN CASE WHEN {right} THEN phone ELSE '{MASK}' END"
+    )
+
+
 def row_filter(privileged: Column, region: Column, open_region: str) -> Column:
     return privileged | (region == open_region)
 
@@ -50,7 +73,7 @@ def secure_view(df: DataFrame, policy: Policy, principal: str | None = None) ->
     The right is settled before planning, so it is a constant: a privileged
     reader scans without a filter, for others the region test reaches the scan.
     """
-    who = principal or df.sparkSession.range(1).select(F.session_user()).head()[0]
+    who = principal or current_principal(df.sparkSession)
     right = F.lit(policy.is_privileged(who))
     visible = df.filter(row_filter(right, F.col(policy.region_column), policy.open_region))
     return visible.withColumns({c: mask(right, F.col(c)) for c in policy.masked_columns})

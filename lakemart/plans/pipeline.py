@@ -7,14 +7,14 @@ below its own folder; the catalog names move to it at the end.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions.columns import match_key
-from lakemart.operators import documents, gates, gold, quality, retrieval
+from lakemart.operators import documents, gates, gold, quality, retrieval, security
 from lakemart.operators.skew import heavy_keys
 from lakemart.plans.medallion import Medallion
 from lakemart.sources.tables import TableSpec, publish, write_table
@@ -42,6 +42,7 @@ class Config:
     previous_run: str | None = None  # to synchronise the search index from
     schema: str | None = None  # catalog schema to publish Gold in
     null_passes: bool = True
+    policy: security.Policy | None = None  # who may see which customers
 
     def path(self, layer: str, table: str, run: str | None = None) -> str:
         return f"{self.root}/{run or self.run}/{layer}/{table}"
@@ -54,8 +55,15 @@ class Result:
     star: gates.Star
     chunks: DataFrame
     index: DataFrame
+    policy: security.Policy | None = None
     paths: dict[str, str] = field(default_factory=dict)
 
+    def star_for(self, principal: str) -> gates.Star:
+        """The star schema as one principal may see it, for reports."""
+        if self.policy is None:
+            return self.star
+        return replace(self.star, dim_customer=security.secure_view(self.star.dim_customer, self.policy, principal))
+
 
 def build_silver(source: Medallion, cfg: Config) -> dict[str, DataFrame]:
     return {d: write_table(source.silver(d), cfg.path("silver", d)) for d in quality.DATASETS}
@@ -144,6 +152,10 @@ def run_pipeline(bronze, cfg: Config) -> Result:
     reconciliation = gates.reconcile({d: (tables[d], *sides[d]) for d in tables})
     gates.require_reconciled(reconciliation)
 
+    if cfg.policy:
+        # Settled before Gold exists: a policy that cannot be read stops here.
+        security.register_functions(spark, cfg.policy)
+
     star = build_gold({d: valid for d, (valid, _) in sides.items()}, spark, cfg)
     report = gates.gold_checks(star)
     gates.require_gold(report, cfg.allowed_gold_violations)
@@ -155,4 +167,4 @@ def run_pipeline(bronze, cfg: Config) -> Result:
     if cfg.schema:
         for name, path in paths.items():
             publish(spark, TableSpec(f"{cfg.schema}.{name}", COMMENTS[name], GOLD_PROPERTIES), path)
-    return Result(reconciliation, report, star, chunks, index, paths)
+    return Result(reconciliation, report, star, chunks, index, cfg.policy, paths)

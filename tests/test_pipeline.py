@@ -1,7 +1,9 @@
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from lakemart.operators import gates
+from lakemart.operators import gates, security
+from lakemart.plans import marts
 from lakemart.plans.pipeline import Config, run_pipeline
 from lakemart.plans.registry import SAMPLE_END, SAMPLE_START
 from lakemart.plans.samples import SampleBronze
@@ -53,6 +55,23 @@ def test_two_runs(spark, bronze, tmp_path):
     spark.sql("DROP DATABASE pipeline_gold")
 
 
+def test_policy_comes_before_gold(spark, bronze, tmp_path):
+    members = spark.createDataFrame([("ann", "admins")], "principal string, member_of string")
+    policy = security.Policy(members, open_region="NATION_3")
+    result = run_pipeline(bronze, config(tmp_path, "r", policy=policy))
+    everything = marts.top_customers(result.star_for("ann")).collect()
+    assert everything == marts.top_customers(result.star).collect()
+    shown = result.star_for("bob").dim_customer
+    assert {r.billing_state for r in shown.collect()} == {"NATION_3"}
+    allowed = {r.customer_id for r in shown.collect()}
+    assert {r.customer_id for r in marts.top_customers(result.star_for("bob")).collect()} <= allowed
+
+    unreadable = security.Policy(spark.createDataFrame([("ann",)], "principal string"))
+    with pytest.raises(PySparkException):
+        run_pipeline(bronze, config(tmp_path, "bad", policy=unreadable))
+    assert not (tmp_path / "bad" / "gold").exists()
+
+
 def test_gold_gate_stops_the_run(bronze, tmp_path):
     with pytest.raises(gates.GateFailed, match="gold checks failed"):
         run_pipeline(bronze, Config(str(tmp_path), "r", SAMPLE_START, SAMPLE_END))

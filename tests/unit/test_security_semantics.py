@@ -37,6 +37,17 @@ def test_session_user_is_the_default(customers, policy):
     assert security.secure_view(customers, policy).count() == 2
 
 
+@pytest.mark.parametrize("who", ["ann", "bob"])
+def test_sql_functions_agree_with_the_view(spark, customers, policy, who):
+    security.register_functions(spark, policy, who)
+    out = spark.sql(
+        "SELECT customer_id, billing_state, mask_customer_phone(phone) AS phone FROM {c} "
+        "WHERE filter_customer_region(billing_state)",
+        c=customers,
+    )
+    assert sorted(map(str, out.collect())) == sorted(map(str, security.secure_view(customers, policy, who).collect()))
+
+
 def test_row_filter_reaches_the_scan(spark, customers, policy, tmp_path):
     customers.write.parquet(str(tmp_path / "c"))
     table = spark.read.parquet(str(tmp_path / "c"))
