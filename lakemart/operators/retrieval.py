@@ -7,12 +7,14 @@ counted first; larger tables take another way to the same result.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
@@ -23,6 +25,10 @@ from lakemart.functions.text import terms
 from lakemart.operators.cdc import table_diff
 from lakemart.operators.skew import is_bounded
 
+# Tasks receive the helpers below with the job itself, so executors need no
+# copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MAX_QUERIES = 2048
 BLOCK_ROWS = 8192
 TEXT_BLOCK = 1024

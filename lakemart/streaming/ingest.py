@@ -129,7 +129,9 @@ def table_schema(spark: SparkSession, drops: CsvDrops) -> StructType | None:
     """The table's schema as grown so far; None before the first batch."""
     try:
         lines = spark.read.text(drops.schema_path).collect()
-    except AnalysisException:
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     return StructType.fromJson(json.loads(lines[0].value)) if lines else None
 
