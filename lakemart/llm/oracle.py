@@ -1,0 +1,57 @@
+"""The same results as SQL for the second engine, where SQL can express them."""
+
+from __future__ import annotations
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+SOURCE_MIXING = rf"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size,
+         length(coalesce(text, '')) AS chars,
+         length(coalesce(text, '')) - length(translate(coalesce(text, ''), '#*$%&|<>', '')) AS symbols,
+         (('0x' || substr(md5('mix-1' || chr(31) || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT)::DOUBLE
+           / 4503599627370496.0 + pow(2.0, -54) AS draw
+  FROM documents),
+keyed AS (
+  SELECT *, -ln(draw) / greatest(1e-6, (1.0::DOUBLE - 0.9::DOUBLE * least(1.0::DOUBLE, 10.0::DOUBLE *
+           CASE WHEN chars > 0 THEN symbols::DOUBLE / chars ELSE 0 END)) * CASE WHEN size < 50 THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END) AS k
+  FROM sized),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS r
+  FROM keyed GROUP BY source),
+weighed AS (
+  SELECT *, [5, 2, 1][(r % 3)::INT + 1] AS w, 2.0::DOUBLE * source_size AS cap FROM sources),
+levelled AS (
+  SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - (sum(cap) OVER (ORDER BY cap / w, r) - cap))
+            / (sum(w) OVER () - (sum(w) OVER (ORDER BY cap / w, r) - w)) AS level FROM weighed),
+goals AS (
+  SELECT source, source_size, CASE WHEN cap / w < level THEN cap
+           ELSE w * (max(CASE WHEN cap / w >= level THEN level END) OVER ()) END AS target FROM levelled),
+budgets AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs FROM goals),
+ordered AS (
+  SELECT d.doc_id, d.size, b.source_size, b.target, b.epochs, floor(b.target - b.epochs * b.source_size)::BIGINT AS budget,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size AS ahead
+  FROM keyed d JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(size, budget - ahead)))::BIGINT AS taken FROM ordered
+"""
+
+CHAT_FORMATTING = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+sized AS (
+  SELECT *, replace(replace(replace(role, '\', '\b'), '###', '\h'), '</turn>', '\t') AS er,
+         replace(replace(replace(text, '\', '\b'), '###', '\h'), '</turn>', '\t') AS et FROM turns)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(4 + length(replace(er, ':', '\c')) + 2 + length(et) + 9)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
+def oracle_sql() -> dict[str, str]:
+    return {"op3_source_mixing": SOURCE_MIXING, "op4_chat_formatting": CHAT_FORMATTING}
