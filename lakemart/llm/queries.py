@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import bpe, chat_format, fingerprints, mixing, quality_rules, secrets, token_counts
+from lakemart.llm import bpe, chat_format, fingerprints, mixing, quality_rules, secrets, substring_dedup, token_counts
 from lakemart.llm.common import read_documents
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
 
 
+def substring_removal(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.remove_repeated(read_documents(spark, folder), digests=True)
+
+
 def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scan(read_documents(spark, folder))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random")
@@ -69,6 +73,7 @@ def piece_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_substring_dedup": substring_removal,
         "op2_secret_scan": secret_scan,
         "op3_source_mixing": source_mixing,
         "op4_chat_formatting": chat_formatting,
