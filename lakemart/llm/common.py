@@ -43,7 +43,7 @@ def ship(spark: SparkSession) -> None:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """A written copy in the cluster's shared folder, read back."""
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -47,26 +47,32 @@ class WaveletMatrix:
 
 
 def sorted_suffixes(text: np.ndarray) -> np.ndarray:
-    """Suffixes by their first DEPTH symbols, by doubling."""
+    """Suffixes by their first DEPTH symbols, by doubling from the first three."""
     n = len(text)
     rank = text.astype(np.int64)
-    order = np.argsort(rank, kind="stable")
+    base = int(rank.max(initial=0)) + 1
     reach = 1
-    while reach < DEPTH:
+    if base < 1 << 20:  # three symbols fit into one key
+        padded = np.concatenate([rank, np.zeros(2, np.int64)])
+        rank = (padded[:n] * base + padded[1 : n + 1]) * base + padded[2 : n + 2]
+        reach = 3
+    order, rank = _ranked(rank)
+    while reach < DEPTH and rank[order[-1]] < n - 1:
         second = np.zeros(n, dtype=np.int64)
-        second[: n - reach] = rank[reach:] + 1
-        key = rank * np.int64(n + 2) + second
-        order = np.argsort(key, kind="stable")
-        ranked = key[order]
-        new = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = new
+        second[: max(n - reach, 0)] = rank[reach:] + 1
+        order, rank = _ranked(rank * np.int64(n + 2) + second)
         reach *= 2
-        if new[-1] == n - 1:
-            break
     return order
 
 
+def _ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(key, kind="stable")
+    ranked = key[order]
+    rank = np.empty(len(key), dtype=np.int64)
+    rank[order] = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
+    return order, rank
+
+
 def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
     """Equal symbols of neighbouring suffixes, at most DEPTH; -1 at both ends.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import xxhash
@@ -44,29 +44,28 @@ def windows(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix(total)
 
 
+@lru_cache(maxsize=2)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of BASE and of its inverse modulo 2^64."""
+    both = []
+    for base in (int(BASE), pow(int(BASE), -1, 1 << 64)):
+        steps = np.full(size, base, dtype=np.uint64)
+        steps[0] = 1
+        both.append(np.multiply.accumulate(steps))
+    return both[0], both[1]
+
+
 class Prefixes:
-    """Hashes of any run of words, from one pass over the words."""
+    """Hashes of any run of words, from one pass over the words.
+
+    Sums of hash times power; a run is brought to its own start by the inverse power.
+    """
 
     def __init__(self, hashes: np.ndarray):
-        # sum of h[i] * BASE^(-i) would need inverses; powers run upwards instead
-        # and a run is brought to its own start by the inverse power.
         n = len(hashes)
-        powers = np.full(n + 1, BASE, dtype=np.uint64)
-        powers[0] = 1
-        self.up = np.multiply.accumulate(powers)
-        inverse = np.full(n + 1, pow(int(BASE), -1, 1 << 64), dtype=np.uint64)
-        inverse[0] = 1
-        self.down = np.multiply.accumulate(inverse)
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * self.up[:n], dtype=np.uint64)])
+        up, self.down = _powers(1 << max(12, int(n + 1).bit_length()))
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up[:n], dtype=np.uint64)])
 
     def of(self, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         run = (self.sums[start + size] - self.sums[start]) * self.down[start]
         return mix(run ^ size.astype(np.uint64))
-
-
-def flat(parts: list[np.ndarray], dtype) -> np.ndarray:
-    return np.concatenate(parts) if parts else np.empty(0, dtype=dtype)
-
-
-def joined(lists: list[list]) -> list:
-    return list(chain.from_iterable(lists))

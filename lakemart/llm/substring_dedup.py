@@ -18,7 +18,8 @@ segment.  Equal windows have equal anchors.
    Intervals of windows at or above the threshold are reported.
 4. The intervals go back to all documents that hold the segment.
 
-Words count as equal if their 64-bit hashes are.  NULL or empty text: no words.
+Segments count as equal if two 64-bit hashes are, words inside a shard if 48 bits
+of theirs are.  NULL or empty text: no words.
 Repeated rows repeat their windows, so all of theirs are removed; such rows
 (equal id and text) share one key.  NULL ids are a key like any other.  Empty
 table: no rows.  Columns other than id and text are ignored.
@@ -44,6 +45,8 @@ GRAM = 5
 MAP_BITS = 27  # the bit map of anchors met twice takes 16 MB
 SHARD_SEGMENTS = 20_000
 KEY = ("key_id", "key_hash")
+UPPER = np.uint64(0xFFFFFFFF00000000)
+SENT = 6  # bytes of a word's hash that go to a shard
 
 
 def doc_words(text: str) -> list[bytes]:
@@ -57,8 +60,14 @@ def anchor_places(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarr
     inside = window - GRAM + 1
     if len(hashes) < window:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    places = np.lib.stride_tricks.sliding_window_view(grams, inside).argmin(axis=1)
-    places = places + np.arange(len(places))
+    # The upper half of the hash, then the place: the least is the leftmost of equals.
+    least = (grams & UPPER) | np.arange(len(grams), dtype=np.uint64)
+    reach = 1
+    while reach < inside:
+        step = min(reach, inside - reach)
+        least = np.minimum(least[:-step], least[step:])
+        reach += step
+    places = (least & ~UPPER).astype(np.int64)
     return grams[places], places
 
 
@@ -153,7 +162,7 @@ def placed_segments(rows: DataFrame, window: int, bits: np.ndarray, hot: np.ndar
 
 
 def segment_words(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """(anchor, content, n, words) of the wanted segments, words as packed 64-bit hashes."""
+    """(anchor, content, n, words) of the wanted segments, words as packed hashes of SENT bytes."""
     lists = wanted.groupBy(*KEY).agg(F.collect_list(F.struct("anchor", "content", "n", "first", "windows")).alias("segments"))
     lists = lists.select(*(F.col(k).alias(f"w_{k}") for k in KEY), "segments")
     on = F.col("key_id").eqNullSafe(F.col("w_key_id")) & (F.col("key_hash") == F.col("w_key_hash"))
@@ -168,9 +177,9 @@ def segment_words(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame
             lengths = pc.list_value_length(column).to_numpy()
             words, at = [], 0
             for text, size in zip(texts, lengths):
-                hashes = names.of(doc_words(text))
+                packed = names.of(doc_words(text)).view(np.uint8).reshape(-1, 8)[:, :SENT].tobytes()
                 for i in range(at, at + size):
-                    words.append(hashes[first[i] : first[i] + count[i] + window - 1].tobytes())
+                    words.append(packed[first[i] * SENT : (first[i] + count[i] + window - 1) * SENT])
                 at += size
             yield pa.RecordBatch.from_arrays([*fields[:3], pa.array(words, pa.binary())], names=["anchor", "content", "n", "words"])
 
@@ -181,9 +190,10 @@ def search_shard(group: pd.DataFrame, window: int) -> pd.DataFrame:
     """Intervals of windows, counted within their segment, whose words occur twice."""
     # Equal segments that came from equal rows are one.
     group = group.drop_duplicates(["anchor", "content"])
-    parts = [np.frombuffer(w, dtype=np.uint64) for w in group.words]
-    sizes = np.array([len(p) for p in parts], dtype=np.int64)
-    symbols = np.unique(np.concatenate(parts), return_inverse=True)[1].astype(np.int64) + 1
+    sizes = np.array([len(w) // SENT for w in group.words], dtype=np.int64)
+    spread = np.zeros((int(sizes.sum()), 8), dtype=np.uint8)
+    spread[:, :SENT] = np.frombuffer(b"".join(group.words), dtype=np.uint8).reshape(-1, SENT)
+    symbols = np.unique(spread.view(np.uint64)[:, 0], return_inverse=True)[1].astype(np.int64) + 1
     index = FmIndex(symbols, sizes)
     found = matching_statistics(index, symbols, sizes, group.n.to_numpy()) >= window
     edge = np.diff(np.concatenate([[0], found.astype(np.int8), [0]]))
@@ -230,7 +240,7 @@ def repeated_windows(docs: DataFrame, window: int = 35, doc_id: str = "doc_id",
     hits = placed.join(found, ["anchor", "content"]).select(
         *KEY, F.struct((F.col("first") + F.col("shift")).alias("first"), F.col("count")).alias("hit")
     )
-    return hits.groupBy(*KEY).agg(F.array_sort(F.array_distinct(F.collect_list("hit"))).alias("intervals"))
+    return hits.groupBy(*KEY).agg(F.collect_list("hit").alias("intervals"))
 
 
 def covered_words(intervals: list[dict], n: int, window: int) -> np.ndarray:
