@@ -141,6 +141,28 @@ def host_verdicts(hosts: DataFrame, host_limit: float = 0.8, deviations: float =
     )
 
 
+def keep(docs: DataFrame, host: str = "source", text: str = "text", host_limit: float = 0.8) -> DataFrame:
+    """The documents that judge() keeps, all columns, without moving the texts.
+
+    The verdicts per host come first; then each text is measured where it lies.
+    """
+    rates = stored(host_rates(with_rules(measure(docs, [host], text)), host), "quality-hosts")
+    rejected = stored(host_verdicts(rates, host_limit).where("host_rejected").select(F.col(host).alias("__host")), "quality-rejected")
+    ship(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in slices(batches, text):
+            yield batch.filter(pa.array([passes(figures(t)) for t in texts], pa.bool_()))
+
+    passed = docs.mapInArrow(run, docs.schema)
+    return passed.join(rejected, F.col(host).eqNullSafe(F.col("__host")), "left_anti")
+
+
+def passes(found: tuple[int, ...]) -> bool:
+    """The base rule on FIGURES."""
+    return found[0] >= 50 and 100 * found[4] <= 50 * found[0]
+
+
 def judge(
     docs: DataFrame,
     keys: tuple[str, ...] = ("doc_id",),

@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import bpe, chat_format, fingerprints, mixing, quality_rules, secrets, substring_dedup, token_counts
+from lakemart.llm import bpe, chat_format, fingerprints, mixing, near_dedup, pii, quality_rules, secrets, substring_dedup, token_counts
 from lakemart.llm.common import read_documents
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
+SURROGATE_KEY = b"key of the sample runs"  # a real run passes its own
 
 
 def substring_removal(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,10 +68,19 @@ def merkle_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edited_fingerprints(read_documents(spark, folder))
 
 
+def pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    replaced = pii.pseudonymize(read_documents(spark, folder), SURROGATE_KEY)
+    return replaced.select("doc_id", "n_entities", "spans", "text")
+
+
 def piece_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(read_documents(spark, folder), public_tokenizers.path(PIECE_BPE))
 
 
+def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_classes(read_documents(spark, folder))
+
+
 def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": substring_removal,
@@ -80,5 +90,7 @@ def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_bpe_round_trip": bpe_round_trip,
         "op6_host_quality": host_quality,
         "op7_merkle_fingerprints": merkle_fingerprints,
+        "op8_pii_surrogates": pii_surrogates,
         "op9_token_counts": piece_counts,
+        "op10_near_dedup": near_duplicates,
     }
