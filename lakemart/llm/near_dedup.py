@@ -8,11 +8,11 @@ part of each weight is fixed: boilerplate counts less, but a group of copies is
 not pulled apart because its own shingles are frequent.
 
 Equal texts share one node.  Each node gets SAMPLES weighted samples in BANDS
-bands; nodes with one equal band form a bucket.  No bucket is spelled out as all
-pairs: its members are compared with one leader, and those that fail go on among
-themselves - up to SMALL of them pairwise, more under another leader.  Since
-1 - similarity is a metric, a member that fails narrowly can only be linked to
-members far from the leader; just these pairs are compared as well.  Every
+bands; nodes with one equal band form a bucket.  The members of a bucket are
+compared with its least node, and links found so far are joined into components.
+Members that this leaves in other components than the leader are compared with
+all the rest of the bucket, in blocks of bounded size; by the triangle inequality
+of 1 - similarity, members very near to the leader can be left out.  Every
 comparison is the exact weighted Jaccard similarity of the whole texts.
 
 Links join nodes into classes.  NULL or empty text (no words): a class of its
@@ -25,9 +25,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +40,7 @@ SHINGLE = 5
 BANDS, ROWS = 12, 3
 SAMPLES = BANDS * ROWS
 SIMILAR = 0.8
-SMALL = 32
+BLOCK = 256
 SKETCH_ROWS, SKETCH_BITS = 2, 17
 COMMON = 0.05  # of all documents: rarer shingles all have weight 1
 FIXED = 0.75  # part of a weight that does not depend on frequency
@@ -88,8 +88,8 @@ def frequencies(rows: DataFrame) -> Frequencies:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, total = WordHashes(), np.zeros(last + 1, dtype=np.int64)
         for _, texts in slices(batches, "text"):
-            for text in texts:
-                np.add.at(total, cells(shingles(text, names)[0]).ravel(), 1)
+            places = [cells(shingles(text, names)[0]).ravel() for text in texts]
+            total[:last] += np.bincount(np.concatenate(places), minlength=last)
             total[last] += len(texts)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["cell", "n"])
@@ -193,60 +193,94 @@ def compared(pairs: DataFrame, texts: DataFrame, known: Frequencies) -> DataFram
     return with_both.mapInArrow(run, "a binary, b binary, similarity double")
 
 
-def _pair(x: str, y: str):
-    return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
-
-
 def links(nodes: DataFrame, rows: DataFrame, known: Frequencies) -> DataFrame:
-    """(a, b) of compared nodes with a similarity of SIMILAR or more."""
+    """(a, b) of compared nodes with a similarity of SIMILAR or more; enough to join all classes."""
     placed = stored(nodes.select(F.explode("buckets").alias("bucket"), "node"), "near-bands")
     shared = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where(F.col("n") > 1)
-    members = placed.join(shared.select("bucket", "leader"), "bucket")
-    active = stored(members, "near-buckets")
-    involved = active.select("node").distinct()
+    members = stored(placed.join(shared.select("bucket", "leader"), "bucket"), "near-buckets")
+    involved = members.select("node").distinct()
     # One written copy of each text that has a partner; equal texts meet before the exchange.
     texts = stored(rows.join(involved, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "near-texts")
-    all_pairs, all_results, rounds = None, [], []
-    small = None
-    while True:
-        wanted = active.where(F.col("node") != F.col("leader")).select(*_pair("node", "leader"))
-        if small is not None:
-            other = small.select("bucket", F.col("node").alias("other"))
-            wanted = wanted.unionByName(small.join(other, "bucket").where(F.col("node") < F.col("other")).select(*_pair("node", "other")))
-        wanted = wanted.distinct()
-        if all_pairs is not None:
-            wanted = wanted.join(all_pairs.select("a", "b"), ["a", "b"], "left_anti")
-        all_results.append(stored(compared(wanted, texts, known), "near-compared"))
-        all_pairs = reduce(DataFrame.unionByName, all_results)
-        told = active.where(F.col("node") != F.col("leader")).select("bucket", "node", "leader", *_pair("node", "leader"))
-        told = stored(told.join(all_pairs, ["a", "b"]).select("bucket", "node", "leader", "similarity"), "near-told")
-        rounds.append(told)
-        failed = told.where(F.col("similarity") < SIMILAR).select("bucket", "node")
-        left = failed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where(F.col("n") > 1)
-        rest = stored(failed.join(left, "bucket"), "near-rest")
-        small, active = rest.where(F.col("n") <= SMALL), rest.where(F.col("n") > SMALL).select("bucket", "node", "leader")
-        if rest.isEmpty():
-            break
-    return _narrow(reduce(DataFrame.unionByName, all_results), reduce(DataFrame.unionByName, rounds), texts, known)
-
-
-def _narrow(results: DataFrame, told: DataFrame, texts: DataFrame, known: Frequencies) -> DataFrame:
-    """The links, with those between a leader's members and its narrow failures.
-
-    distance(x, y) >= distance(y, leader) - distance(x, leader): members x nearer
-    than that to the leader need no comparison with y.
-    """
+    followers = members.where(F.col("node") != F.col("leader"))
+    pairs = followers.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    results = stored(compared(pairs, texts, known), "near-compared")
+    told = followers.join(results.select(F.col("a").alias("leader"), F.col("b").alias("node"), "similarity"), ["leader", "node"])
     linked = results.where(F.col("similarity") >= SIMILAR).select("a", "b")
-    label = stored(components(linked), "near-labels")
-    narrow = told.where((F.col("similarity") < SIMILAR) & (F.col("similarity") >= 2 * SIMILAR - 1))
-    narrow = narrow.join(label.select("node", F.col("label").alias("own")), "node", "left")
-    narrow = narrow.join(label.select(F.col("node").alias("leader"), F.col("label").alias("theirs")), "leader")
-    narrow = narrow.where(~F.coalesce("own", "node").eqNullSafe(F.col("theirs"))).select("bucket", "leader", F.col("node").alias("y"), F.col("similarity").alias("y_similarity"))
-    inside = told.where(F.col("similarity") >= SIMILAR).select("bucket", "leader", F.col("node").alias("x"), F.col("similarity").alias("x_similarity"))
-    pairs = narrow.join(inside, ["bucket", "leader"]).where(F.col("y_similarity") >= F.col("x_similarity") - (1 - SIMILAR))
-    pairs = pairs.select(*_pair("x", "y")).distinct().join(results.select("a", "b"), ["a", "b"], "left_anti")
-    more = stored(compared(pairs, texts, known), "near-narrow")
-    return linked.unionByName(more.where(F.col("similarity") >= SIMILAR).select("a", "b"))
+    return linked.unionByName(_rest(told, components(linked), texts, known))
+
+
+def _rest(told: DataFrame, label: DataFrame, texts: DataFrame, known: Frequencies) -> DataFrame:
+    """Links between members of one bucket that no leader has joined yet.
+
+    ``others`` of a bucket belong to other components than its leader.  They are
+    compared with each other and with the leader's side in blocks of BLOCK
+    nodes, so no group grows with the bucket.
+    """
+    own = F.coalesce("own", "node")
+    sided = (
+        told.join(label.select("node", F.col("label").alias("own")), "node", "left")
+        .join(label.select(F.col("node").alias("leader"), F.col("label").alias("theirs")), "leader", "left")
+        .select("bucket", "node", "similarity", own.alias("label"), (own != F.coalesce("theirs", "leader")).alias("other"))
+    )
+    sided = stored(sided, "near-sided")
+    sizes = sided.groupBy("bucket").agg(
+        F.count_if("other").alias("others"), F.count_if(~F.col("other")).alias("side"), F.max(F.when(F.col("other"), F.col("similarity"))).alias("most")
+    )
+    sizes = sizes.where((F.col("others") > 1) | ((F.col("others") > 0) & (F.col("side") > 0)))
+    # A member that near to the leader cannot be linked to one that failed by more.
+    near = F.col("similarity") <= F.col("most") + (1 - SIMILAR)
+    blocks = sided.join(sizes, "bucket").where(F.col("other") | near)
+    many = F.ceil(F.col("others") / BLOCK).cast("int"), F.ceil(F.col("side") / BLOCK).cast("int")
+    blocks = blocks.withColumns({"o": many[0], "c": many[1]})
+    blocks = blocks.withColumn("at", F.pmod(F.hash("node"), F.when(F.col("other"), F.col("o")).otherwise(F.col("c"))))
+
+    def upto(n):
+        return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+    def group(i, j, kind):
+        return F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(kind).alias("kind"))
+
+    at = F.col("at")
+    among = F.transform(upto(F.col("o")), lambda j: group(F.least(at, j), F.greatest(at, j), "others"))
+    across = F.transform(upto(F.col("c")), lambda j: group(at, j, "side"))
+    against = F.transform(upto(F.col("o")), lambda i: group(i, at, "side"))
+    dealt = blocks.withColumn("g", F.explode(F.when(F.col("other"), F.concat(among, across)).otherwise(against)))
+    dealt = dealt.select("bucket", "g.*", "node", "label", "other", "at", "similarity").join(texts, "node")
+    shared = texts.sparkSession.sparkContext.broadcast(known)
+    found = dealt.groupBy("bucket", "i", "j", "kind").applyInPandas(
+        lambda rows: joining_links(rows, shared.value), "a binary, b binary"
+    )
+    return found
+
+
+def joining_links(rows: pd.DataFrame, known: Frequencies) -> pd.DataFrame:
+    """One link for each two components that two blocks of a bucket join."""
+    names = WordHashes()
+    sets = []
+    for text in rows.text:
+        hashes, times = shingles(text, names)
+        sets.append((hashes, known.weights(hashes, times)))
+    kind, i, j = rows.kind.iloc[0], rows.i.iloc[0], rows.j.iloc[0]
+    other, at = rows.other.to_numpy(), rows["at"].to_numpy()
+    left = np.flatnonzero(other & (at == i))
+    right = np.flatnonzero(other & (at == j)) if kind == "others" else np.flatnonzero(~other)
+    nodes, out = rows.node.to_list(), []
+    component = np.unique([bytes(x) for x in rows.label], return_inverse=True)[1]
+    if len(left) and len(right):
+        hashes, weights = (np.concatenate([sets[r][k] for r in right]) for k in (0, 1))
+        owner = np.repeat(np.arange(len(right)), [len(sets[r][0]) for r in right])
+        total = np.array([s[1].sum() for s in sets])
+        for a in left:
+            own, own_weights = sets[a]
+            place = np.minimum(np.searchsorted(own, hashes), len(own) - 1)
+            both = own[place] == hashes
+            common = np.bincount(owner[both], np.minimum(own_weights[place[both]], weights[both]), minlength=len(right))
+            similar = common / (total[a] + total[right] - common)
+            for r in right[similar >= SIMILAR]:
+                if component[r] != component[a]:
+                    out.append((bytes(nodes[a]), bytes(nodes[r])))
+                    component[component == component[r]] = component[a]
+    return pd.DataFrame(out, columns=["a", "b"])
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
