@@ -1,0 +1,110 @@
+"""NULLs, empty and long texts, repeated rows, clashing columns, empty tables."""
+
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from lakemart.llm import bpe, chat_format, fingerprints, mixing, near_dedup, pii, quality_rules, secrets, substring_dedup, token_counts
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, kept boolean, label string, n_tokens long"
+LONG = " ".join(f"word{i} and" for i in range(30_000))
+WORDS = " ".join(f"w{i}" for i in range(80))
+ROWS = [
+    (1, WORDS, "en", "a", 5, 1, True, "x", 1),
+    (1, WORDS, "en", "a", 5, 1, True, "x", 1),
+    (2, WORDS, None, None, None, None, None, None, None),
+    (3, None, "en", "a", 0, 1, True, "x", 1),
+    (4, "", "en", None, 0, 1, True, "x", 1),
+    (None, "w1 w2", "en", "b", 0, 1, True, "x", 1),
+    (None, None, None, None, None, None, None, None, None),
+    (6, LONG, "en", "b", 0, 1, True, "x", 1),
+    (7, " \t\n\x0b\x0c\r", "en", "b", 0, 1, True, "x", 1),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, SCHEMA)
+
+
+OPERATORS = {
+    "op1": lambda d: substring_dedup.remove_repeated(d),
+    "op2": lambda d: secrets.scan(d),
+    "op2_redact": lambda d: secrets.redact(d),
+    "op3": lambda d: mixing.mix(d),
+    "op5": lambda d: bpe.encode_decode(d, public_tokenizers.path("word_bpe_49k.json")),
+    "op6": lambda d: quality_rules.judge(d),
+    "op7": lambda d: fingerprints.edited_fingerprints(d),
+    "op8": lambda d: pii.pseudonymize(d, b"k"),
+    "op9": lambda d: token_counts.count_tokens(d, public_tokenizers.path("piece_bpe_32k.model")),
+    "op10": lambda d: near_dedup.near_classes(d),
+}
+
+
+@pytest.mark.parametrize("name", sorted(OPERATORS))
+def test_every_row_comes_back(docs, name):
+    assert OPERATORS[name](docs).count() == len(ROWS)
+
+
+@pytest.mark.parametrize("name", sorted(OPERATORS))
+def test_empty_table(spark, name):
+    assert OPERATORS[name](spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_values(docs):
+    removed = {(r.doc_id, r.n_words, r.n_removed) for r in substring_dedup.remove_repeated(docs).collect()}
+    assert {(1, 80, 80), (2, 80, 80), (3, 0, 0), (6, 60_000, 0), (7, 0, 0)} <= removed
+    near = {(r.doc_id, r.class_id) for r in near_dedup.near_classes(docs).collect()}
+    assert {(1, 1), (2, 1), (3, 3), (4, 4), (6, 6)} <= near
+    assert near_dedup.keep_first(docs).where(F.col("doc_id").isin(1, 2)).count() == 1
+    assert sum(r.taken for r in mixing.mix(docs).collect()) > 0
+    assert mixing.mixed_documents(docs).columns == docs.columns
+    assert quality_rules.keep(docs).count() == 4
+    prints = {(r.doc_id, r.n_chars) for r in fingerprints.edited_fingerprints(docs).collect()}
+    assert (3, 0) in prints and (4, 0) in prints
+
+
+def test_fingerprint_edits(spark):
+    a, b = "One. Two.\nThree.\n\nFour.", "One. 2.\nThree.\n\nFour. Five."
+    row = spark.range(1).select(fingerprints.fingerprint(F.lit(a)).alias("a"), fingerprints.fingerprint(F.lit(b)).alias("b"))
+    found = row.select(fingerprints.edits(F.col("a"), F.col("b")).alias("e"), fingerprints.edits(F.col("a"), F.col("a")).alias("n")).first()
+    assert [tuple(e) for e in found.e] == [(1, 1, 2), (2, 1, 2)]
+    assert found.n == []
+
+
+def test_chat(spark):
+    nodes = spark.createDataFrame(
+        [(1, 1, None, "user", "q", 0.0), (1, 2, 1, "assistant", "good ###", 2.0), (1, 3, 1, "assistant", "bad", 1.0), (1, 4, 2, "user", None, 5.0)]
+        + [(2, 9, 77, None, "alone: \\h", 0.0), (None, 1, None, "user", "no tree", 0.0)],
+        "tree long, node long, parent long, role string, text string, score double",
+    )
+    made = chat_format.format_paths(nodes)
+    read = made.select("tree", "leaf", "rank", chat_format.read_turns(F.col("formatted")).alias("turns")).collect()
+    told = {(r.tree, r.leaf, r.rank): [tuple(t) for t in r.turns] for r in read}
+    assert told[1, 4, 1] == [("user", "q"), ("assistant", "good ###"), ("user", "")]
+    assert told[1, 3, 2] == [("user", "q"), ("assistant", "bad")]
+    assert told[2, 9, 1] == [("", "alone: \\h")]
+    assert told[None, 1, 1] == [("user", "no tree")]
+    loss = made.select("leaf", chat_format.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss")).where("leaf = 4").first()
+    assert loss.loss == "good ###"
+    assert chat_format.format_paths(nodes, branches=1).count() == 3
+    assert chat_format.format_paths(nodes.limit(0)).count() == 0
+
+
+def test_random_secret_among_words(spark):
+    key = "xJQ4bnT9uRzKq0LmWd27GcYhVs1AfEpo"
+    rows = [(i, f"see the international-standardisation/of-everything {key[i:] + key[:i]} here", "s") for i in range(20)]
+    found = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert all(r.spans.startswith("random:") and r.n_random == 1 for r in found)
+
+
+def test_surrogates_stay_distinct(spark):
+    rows = [(i, f"Mrs. Anna Weber{i}, mail a{i}@x.org, call (702) 555-{i:04d} or 702-555-{i:04d}; card 4111111111111111", "s") for i in range(300)]
+    out = pii.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string, source string"), b"k").collect()
+    phones = [r.text.split("call ")[1][:14] for r in out]
+    again = [r.text.split(" or ")[1][:12] for r in out]
+    assert len(set(phones)) == 300
+    assert all([c for c in a if c.isdigit()] == [c for c in b if c.isdigit()] for a, b in zip(phones, again))
+    assert len({r.text.split("mail ")[1].split(",")[0] for r in out}) == 300
+    cards = {r.text.rsplit(" ", 1)[1] for r in out}
+    assert len(cards) == 1 and pii.luhn(cards.pop()) == 0
