@@ -1,14 +1,15 @@
 """Top-k search over a chunk table: vectors, keywords, and both fused.
 
-All searches answer a whole table of questions in one job.  Question tables are
-small next to the corpus: up to ``MAX_QUERIES`` of them travel to every task,
-counted first; larger tables take another way to the same result.
+All searches answer a whole table of questions.  Keyword search sends slices of
+about ``MAX_QUERIES`` questions to every task, however many there are; vector
+search sends up to that many at once and cuts both tables into blocks beyond.
 """
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -23,7 +24,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from lakemart.functions.text import terms
 from lakemart.operators.cdc import table_diff
-from lakemart.operators.skew import is_bounded
+from lakemart.sources.tables import materialize
 
 # Tasks receive the helpers below with the job itself, so executors need no
 # copy of this package.
@@ -346,47 +347,49 @@ def bm25_topk(
     question: str = "question",
     doc_id: str = "chunk_id",
     text: str = "chunk_to_retrieve",
+    slice_size: int = MAX_QUERIES,
 ) -> DataFrame:
     """BM25 keyword top-k of every question over the whole corpus.
 
-    If the questions' terms fit into every task (they are counted first), the
-    corpus is scored where it lies, without a shuffle of texts or postings, and
-    each batch passes on at most ``k`` rows per question.  Otherwise terms and
-    postings are joined.
+    The corpus is scored where it lies, without a shuffle of texts or postings,
+    and each batch passes on at most ``k`` rows per question.  The questions go
+    in slices of about ``slice_size``, all scored alike.  A NULL text is no
+    document: it counts neither in the number of documents nor in their length.
     """
+    docs = docs.where(F.col(text).isNotNull())
     asked = questions.select(question_id, F.explode(F.array_distinct(terms(F.col(question)))).alias("term"))
-    if is_bounded(asked) and is_bounded(questions, MAX_QUERIES):
-        scored = _bm25_in_place(asked, docs, k, question_id, doc_id, text)
-    else:
-        scored = _bm25_by_join(asked, docs, question_id, doc_id, text)
-    return keep_top(scored, k, question_id, doc_id)
-
-
-def _bm25_in_place(
-    asked: DataFrame, docs: DataFrame, k: int, question_id: str, doc_id: str, text: str
-) -> DataFrame:
-    spark = asked.sparkSession
-    pairs = asked.toArrow()  # counted before
-    schema = _result_schema(asked, question_id, docs, doc_id)
     words = docs.select(doc_id, terms(F.col(text)).alias("_terms"))
-    vocabulary = pc.unique(pairs.column("term")) if pairs.num_rows else pa.array([], pa.string())
-    if len(vocabulary) == 0:
-        return spark.createDataFrame([], schema)
-
-    # One pass for the totals and the number of documents with each term.
+    # One pass for the totals and the number of documents with each asked term.
     totals = Observation()
     seen = words.observe(totals, F.count(F.lit(1)).alias("n"), F.sum(F.size("_terms")).alias("words"))
-    frequency = (
+    frequency = materialize(
         seen.select(F.explode(F.array_distinct("_terms")).alias("term"))
-        .join(F.broadcast(asked.select("term").distinct()), "term", "left_semi")
+        .join(asked.select("term").distinct(), "term", "left_semi")
         .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"))
-        .toArrow()
-    )  # at most one row per asked term
+        .agg(F.count(F.lit(1)).alias("df")),
+        "bm25-frequency",
+    )
     n = totals.get["n"]
     average = (totals.get["words"] or 0) / n if n else 0.0
+    schema = _result_schema(asked, question_id, docs, doc_id)
+    slices = max(1, -(-asked.select(question_id).distinct().count() // slice_size))
+    scored = [
+        _bm25_slice(asked.where(F.pmod(F.xxhash64(question_id), F.lit(slices)) == i), words, frequency, n, average, k, question_id, schema)
+        for i in range(slices)
+    ]
+    return keep_top(reduce(DataFrame.unionByName, scored), k, question_id, doc_id)
+
+
+def _bm25_slice(asked, words, frequency, n, average, k, question_id, schema) -> DataFrame:
+    """The best k documents of each batch for one slice of the questions."""
+    spark = words.sparkSession
+    pairs = asked.toArrow()  # the terms of one slice
+    vocabulary = pc.unique(pairs.column("term")) if pairs.num_rows else pa.array([], pa.string())
+    if len(vocabulary) == 0:
+        return spark.createDataFrame([], schema)
+    known = frequency.join(asked.select("term").distinct(), "term", "left_semi").toArrow()
     df = np.zeros(len(vocabulary))
-    df[pc.index_in(frequency.column("term"), vocabulary).to_numpy()] = frequency.column("df").to_numpy()
+    df[pc.index_in(known.column("term"), vocabulary).to_numpy()] = known.column("df").to_numpy()
     rarity = np.log(1 + (n - df + 0.5) / (df + 0.5))
 
     ids = np.asarray(pc.unique(pairs.column(question_id)).to_pylist())
@@ -398,9 +401,11 @@ def _bm25_in_place(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, rarity, ids, term_of, wants, average = sent.value
+        # Texts x questions and texts x terms stay within SCORE_CELLS.
+        block = max(1, min(TEXT_BLOCK, SCORE_CELLS // max(len(ids), len(vocabulary))))
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXT_BLOCK):
-                part = batch.slice(at, TEXT_BLOCK)
+            for at in range(0, batch.num_rows, block):
+                part = batch.slice(at, block)
                 scores = _bm25_scores(part.column(1), vocabulary, rarity, term_of, wants, len(ids), average)
                 found = _select(scores, ids, np.asarray(part.column(0).to_pylist()), k)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(found, out)], schema=out)
@@ -429,25 +434,6 @@ def _bm25_scores(lists: pa.ListArray, vocabulary, rarity, term_of, wants, n_ques
     return np.where(scores > 0, np.round(scores, SCORE_DIGITS), -np.inf)
 
 
-def _bm25_by_join(asked: DataFrame, docs: DataFrame, question_id: str, doc_id: str, text: str) -> DataFrame:
-    size = F.size(terms(F.col(text)))
-    corpus = docs.select(F.struct(F.count(F.lit(1)).alias("n"), F.avg(size).alias("avg"))).scalar()
-    postings = term_counts(docs, doc_id, text).join(asked.select("term").distinct(), "term", "left_semi")
-    n, average = corpus.getField("n"), corpus.getField("avg")
-    rarity = (
-        postings.groupBy("term")
-        .agg(F.count(F.lit(1)).alias("_df"))
-        .select("term", F.log(1 + (n - F.col("_df") + 0.5) / (F.col("_df") + 0.5)).alias("_idf"))
-    )
-    damped = F.col("tf") + BM25_K1 * (1 - BM25_B + BM25_B * F.col("length") / average)
-    return (
-        postings.join(asked.join(rarity, "term"), "term")
-        .groupBy(question_id, doc_id)
-        .agg(F.sum(F.col("_idf") * F.col("tf") * (BM25_K1 + 1) / damped).alias("_sum"))
-        .select(question_id, doc_id, F.round("_sum", SCORE_DIGITS).alias("score"))
-    )
-
-
 # --------------------------------------------------------------------- hybrid
 
 

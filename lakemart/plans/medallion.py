@@ -25,14 +25,15 @@ class Medallion:
     """Silver, valid, quarantine and Gold as unevaluated DataFrames.
 
     ``bronze`` offers ``transactions``, ``opportunity``, ``account_feed``,
-    ``product_feed`` and ``inventory_feed``.
+    ``product_feed`` and ``inventory_feed``.  Without ``start`` and ``end`` the
+    calendar covers all years of the sales, so that no sale falls out of a report.
     """
 
     def __init__(
         self,
         bronze,
-        start: date = gold.CALENDAR_START,
-        end: date = gold.CALENDAR_END,
+        start: date | None = None,
+        end: date | None = None,
         flag_failures: bool = False,
     ):
         self.bronze = bronze
@@ -99,7 +100,9 @@ class Medallion:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return gold.dim_date(gold.date_spine(self.spark, self.start, self.end))
+        if self.start and self.end:
+            return gold.dim_date(gold.date_spine(self.spark, self.start, self.end))
+        return gold.dim_date(gold.date_spine_covering(self.cleaned_transactions, "transaction_timestamp"))
 
     @cached_property
     def fact_sales(self) -> DataFrame:

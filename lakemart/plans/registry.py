@@ -26,7 +26,7 @@ SAMPLE_REGION = "NATION_3"
 
 
 def medallion(spark: SparkSession, folder: str) -> Medallion:
-    return Medallion(SampleBronze(spark, folder), SAMPLE_START, SAMPLE_END)
+    return Medallion(SampleBronze(spark, folder))
 
 
 def portable(df: DataFrame) -> DataFrame:

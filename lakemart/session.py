@@ -47,11 +47,14 @@ def build_session(
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder for stream checkpoints and interim tables.
 
-    It lies in the cluster's shared ``spark.checkpoint.dir``; only a session
-    without that setting (a laptop, a test) falls back to a temporary folder.
+    It lies in the cluster's shared ``spark.checkpoint.dir``.  Only a local
+    session may go without that setting and gets a temporary folder: on a
+    cluster each machine would write to its own.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     name = f"{label}-{uuid.uuid4().hex[:12]}"
     if shared:
         return f"{shared.rstrip('/')}/{name}"
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     return tempfile.mkdtemp(prefix=f"{name}-")

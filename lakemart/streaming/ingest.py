@@ -63,6 +63,9 @@ def run(spark: SparkSession, drops: CsvDrops) -> None:
 
 
 def _take(spark: SparkSession, drops: CsvDrops, paths: DataFrame, batch: int) -> None:
+    target = f"{drops.table}/{BATCH}={batch}"
+    if _exists(spark, f"{target}/_SUCCESS"):
+        return  # written before a restart: its files keep their names, so that no reader sees them twice
     files = sorted(row.path for row in paths.collect())  # at most max_files names
     known = table_schema(spark, drops)
     rows = read_drops(spark, files, drops.hints, drops.null_token)
@@ -70,8 +73,13 @@ def _take(spark: SparkSession, drops: CsvDrops, paths: DataFrame, batch: int) ->
         return
     grown = _merged(known, rows.schema)
     if grown != known:
-        _save_schema(spark, drops, grown)
-    rows.write.mode("overwrite").parquet(f"{drops.table}/{BATCH}={batch}")
+        _save_schema(spark, drops, grown, batch)
+    rows.write.mode("overwrite").parquet(target)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 def read_drops(spark: SparkSession, files: list[str], hints: str, null_token: str = "null") -> DataFrame | None:
@@ -120,9 +128,10 @@ def _merged(known: StructType | None, new: StructType) -> StructType:
     return StructType(fields + [f for f in new.fields if f.name not in names])
 
 
-def _save_schema(spark: SparkSession, drops: CsvDrops, schema: StructType) -> None:
+def _save_schema(spark: SparkSession, drops: CsvDrops, schema: StructType, batch: int) -> None:
+    """One folder per batch: nothing saved before is ever replaced."""
     line = spark.createDataFrame([(schema.json(),)], "value string")
-    line.coalesce(1).write.mode("overwrite").text(drops.schema_path)
+    line.coalesce(1).write.mode("overwrite").text(f"{drops.schema_path}/{BATCH}={batch}")
 
 
 def table_schema(spark: SparkSession, drops: CsvDrops) -> StructType | None:
@@ -132,8 +141,15 @@ def table_schema(spark: SparkSession, drops: CsvDrops) -> StructType | None:
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
+        lines = []
+    if not lines:
+        if _exists(spark, drops.table):
+            raise ValueError(f"{drops.table} has batches, but its schema is gone from {drops.schema_path}")
         return None
-    return StructType.fromJson(json.loads(lines[0].value)) if lines else None
+    schema = None
+    for line in sorted(lines, key=lambda x: x[BATCH]):
+        schema = _merged(schema, StructType.fromJson(json.loads(line.value)))
+    return schema
 
 
 def _read_schema(spark: SparkSession, drops: CsvDrops) -> StructType:

@@ -2,11 +2,13 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from lakemart.plans.registry import build_queries
+from oracle.queries import oracle_sql
 from tests.compare import compare, engine
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLE = queries(), oracle_sql()
+QUERIES, ORACLE = build_queries(), oracle_sql()
 pytestmark = pytest.mark.oracle
 
 

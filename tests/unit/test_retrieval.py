@@ -117,9 +117,16 @@ def test_bm25(texts):
     assert found(R.bm25_topk(*texts, 3)) == brute_bm25(3)
 
 
-def test_bm25_without_broadcast(texts, monkeypatch):
-    monkeypatch.setattr(R, "is_bounded", lambda df, rows=0: False)
-    assert found(R.bm25_topk(*texts, 3)) == brute_bm25(3)
+@pytest.mark.parametrize("slice_size", [1, 2, 7])
+def test_bm25_in_slices(texts, slice_size):
+    assert found(R.bm25_topk(*texts, 3, slice_size=slice_size)) == brute_bm25(3)
+
+
+@pytest.mark.parametrize("slice_size", [1, 100])
+def test_bm25_leaves_missing_texts_out(spark, texts, slice_size):
+    asked, docs = texts
+    missing = docs.limit(0).unionByName(spark.createDataFrame([("none1",), ("none2",)], "chunk_id string"), allowMissingColumns=True)
+    assert found(R.bm25_topk(asked, docs.unionByName(missing), 3, slice_size=slice_size)) == brute_bm25(3)
 
 
 def test_postings_are_shuffled_once(texts):

@@ -74,6 +74,34 @@ def test_repeating_a_batch_adds_nothing(spark, drops):
     assert ingest.read_table(spark, drops).count() == 1
 
 
+def test_restart_after_the_write_keeps_silver(spark, drops, tmp_path):
+    put(drops, "a.csv", HEADER, line("t1"), line("t2"))
+    out, state = str(tmp_path / "silver"), str(tmp_path / "silver_state")
+
+    def both():
+        ingest.run(spark, drops)
+        rows = ingest.stream_table(spark, drops)
+        rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+        return spark.read.parquet(out).count()
+
+    assert both() == 2
+    commits = os.path.join(drops.state, "checkpoint", "commits")
+    for name in os.listdir(commits):  # as if the run had ended between write and commit
+        if name.strip(".").split(".")[0].isdigit():
+            os.remove(os.path.join(commits, name))
+    assert both() == 2 and ingest.read_table(spark, drops).count() == 2
+
+
+def test_a_lost_schema_is_told(spark, drops):
+    put(drops, "a.csv", HEADER, line("t1"))
+    ingest.run(spark, drops)
+    for folder, _, names in os.walk(drops.schema_path):
+        for name in names:
+            os.remove(os.path.join(folder, name))
+    with pytest.raises(ValueError, match="schema is gone"):
+        ingest.read_table(spark, drops)
+
+
 def test_nothing_ingested_yet(spark, drops):
     with pytest.raises(ValueError):
         ingest.read_table(spark, drops)
