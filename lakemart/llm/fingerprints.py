@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import text_of
+from lakemart.llm.common import stored, text_of
 
 PIECE = r"[^.!?]{1,160}[.!?]*|[.!?]+"
 SHORT = 12  # hex digits of a digest below the root
@@ -130,15 +130,12 @@ def with_next_text(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     heads = inside.join(lots, F.col("lot") == F.col("l")).select(
         F.col("block").alias("b"), "head", F.coalesce("before", "wrap").alias("before")
     )
-    # Both uses deal the texts out by block, so they share one exchange.
-    dealt = rows.repartition("block")
-    firsts = (
-        dealt.join(heads, (F.col("block") == F.col("b")) & F.struct("doc_id", "tie").eqNullSafe(F.col("head")))
-        .dropDuplicates(["block"])
-        .select(F.col("before").alias("for_block"), F.col("text").alias("first_text"))
-    )
+    # One row per block, written so that its size is known: small, it travels to the texts.
+    heads = stored(heads, "merkle-heads")
+    same = (F.col("block") == F.col("b")) & F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("tie") == F.col("head.tie"))
+    firsts = rows.join(heads, same).dropDuplicates(["block"]).select(F.col("before").alias("for_block"), F.col("text").alias("first_text"))
     order = Window.partitionBy("block").orderBy("doc_id", "tie")
-    led = dealt.withColumn("next_text", F.lead("text").over(order))
+    led = rows.withColumn("next_text", F.lead("text").over(order))
     at_end = F.col("next_text").isNull() & (F.col("block") == F.col("for_block"))
     return led.join(firsts, at_end, "left").select("doc_id", "text", F.coalesce("next_text", "first_text").alias("next_text"))
 
