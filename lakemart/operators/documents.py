@@ -109,23 +109,26 @@ class _Windows:
     def text(self, at: Column) -> Column:
         return F.array_join(F.slice("_words", at + 1, F.lit(self.size)), " ")
 
-    def fields(self, position: Column, at: Column, text: Column) -> dict[str, Column]:
+    def fields(self, position: Column, at: Column, text: Column, count: Column) -> dict[str, Column]:
         return {
             "chunk_position": position,
             "chunk_to_retrieve": text,
             "chunk_to_embed": F.concat_ws(": ", self.category, text),
-            "metadata": F.to_json(F.struct(self.count().alias("chunks"), at.alias("start_word"))),
+            "metadata": F.to_json(F.struct(count.alias("chunks"), at.alias("start_word"))),
         }
 
 
 def chunk(docs: DataFrame, size: int = 120, overlap: int = 20) -> DataFrame:
     """One row per word window of every document, in the chunk table's columns."""
     w = _Windows(docs, size, overlap)
-    # The outer form: the inner one would derive a filter that splits the text
-    # a second time.
-    placed = w.docs.select("*", F.posexplode_outer(w.starts()).alias("_at_no", "_at")).filter("_at IS NOT NULL")
-    texts = placed.withColumn("_text", w.text(F.col("_at")))
-    return _chunk_rows(texts.withColumns(w.fields(F.col("_at_no"), F.col("_at"), F.col("_text"))))
+    pieces = F.transform(w.starts(), lambda at: F.struct(at.alias("at"), w.text(at).alias("text")))
+    # Finished texts are exploded: with the words in them, the rows of one
+    # document would grow with the square of its length.  The outer form: the
+    # inner one would derive a filter that splits the text a second time.
+    counted = w.docs.withColumn("_count", w.count())
+    placed = counted.select("*", F.posexplode_outer(pieces).alias("_no", "_piece")).filter("_piece IS NOT NULL")
+    fields = w.fields(F.col("_no"), F.col("_piece.at"), F.col("_piece.text"), F.col("_count"))
+    return _chunk_rows(placed.withColumns(fields))
 
 
 def prepare(docs: DataFrame, size: int = 120, overlap: int = 20) -> DataFrame:
@@ -137,7 +140,7 @@ def prepare(docs: DataFrame, size: int = 120, overlap: int = 20) -> DataFrame:
     w = _Windows(docs, size, overlap)
     contents = F.transform(
         w.starts(),
-        lambda at, i: F.struct(*(c.alias(n) for n, c in w.fields(i, at, w.text(at)).items())),
+        lambda at, i: F.struct(*(c.alias(n) for n, c in w.fields(i, at, w.text(at), w.count()).items())),
     )
     shape = F.struct(F.struct(contents.alias("contents")).alias("document"))
     return w.docs.withColumn("result", F.to_variant_object(shape)).drop("_words")

@@ -38,7 +38,7 @@ class Model:
         Measure(
             "total_net_sales",
             "net_sales_amount",
-            ("net sales", "total net sales", "sales", "sales amount", "revenue"),
+            ("net sales", "total net sales", "sales", "total sales", "sales amount", "revenue"),
         ),
     )
     # Columns whose values people name in questions.

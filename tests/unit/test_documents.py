@@ -70,6 +70,13 @@ def test_variant_path_gives_the_same_chunks(spark):
     assert direct.head().chunk_to_embed.startswith("Home: 0 1")
 
 
+def test_chunk_rows_do_not_carry_the_words(spark):
+    docs = spark.createDataFrame([("d", "t", "s", "one two three")], ", ".join(f"{c} string" for c in ("document_id", "document_type", "source", "content")))
+    plan = documents.chunk(docs, 2, 1)._jdf.queryExecution().optimizedPlan().toString()
+    # The words are the fourth column in front of the generator, which drops it.
+    assert "[3], true, [_no" in plan
+
+
 def test_combined_sources(spark):
     a = documents.chunk(texts(spark, "x y"))
     b = documents.chunk(texts(spark, "z").withColumns({"product_id": F.lit("P1"), "category": F.lit("Home"), "product_segment": F.lit("BUDGET")}))

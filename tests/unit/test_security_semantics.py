@@ -132,7 +132,7 @@ def test_segments_and_channels(star):
     assert {r[0]: r[1] for r in rows(marts.channel_share(star))} == {"Store": Decimal("1079.00"), "Online": Decimal("100.00")}
 
 
-@pytest.mark.parametrize("word", ["net sales", "Revenue", "total_net_sales", "sales  amount", "sales"])
+@pytest.mark.parametrize("word", ["Total Sales", "net sales", "Revenue", "total_net_sales", "sales  amount", "sales"])
 def test_measure_synonyms(star, word):
     out = semantics.star_query(star, ["category"], word, filters={"sales_channel": "Store", "billing_state": ["North"]})
     assert rows(out) == [("Mobile", Decimal("50.00"))]
