@@ -17,28 +17,29 @@ class WaveletMatrix:
     def __init__(self, symbols: np.ndarray, sigma: int):
         self.levels = max(1, int(sigma - 1).bit_length())
         self.words, self.before, self.zeros = [], [], []
-        now = symbols.astype(np.int64)
+        now = symbols.astype(np.int32)
         n = len(now)
+        padded = np.zeros((n // 32 + 1) * 32, dtype=np.uint8)
         for level in range(self.levels):
             bit = (now >> (self.levels - 1 - level)) & 1
-            padded = np.zeros((n // 64 + 1) * 64, dtype=np.uint8)
             padded[:n] = bit
-            packed = np.packbits(padded, bitorder="little").view(np.uint64)
-            ones = np.bitwise_count(packed).astype(np.int64)
+            packed = np.packbits(padded, bitorder="little").view(np.uint32)
+            ones = np.cumsum(np.bitwise_count(packed), dtype=np.int32)
             self.words.append(packed)
-            self.before.append(np.concatenate([[0], np.cumsum(ones)])[:-1].astype(np.int32))
-            self.zeros.append(int(n - bit.sum()))
-            now = np.concatenate([now[bit == 0], now[bit == 1]])
-        everything = np.arange(sigma, dtype=np.int64)
-        self.start = self._descend(everything, np.zeros(sigma, dtype=np.int64))
+            self.before.append(np.concatenate([[0], ones[:-1]]).astype(np.int32))
+            self.zeros.append(np.int32(n - ones[-1]))
+            one = bit == 1
+            now = np.concatenate([now[~one], now[one]])
+        everything = np.arange(sigma, dtype=np.int32)
+        self.start = self._descend(everything, np.zeros(sigma, dtype=np.int32))
 
     def _descend(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
         for level in range(self.levels):
-            word = at >> 6
-            mask = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
-            ones = self.before[level][word] + np.bitwise_count(self.words[level][word] & mask)
-            bit = (symbol >> (self.levels - 1 - level)) & 1
-            at = np.where(bit == 1, self.zeros[level] + ones, at - ones)
+            word = at >> 5
+            below = (np.uint32(1) << (at & 31).astype(np.uint32)) - np.uint32(1)
+            ones = self.before[level].take(word)
+            ones += np.bitwise_count(self.words[level].take(word) & below)
+            at = np.where((symbol >> (self.levels - 1 - level)) & 1, ones + self.zeros[level], at - ones)
         return at
 
     def rank(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -47,30 +48,39 @@ class WaveletMatrix:
 
 
 def sorted_suffixes(text: np.ndarray) -> np.ndarray:
-    """Suffixes by their first DEPTH symbols, by doubling from the first three."""
+    """Suffixes by their first DEPTH symbols, by doubling from the first three.
+
+    A suffix is ranked by the first place of its ties, so that each round sorts
+    only what is still tied.
+    """
     n = len(text)
-    rank = text.astype(np.int64)
-    base = int(rank.max(initial=0)) + 1
+    key = text.astype(np.int64)
+    base = int(key.max(initial=0)) + 1
     reach = 1
     if base < 1 << 20:  # three symbols fit into one key
-        padded = np.concatenate([rank, np.zeros(2, np.int64)])
-        rank = (padded[:n] * base + padded[1 : n + 1]) * base + padded[2 : n + 2]
+        padded = np.concatenate([key, np.zeros(2, np.int64)])
+        key = (padded[:n] * base + padded[1 : n + 1]) * base + padded[2 : n + 2]
         reach = 3
-    order, rank = _ranked(rank)
-    while reach < DEPTH and rank[order[-1]] < n - 1:
-        second = np.zeros(n, dtype=np.int64)
-        second[: max(n - reach, 0)] = rank[reach:] + 1
-        order, rank = _ranked(rank * np.int64(n + 2) + second)
+    order = np.argsort(key)
+    rank = np.full(n + DEPTH, -1, dtype=np.int64)  # nothing comes first
+    at, rank[order] = _ties(key[order], np.arange(n))
+    while reach < DEPTH and len(at):
+        tied = order[at]
+        key = rank[tied] * (n + 1) + rank[tied + reach] + 1
+        again = np.argsort(key)
+        tied = tied[again]
+        order[at] = tied
+        at, rank[tied] = _ties(key[again], at)
         reach *= 2
     return order
 
 
-def _ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(key, kind="stable")
-    ranked = key[order]
-    rank = np.empty(len(key), dtype=np.int64)
-    rank[order] = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
-    return order, rank
+def _ties(key: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places whose key another one has, and for all places the first of their key."""
+    new = np.ones(len(key) + 1, dtype=bool)
+    np.not_equal(key[1:], key[:-1], out=new[1:-1])
+    first = np.maximum.accumulate(np.where(new[:-1], at, 0))
+    return at[~(new[:-1] & new[1:])], first
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -80,27 +90,29 @@ def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
     """
     n = len(order)
     padded = np.concatenate([text, np.zeros(DEPTH, dtype=text.dtype)])
-    lcp = np.zeros(n + 1, dtype=np.int64)
+    lcp = np.zeros(n + 1, dtype=np.int32)
     lcp[0] = lcp[n] = -1
-    rows = np.arange(1, n)
-    for depth in range(DEPTH):
-        a, b = padded[order[rows - 1] + depth], padded[order[rows] + depth]
-        rows = rows[(a == b) & (a != 0)]
-        if not len(rows):
+    rows = np.arange(1, n, dtype=np.int32)
+    left, right = order[:-1], order[1:]
+    for depth in range(1, DEPTH + 1):
+        a = padded.take(left)
+        same = np.flatnonzero((a == padded.take(right)) & (a != 0))
+        if not len(same):
             break
-        lcp[rows] += 1
+        rows, left, right = rows[same], left[same] + 1, right[same] + 1
+        lcp[rows] = depth
     return lcp
 
 
 def smaller_before(values: np.ndarray) -> np.ndarray:
     """The nearest earlier place with a smaller value (place 0 has the least)."""
-    at = np.arange(len(values)) - 1
+    at = np.arange(-1, len(values) - 1, dtype=np.int32)
     at[0] = 0
-    rows = np.flatnonzero(values[at] >= values)
-    rows = rows[rows > 0]
+    rows = np.flatnonzero(values[:-1] >= values[1:]) + 1
     while len(rows):
-        at[rows] = at[at[rows]]
-        rows = rows[(values[at[rows]] >= values[rows]) & (at[rows] > 0)]
+        jump = at.take(at.take(rows))
+        at[rows] = jump
+        rows = rows[(values.take(jump) >= values.take(rows)) & (jump > 0)]
     return at
 
 
@@ -110,14 +122,14 @@ class FmIndex:
     def __init__(self, sequences: np.ndarray, sizes: np.ndarray):
         """``sequences`` one behind the other, ``sizes`` their lengths."""
         ends = np.cumsum(sizes + 1) - 1
-        text = np.zeros(int(sizes.sum()) + len(sizes), dtype=np.int64)
+        text = np.zeros(int(sizes.sum()) + len(sizes), dtype=np.int32)
         inside = np.ones(len(text), dtype=bool)
         inside[ends] = False
         text[inside] = sequences
         self.n = len(text)
         sigma = int(text.max()) + 1 if self.n else 1
         order = sorted_suffixes(text)
-        self.counts = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=sigma))])
+        self.counts = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=sigma))]).astype(np.int32)
         self.wavelet = WaveletMatrix(text[order - 1], sigma)
         self.lcp = common_prefixes(text, order)
         self.up = smaller_before(self.lcp)
@@ -141,19 +153,23 @@ class FmIndex:
         return np.maximum(size, 0), low, high
 
 
-def matching_statistics(index: FmIndex, sequences: np.ndarray, sizes: np.ndarray, copies: np.ndarray) -> np.ndarray:
+def matching_statistics(index: FmIndex, sequences: np.ndarray, sizes: np.ndarray, copies: np.ndarray, least: int = 0) -> np.ndarray:
     """For each place the longest run from there that is found at least twice.
 
     The sequences are streamed against an index that holds them; ``copies`` says
-    how many occurrences each sequence stands for.
+    how many occurrences each sequence stands for.  A sequence is left, its other
+    places at 0, where no run in front can reach ``least`` any more: a run grows
+    by at most one symbol a place.
     """
     begin = np.cumsum(sizes) - sizes
-    found = np.zeros(len(sequences), dtype=np.int64)
-    low = np.zeros(len(sizes), dtype=np.int64)
-    high = np.full(len(sizes), index.n, dtype=np.int64)
-    length = np.zeros(len(sizes), dtype=np.int64)
+    sequences = sequences.astype(np.int32)
+    found = np.zeros(len(sequences), dtype=np.int32)
+    low = np.zeros(len(sizes), dtype=np.int32)
+    high = np.full(len(sizes), index.n, dtype=np.int32)
+    length = np.zeros(len(sizes), dtype=np.int32)
+    live = np.arange(len(sizes))
     for step in range(1, int(sizes.max(initial=0)) + 1):
-        live = np.flatnonzero(sizes >= step)
+        live = live[sizes[live] >= step]
         place = begin + sizes - step
         waiting = live
         while len(waiting):
@@ -167,4 +183,5 @@ def matching_statistics(index: FmIndex, sequences: np.ndarray, sizes: np.ndarray
             if len(waiting):
                 length[waiting], low[waiting], high[waiting] = index.shorten(low[waiting], high[waiting])
         found[place[live]] = length[live]
+        live = live[sizes[live] - step + length[live] >= least]
     return found

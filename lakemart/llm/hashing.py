@@ -10,6 +10,10 @@ import xxhash
 STEP = np.uint64(0x9E3779B97F4A7C15)
 BASE = np.uint64(0xD6E8FEB86659FD93)
 REMEMBERED = 400_000
+LONG_WORD = 64
+IN_WORD = np.ones(256, dtype=bool)
+IN_WORD[[9, 10, 11, 12, 13, 32]] = False
+FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 
 
 class WordHashes(dict):
@@ -25,6 +29,32 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
+def word_hashes(text: bytes) -> np.ndarray:
+    """64-bit hash of every word of a UTF-8 text, eight bytes at a time over all words.
+
+    Words are split at the six white-space characters; those of more than
+    LONG_WORD bytes are hashed one by one.
+    """
+    padded = text + b" " * 8
+    inside = IN_WORD[np.frombuffer(padded, dtype=np.uint8)]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    if inside[0]:
+        edges = np.concatenate([[0], edges])
+    start, size = edges[::2], edges[1::2] - edges[::2]
+    eights = np.ndarray(len(text) + 1, dtype="<u8", buffer=padded, strides=(1,))
+    out = mix(size.astype(np.uint64))
+    live = np.arange(len(start))
+    for done in range(0, LONG_WORD, 8):
+        live = live[size[live] > done]
+        if not len(live):
+            break
+        part = eights[start[live] + done] & FIRST_BYTES[np.minimum(size[live] - done, 8)]
+        out[live] = mix(out[live] ^ part)
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(text[start[i] : start[i] + size[i]])
+    return out
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that looks random."""
     z = values + STEP

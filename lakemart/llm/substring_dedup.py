@@ -39,7 +39,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from lakemart.llm.common import sha256, ship, slices, stored, text_of
 from lakemart.llm.fm_index import DEPTH, FmIndex, matching_statistics
-from lakemart.llm.hashing import Prefixes, WordHashes, windows
+from lakemart.llm.hashing import Prefixes, windows, word_hashes
 
 GRAM = 5
 MAP_BITS = 27  # the bit map of anchors met twice takes 16 MB
@@ -49,9 +49,13 @@ UPPER = np.uint64(0xFFFFFFFF00000000)
 SENT = 6  # bytes of a word's hash that go to a shard
 
 
+def encoded(text: str) -> bytes:
+    return text.encode("utf-8", "surrogatepass")
+
+
 def doc_words(text: str) -> list[bytes]:
     """Words of a text; bytes split at exactly the six white-space characters."""
-    return text.encode("utf-8", "surrogatepass").split()
+    return encoded(text).split()
 
 
 def anchor_places(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,11 +110,10 @@ def repeated_anchors(rows: DataFrame, window: int) -> DataFrame:
     """(anchor, n) of all anchors met at least twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = WordHashes()
         for _, texts in slices(batches, "text"):
             found = [np.empty(0, np.uint64)]
             for text in texts:
-                anchors, places = anchor_places(names.of(doc_words(text)), window)
+                anchors, places = anchor_places(word_hashes(encoded(text)), window)
                 if len(anchors):
                     found.append(anchors[np.concatenate([[True], places[1:] != places[:-1]])])
             values, counts = np.unique(np.concatenate(found), return_counts=True)
@@ -140,11 +143,10 @@ def placed_segments(rows: DataFrame, window: int, bits: np.ndarray, hot: np.ndar
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, hot_anchors = shared.value
-        names = WordHashes()
         for batch, texts in slices(batches, "text"):
             parts: list[list[np.ndarray]] = [[], [], [], [], []]
             for row, text in enumerate(texts):
-                anchor, content, first, count = segments(names.of(doc_words(text)), window, hot_anchors)
+                anchor, content, first, count = segments(word_hashes(encoded(text)), window, hot_anchors)
                 place = bit_of(anchor).astype(np.int64)
                 single = anchor == content  # of a hot anchor: not in the map
                 maybe = single | ((known[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
@@ -169,7 +171,6 @@ def segment_words(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame
     joined = texts.join(lists, on).select("text", "segments")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = WordHashes()
         for batch, texts in slices(batches, "text"):
             column = batch.column("segments")
             fields = column.flatten().flatten()
@@ -177,7 +178,7 @@ def segment_words(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame
             lengths = pc.list_value_length(column).to_numpy()
             words, at = [], 0
             for text, size in zip(texts, lengths):
-                packed = names.of(doc_words(text)).view(np.uint8).reshape(-1, 8)[:, :SENT].tobytes()
+                packed = word_hashes(encoded(text)).view(np.uint8).reshape(-1, 8)[:, :SENT].tobytes()
                 for i in range(at, at + size):
                     words.append(packed[first[i] * SENT : (first[i] + count[i] + window - 1) * SENT])
                 at += size
@@ -195,7 +196,7 @@ def search_shard(group: pd.DataFrame, window: int) -> pd.DataFrame:
     spread[:, :SENT] = np.frombuffer(b"".join(group.words), dtype=np.uint8).reshape(-1, SENT)
     symbols = np.unique(spread.view(np.uint64)[:, 0], return_inverse=True)[1].astype(np.int64) + 1
     index = FmIndex(symbols, sizes)
-    found = matching_statistics(index, symbols, sizes, group.n.to_numpy()) >= window
+    found = matching_statistics(index, symbols, sizes, group.n.to_numpy(), window) >= window
     edge = np.diff(np.concatenate([[0], found.astype(np.int8), [0]]))
     start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     # The last places of a segment start no window, so no interval crosses a border.
