@@ -8,9 +8,11 @@ same script for letters, names built from syllables of the script with an ending
 of the gender, card numbers with a valid check digit if they had one.
 
 A surrogate that equals another one or an entity of the corpus is a collision:
-all but one of them go into another attempt, until none is left.  So different
-entities stay different, and one entity has one surrogate everywhere; each place
-keeps its own format (separators, brackets, capitals).
+all but one of them go into another attempt, until none is left.  Later attempts
+are longer, so none is ever without a free surrogate.  Mail domains are entities
+of their own: one domain stays one, and two stay two.  So different entities stay
+different, and one entity has one surrogate everywhere; each place keeps its own
+format (separators, brackets, capitals).
 
 NULL text stays NULL.  Repeated rows each count.  Empty table: no rows.
 """
@@ -20,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import string
 import unicodedata
 from collections.abc import Iterator
 
@@ -29,7 +32,8 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.common import ship, slices, stored
 
-ATTEMPTS = 100
+# Attempts after which a form gets one character more: letters, and digits, whose number tells the type.
+LETTERS_GROW, DIGITS_GROW = 3, 20
 # Titles and the gender they tell (fixed values).
 TITLES = {
     "Mr": "m", "Mister": "m", "Herr": "m", "Herrn": "m", "Monsieur": "m", "Señor": "m", "Sr": "m", "Господин": "m", "Κύριος": "m",
@@ -108,7 +112,7 @@ def script_of(char: str) -> str:
     return "cyrillic" if name.startswith("CYRILLIC") else "greek" if name.startswith("GREEK") else "latin"
 
 
-LETTERS = {s: sorted(set("".join(SYLLABLES[s]))) for s in SYLLABLES}
+LETTERS = {"latin": string.ascii_lowercase, "cyrillic": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
 
 
 def like(char: str, draws: Draws) -> str:
@@ -121,24 +125,24 @@ def like(char: str, draws: Draws) -> str:
     return char
 
 
-def surrogate(key: bytes, kind: str, form: str, attempt: int) -> str:
-    """The surrogate of a canonical form."""
+def surrogate(key: bytes, kind: str, form: str, attempt: int, within: str = "") -> str:
+    """The surrogate of a canonical form; of a mail address, within its domain's surrogate."""
     draws = Draws(key, kind, form, attempt)
     if kind == "ip":
+        if attempt >= DIGITS_GROW:  # hardly a number of four bytes is free: one of sixteen, from the block for documents
+            return "2001:db8:" + ":".join(f"{draws.below(1 << 16):x}" for _ in range(6))
         return ".".join([str(1 + draws.below(223)), *(str(draws.below(256)) for _ in range(3))])
-    if kind == "email":
-        local, _, domain = form.rpartition("@")
-        host, dot, top = domain.rpartition(".")
-        # The domain has a surrogate of its own, so that one domain stays one.
-        own = Draws(key, "domain", domain, 0)
-        return "".join(like(c, draws) for c in local) + "@" + "".join(like(c, own) for c in host) + dot + top
+    if kind in ("email", "domain"):
+        head, mark, tail = form.rpartition("@" if kind == "email" else ".")
+        made = "".join(like(c, draws) for c in head) + "".join(like("a", draws) for _ in range(attempt // LETTERS_GROW))
+        return made + mark + (within if kind == "email" else tail)
     if kind == "family" or kind.startswith("given_"):
         script = script_of(form[0])
         parts = SYLLABLES[script]
         gender = kind[-1] if kind.startswith("given_") else "n"
-        made = "".join(parts[draws.below(len(parts))] for _ in range(2 + draws.below(2) + attempt // 3))
+        made = "".join(parts[draws.below(len(parts))] for _ in range(2 + draws.below(2) + attempt // LETTERS_GROW))
         return made + ENDINGS[script][gender]
-    digits = "".join(like(c, draws) for c in form)
+    digits = "".join(like(c, draws) for c in form + "0" * (attempt // DIGITS_GROW))
     if kind == "card" and luhn(form) == 0:
         digits = digits[:-1] + str((10 - luhn(digits[:-1] + "0")) % 10)
     return digits
@@ -148,7 +152,7 @@ def written(mention: str, kind: str, new: str) -> str:
     """A surrogate in the format of the mention it replaces."""
     if kind in ("ssn", "phone", "card"):
         digits = iter(new)
-        return "".join(next(digits) if c.isdigit() else c for c in mention)
+        return "".join([*(next(digits) if c.isdigit() else c for c in mention), *digits])
     if kind == "email":
         return "".join(n.upper() if m.isupper() else n for m, n in zip(mention, new)) if len(mention) == len(new) else new
     if kind == "ip":
@@ -179,19 +183,19 @@ def _split(docs: DataFrame, text: str, found: bool) -> DataFrame:
     return docs.mapInArrow(run, shape + (f", __mentions {MENTION}" if found else ""))
 
 
-def surrogates(entities: DataFrame, key: bytes) -> DataFrame:
-    """(kind, form, surrogate) for distinct (kind, form), all different and none an entity."""
+def _settle(entities: DataFrame, key: bytes) -> DataFrame:
+    """(kind, form, surrogate) for distinct (kind, form, within), all different and none an entity."""
     entities = stored(entities, "pii-entities")
     pending, settled = entities.withColumn("attempt", F.lit(0)), []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kinds, forms, attempts = (batch.column(i).to_pylist() for i in range(3))
-            made = [surrogate(key, k, f, a) for k, f, a in zip(kinds, forms, attempts)]
+            kinds, forms, withins, attempts = (batch.column(i).to_pylist() for i in range(4))
+            made = [surrogate(key, k, f, a, w) for k, f, w, a in zip(kinds, forms, withins, attempts)]
             yield batch.append_column("surrogate", pa.array(made, pa.string()))
 
-    for _ in range(ATTEMPTS):
-        proposed = stored(pending.mapInArrow(run, "kind string, form string, attempt int, surrogate string"), "pii-proposed")
+    while True:
+        proposed = stored(pending.mapInArrow(run, "kind string, form string, within string, attempt int, surrogate string"), "pii-proposed")
         real = entities.select(F.col("kind").alias("rk"), F.col("form").alias("rf"))
         free = proposed.join(real, (F.col("kind") == F.col("rk")) & (F.col("surrogate") == F.col("rf")), "left_anti")
         for earlier in settled:
@@ -199,17 +203,28 @@ def surrogates(entities: DataFrame, key: bytes) -> DataFrame:
         first = free.groupBy("kind", "surrogate").agg(F.min("form").alias("form"))
         settled.append(stored(first.select("kind", "form", "surrogate"), "pii-settled"))
         rest = proposed.join(settled[-1].select("kind", "form"), ["kind", "form"], "left_anti")
-        pending = rest.select("kind", "form", (F.col("attempt") + 1).alias("attempt"))
+        pending = rest.select("kind", "form", "within", (F.col("attempt") + 1).alias("attempt"))
         if pending.isEmpty():
             break
-    else:
-        raise ValueError("the surrogates of some kind are used up")
     out = settled[0]
     for more in settled[1:]:
         out = out.unionByName(more)
     return out
 
 
+def surrogates(entities: DataFrame, key: bytes) -> DataFrame:
+    """(kind, form, surrogate) for distinct (kind, form), all different and none an entity.
+
+    Mail domains are settled first, with all else, and the addresses within them.
+    """
+    entities = stored(entities.withColumn("within", F.lit("")), "pii-found")
+    mails = entities.where("kind = 'email'").select("kind", "form", F.substring_index("form", "@", -1).alias("domain"))
+    domains = mails.select(F.lit("domain").alias("kind"), F.col("domain").alias("form"), F.lit("").alias("within")).distinct()
+    known = _settle(entities.where("kind <> 'email'").unionByName(domains), key)
+    hosts = known.where("kind = 'domain'").select(F.col("form").alias("domain"), F.col("surrogate").alias("within"))
+    return known.where("kind <> 'domain'").unionByName(_settle(mails.join(hosts, "domain").select("kind", "form", "within"), key))
+
+
 def pseudonymize(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     """All rows and columns, the text with surrogates, and n_entities and spans of the original."""
     ship(docs.sparkSession)

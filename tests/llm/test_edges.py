@@ -108,3 +108,26 @@ def test_surrogates_stay_distinct(spark):
     assert len({r.text.split("mail ")[1].split(",")[0] for r in out}) == 300
     cards = {r.text.rsplit(" ", 1)[1] for r in out}
     assert len(cards) == 1 and pii.luhn(cards.pop()) == 0
+
+
+def test_surrogates_of_short_mails_and_domains(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = [f"{a}@gmail.com" for a in letters] + [f"{a}{b}@gmail.com" for a in letters for b in letters] + [f"me@{a}.org" for a in letters]
+    rows = [(i, f"to {m} now", "s") for i, m in enumerate([*mails, "A@Gmail.com"])]
+    out = pii.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string, source string"), b"k").collect()
+    new = {r.doc_id: r.text.split()[1] for r in out}
+    domains = {i: m.split("@")[1].lower() for i, m in new.items()}
+    assert len(set(new.values())) == len(rows)
+    assert len({m.lower() for m in new.values()}) == len(mails)
+    assert not {m.lower() for m in new.values()} & set(mails)
+    assert len({domains[i] for i, m in enumerate(mails) if m.endswith("@gmail.com")}) == 1
+    assert len(set(domains.values())) == 27
+    assert new[0].lower() == new[len(mails)].lower()
+
+
+def test_surrogates_of_used_up_numbers():
+    late = pii.DIGITS_GROW
+    assert len({pii.surrogate(b"k", "phone", "12345", a) for a in range(late, late + 20)} & {f"{i:06d}" for i in range(10**6)}) == 20
+    assert pii.written("+1 23-45", "phone", "987654") == "+9 87-654"
+    assert pii.luhn(pii.surrogate(b"k", "card", "4111111111111111", late)) == 0
+    assert pii.surrogate(b"k", "ip", "1.2.3.4", late).startswith("2001:db8:")
