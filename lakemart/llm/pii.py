@@ -1,7 +1,10 @@
 """Personal data replaced by keyed surrogates of the same type.
 
 Entities are found by patterns: mail addresses, telephone, card, social-security
-numbers, network addresses, and names behind a title, which tells the gender.
+numbers, network addresses, and names behind titles, which tell the gender: all
+capitalised words and initials there, and the same words, capitalised, anywhere
+else in the document, with initials in front of them.  A word has one surrogate,
+whatever its titles: its gender is the one that most places tell, if any.
 Each distinct entity, in one canonical form, gets a surrogate from an HMAC of
 its kind, form and the number of the attempt: digits for digits, letters of the
 same script for letters, names built from syllables of the script with an ending
@@ -48,7 +51,8 @@ SYLLABLES = {
 ENDINGS = {
     "latin": {"f": "a", "m": "n", "n": "r"}, "cyrillic": {"f": "а", "m": "н", "n": "р"}, "greek": {"f": "α", "m": "ς", "n": "ρ"},
 }
-NAME = r"[^\W\d_][\w’'-]*"
+NAME = re.compile(r"[^\W\d_][\w’'-]*")
+PARTICLES = "von van vom zu zum zur der den dem ter ten de del della di da dos du la le el al bin ibn y".split()  # these stay
 PATTERNS = [
     ("email", re.compile(r"[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")),
     ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")),
@@ -56,7 +60,60 @@ PATTERNS = [
     ("card", re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])")),
     ("ip", re.compile(r"(?<![\d.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?![\d]|\.\d)")),
 ]
-PERSON = re.compile(rf"(?<!\w)({'|'.join(TITLES)})\.? +({NAME})(?: +({NAME}))?")
+TITLE = re.compile(rf"(?<!\w)(?:(?:{'|'.join(TITLES)})\.? +)+")
+SMALL = re.compile(rf"(?:(?:{'|'.join(PARTICLES)}) +)*")
+SPACES = re.compile(" *")
+INITIALS = re.compile(r"(?<!\w)(?:[^\W\d_]\. *)+$")
+
+
+def bare(word: str) -> str:
+    """A word without what follows the name: a possessive ending, quotes, hyphens."""
+    return re.sub(r"['’]s$", "", word).rstrip("'’-")
+
+
+def titled(text: str, at: int) -> list[tuple[int, int]]:
+    """(start, end) of the capitalised words and initials from here on."""
+    words: list[tuple[int, int]] = []
+    dotted = False
+    while m := NAME.match(text, SMALL.match(text, at).end()):
+        start, end = m.start(), m.start() + len(bare(m[0]))
+        if not text[start].isupper() or m[0] in TITLES:
+            break
+        words.append((start, end))
+        dotted = end == start + 1 and text[end : end + 1] == "."
+        at = SPACES.match(text, end + dotted).end()
+        if end < m.end() or at == end:
+            break
+    if len(words) > 1 and words[-1][1] == words[-1][0] + 1 and not dotted:
+        words.pop()  # no initial: "Mr Smith I know"
+    return words
+
+
+def people(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, kind) of the names behind titles and of the same names elsewhere."""
+    found, known = [], {}
+    for m in TITLE.finditer(text):
+        gender = next((g for t in NAME.findall(m[0]) if (g := TITLES[t]) != "n"), "n")
+        words = titled(text, m.end())
+        full = [w for w in words if w[1] > w[0] + 1]
+        for start, end in words:
+            kind = "initial" if end == start + 1 else "family" if (start, end) == full[-1] and (len(full) == 1 or full[-1] == words[-1]) else f"given_{gender}"
+            found.append((start, end, kind))
+            if kind != "initial":
+                known.setdefault(text[start:end].lower(), kind)
+    if not known:
+        return found
+    for m in NAME.finditer(text):
+        whole = bare(m[0])
+        parts = [(m.start(), whole)]
+        if whole.lower() not in known:
+            parts = [(m.start() + p.start(), p[0]) for p in re.finditer(r"[^’'-]+", m[0])]
+        for start, word in parts:
+            if word[:1].isupper() and word.lower() in known:
+                found.append((start, start + len(word), known[word.lower()]))
+                if start == m.start() and (before := INITIALS.search(text, max(0, start - 16), start)):
+                    found += [(i, i + 1, "initial") for i in range(*before.span()) if text[i].isupper()]
+    return found
 
 
 def mentions(text: str) -> list[tuple[int, int, str]]:
@@ -66,11 +123,7 @@ def mentions(text: str) -> list[tuple[int, int, str]]:
         if kind == "email" and "@" not in text:
             continue
         found += [(*m.span(), kind) for m in pattern.finditer(text)]
-    for m in PERSON.finditer(text):
-        gender, names = TITLES[m[1]], [g for g in (2, 3) if m[g] and m[g][0].isupper()]
-        if names[:1] == [2]:
-            kinds = ["family"] if len(names) == 1 else [f"given_{gender}", "family"]
-            found += [(*m.span(g), kind) for g, kind in zip(names, kinds)]
+    found += people(text)
     out: list[tuple[int, int, str]] = []
     for start, end, kind in sorted(found, key=lambda x: (x[0], -x[1])):
         if not out or start >= out[-1][1]:
@@ -126,7 +179,7 @@ def like(char: str, draws: Draws) -> str:
 
 
 def surrogate(key: bytes, kind: str, form: str, attempt: int, within: str = "") -> str:
-    """The surrogate of a canonical form; of a mail address, within its domain's surrogate."""
+    """The surrogate of a canonical form; of a mail address, within its domain's surrogate; of a name, with the gender ``within``."""
     draws = Draws(key, kind, form, attempt)
     if kind == "ip":
         if attempt >= DIGITS_GROW:  # hardly a number of four bytes is free: one of sixteen, from the block for documents
@@ -136,12 +189,13 @@ def surrogate(key: bytes, kind: str, form: str, attempt: int, within: str = "")
         head, mark, tail = form.rpartition("@" if kind == "email" else ".")
         made = "".join(like(c, draws) for c in head) + "".join(like("a", draws) for _ in range(attempt // LETTERS_GROW))
         return made + mark + (within if kind == "email" else tail)
-    if kind == "family" or kind.startswith("given_"):
+    if kind == "initial":
+        return "".join(like(form[0], draws) for _ in range(1 + attempt // LETTERS_GROW))
+    if kind == "name":
         script = script_of(form[0])
         parts = SYLLABLES[script]
-        gender = kind[-1] if kind.startswith("given_") else "n"
         made = "".join(parts[draws.below(len(parts))] for _ in range(2 + draws.below(2) + attempt // LETTERS_GROW))
-        return made + ENDINGS[script][gender]
+        return made + ENDINGS[script][within]
     digits = "".join(like(c, draws) for c in form + "0" * (attempt // DIGITS_GROW))
     if kind == "card" and luhn(form) == 0:
         digits = digits[:-1] + str((10 - luhn(digits[:-1] + "0")) % 10)
@@ -213,11 +267,11 @@ def _settle(entities: DataFrame, key: bytes) -> DataFrame:
 
 
 def surrogates(entities: DataFrame, key: bytes) -> DataFrame:
-    """(kind, form, surrogate) for distinct (kind, form), all different and none an entity.
+    """(kind, form, surrogate) for distinct (kind, form, within), all different and none an entity.
 
-    Mail domains are settled first, with all else, and the addresses within them.
+    ``within`` is a name's gender.  Mail domains are settled first, with all else, and the addresses within them.
     """
-    entities = stored(entities.withColumn("within", F.lit("")), "pii-found")
+    entities = stored(entities, "pii-found")
     mails = entities.where("kind = 'email'").select("kind", "form", F.substring_index("form", "@", -1).alias("domain"))
     domains = mails.select(F.lit("domain").alias("kind"), F.col("domain").alias("form"), F.lit("").alias("within")).distinct()
     known = _settle(entities.where("kind <> 'email'").unionByName(domains), key)
@@ -230,8 +284,11 @@ def pseudonymize(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     ship(docs.sparkSession)
     docs = docs.drop(*(c for c in ("n_entities", "spans") if c in docs.columns))
     touched = stored(_split(docs, text, True).withColumn("__row", F.monotonically_increasing_id()), "pii-touched")
-    places = touched.select("__row", F.posexplode("__mentions").alias("at", "m")).select("__row", "at", "m.kind", "m.form")
-    known = surrogates(places.select("kind", "form").distinct(), key)
+    kind = F.when(F.col("m.kind").rlike("^(given_|family)"), "name").otherwise(F.col("m.kind")).alias("kind")
+    places = touched.select("__row", F.posexplode("__mentions").alias("at", "m")).select("__row", "at", kind, "m.form", F.col("m.kind").alias("told"))
+    women = F.sum(F.when(F.col("told") == "given_f", 1).when(F.col("told") == "given_m", -1).otherwise(0)).alias("women")
+    gender = F.when(F.col("kind") != "name", "").when(F.col("women") > 0, "f").when(F.col("women") < 0, "m").otherwise("n")
+    known = surrogates(places.groupBy("kind", "form").agg(women).select("kind", "form", gender.alias("within")), key)
     lists = places.join(known, ["kind", "form"]).groupBy("__row").agg(F.sort_array(F.collect_list(F.struct("at", "surrogate"))).alias("__new"))
     joined = touched.join(lists, "__row").select(*docs.columns, "__mentions", F.col("__new.surrogate").alias("__new"))
     place, width = docs.columns.index(text), len(docs.columns)

@@ -131,3 +131,32 @@ def test_surrogates_of_used_up_numbers():
     assert pii.written("+1 23-45", "phone", "987654") == "+9 87-654"
     assert pii.luhn(pii.surrogate(b"k", "card", "4111111111111111", late)) == 0
     assert pii.surrogate(b"k", "ip", "1.2.3.4", late).startswith("2001:db8:")
+
+
+def test_whole_names():
+    def named(text):
+        return [(text[s:e], k) for s, e, k in pii.mentions(text)]
+
+    assert named("Mr. J. Smith came") == [("J", "initial"), ("Smith", "family")]
+    assert named("Mr J Smith") == [("J", "initial"), ("Smith", "family")]
+    assert named("Mr John Paul Smith came") == [("John", "given_m"), ("Paul", "given_m"), ("Smith", "family")]
+    assert named("Prof. Dr. Anna Weber") == [("Anna", "given_n"), ("Weber", "family")]
+    assert named("Herr Ludwig van Beethoven") == [("Ludwig", "given_m"), ("Beethoven", "family")]
+    assert named("Mr Smith I know") == [("Smith", "family")]
+    assert named("Smith met Mr John Smith's wife; J. SMITH left. The smith-y, Smith-Jones") == (
+        [("Smith", "family"), ("John", "given_m"), ("Smith", "family"), ("J", "initial"), ("SMITH", "family"), ("Smith", "family")]
+    )
+    assert named("Mr said nothing to Smith") == []
+
+
+def test_one_surrogate_for_one_name(spark):
+    texts = ["Dr Anna Weber spoke. Anna Weber left", "Mrs Anna Weber, Mrs Anna and Miss Weber", "Mr. J. Smith and A. Smith", "Anna stays"]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    new = {r.doc_id: r.text.replace(",", "").replace(".", "").split() for r in pii.pseudonymize(docs, b"k").collect()}
+    anna, weber = new[0][1:3]
+    assert anna.endswith("a") and anna != "Anna" and weber != "Weber"
+    assert new[0] == ["Dr", anna, weber, "spoke", anna, weber, "left"]
+    assert new[1] == ["Mrs", anna, weber, "Mrs", anna, "and", "Miss", weber]
+    assert new[2][2] == new[2][5] != "Smith"
+    assert len({new[2][1], new[2][4], "J", "A"}) == 4
+    assert new[3] == ["Anna", "stays"]
