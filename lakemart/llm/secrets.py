@@ -1,14 +1,15 @@
 """Secret scan: fixed patterns, and a battery of randomness tests.
 
-Base spans come from patterns.  Every further run of 20 or more key characters
-is a candidate.  The smallest alphabet that holds its characters is taken as its
+Base spans come from patterns.  Every run of 20 or more key characters that they
+leave over, also beside them, is a candidate.  The smallest alphabet that holds its characters is taken as its
 encoding.  Three statistics measure randomness: chi-squared for uniform use of
 the alphabet, the number of changes between kinds of characters (runs), and the
 correlation of neighbours.  Each is read twice:
 
 * as a test of "drawn at random": a candidate that any of them rejects is none;
 * as a test of "written text" (uneven letters, long runs, alike neighbours): the
-  three p-values are combined by Fisher's rule into the candidate's p-value.
+  p-values are combined by Fisher's rule into the candidate's p-value.  In a run of
+  one kind of characters nothing can change, so there the other two are combined.
 
 The longer a run, the more the tests can tell, so the false-discovery rate is
 held per class of length, by Benjamini and Hochberg's procedure over all
@@ -38,7 +39,8 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}")
+LEAST = 20  # characters of a candidate
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_-]{{{LEAST},}}")
 KINDS = ("assign", "access", "hex", "random")
 RANK = {kind: i for i, kind in enumerate(KINDS)}
 
@@ -103,8 +105,6 @@ def battery(word: str) -> Verdict:
     used = set(word)
     kinds = [kind_of(c) for c in word]
     name, letters, index = next(a for a in ALPHABETS if used <= a[2].keys())
-    if len(set(kinds)) == 1:
-        return Verdict(name, 1.0, False)  # one kind throughout: nothing tells it from a word or a number
     k = len(letters)
     share = n / k
     chi = sum((v - share) ** 2 for v in Counter(word).values()) / share + (k - len(used)) * share
@@ -118,8 +118,9 @@ def battery(word: str) -> Verdict:
     spread = sum((c - mean) ** 2 for c in codes)
     serial = sum((a - mean) * (b - mean) for a, b in zip(codes, codes[1:])) / spread if spread else 1.0
     p_serial = below((math.atanh(max(-0.999, min(0.999, serial))) - math.atanh(ALIKE)) * math.sqrt(n - 3))
-    half = -sum(math.log(max(p, 1e-30)) for p in (p_chi, p_runs, p_serial))
-    p = math.exp(-half) * (1 + half + half * half / 2)  # Fisher: chi-squared with six degrees
+    several = len(set(kinds)) > 1
+    half = -sum(math.log(max(p, 1e-30)) for p in (p_chi, p_serial, *[p_runs] * several))
+    p = math.exp(-half) * (1 + half + half * half / 2 * several)  # Fisher: chi-squared with six degrees, or four
     # Drawn at random: all three within four deviations.
     share_of = Counter(map(kind_of, letters))
     turn = 1 - sum((v / k) ** 2 for v in share_of.values())
@@ -150,16 +151,17 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def candidates(text: str, base: list[tuple[str, int, int]]) -> Iterator[tuple[int, int, int, int]]:
-    """(start, end, class of length, step) of each candidate outside the base spans.
+    """(start, end, class of length, step) of each candidate: what the base spans leave over of a run.
 
     Step 0 stands for candidates that are not random or not tellable.
     """
     for m in CANDIDATE.finditer(text):
-        start, end = m.span()
-        if any(s < end and start < e for _, s, e in base):
-            continue
-        verdict = battery(m[0])
-        yield start, end, length_class(end - start), step_of(verdict.p) if verdict.random else 0
+        start, last = m.span()
+        for s, e in [*((s, e) for _, s, e in base if s < last and start < e), (last, last)]:  # by start
+            if s - start >= LEAST:
+                verdict = battery(text[start:s])
+                yield start, s, length_class(s - start), step_of(verdict.p) if verdict.random else 0
+            start = max(start, e)
 
 
 def histogram(docs: DataFrame, text: str) -> DataFrame:
@@ -238,7 +240,7 @@ def redacted(text: str, least: dict[int, int], mark: str) -> str:
     """The text with every span, joined where they touch, replaced by a mark."""
     out, done = [], 0
     for _, start, end in all_spans(text, least)[1]:
-        if start >= done:
+        if start > done or not out:
             out += [text[done:start], mark]
         done = max(done, end)
     return "".join([*out, text[done:]]) if out else text
