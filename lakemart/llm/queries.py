@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import bpe, chat_format, fingerprints, mixing, near_dedup, pii, quality_rules, secrets, substring_dedup, token_counts
+from lakemart.llm import (
+    bpe, centroids, chat_format, content_sort, fingerprints, mixing, near_dedup, pii, quality_rules, secrets, source_divergence, substring_dedup, token_counts,
+)
 from lakemart.llm.common import read_documents
 
 WORD_BPE = "word_bpe_49k.json"
@@ -81,6 +83,18 @@ def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_classes(read_documents(spark, folder))
 
 
+def divergence_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence.audit(read_documents(spark, folder))
+
+
+def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return content_sort.content_groups(read_documents(spark, folder))
+
+
+def centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
 def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": substring_removal,
@@ -93,4 +107,7 @@ def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pii_surrogates": pii_surrogates,
         "op9_token_counts": piece_counts,
         "op10_near_dedup": near_duplicates,
+        "op11_source_divergence": divergence_audit,
+        "op12_exact_dedup": exact_dedup,
+        "op13_centroid_clustering": centroid_clustering,
     }
