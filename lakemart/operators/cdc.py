@@ -143,24 +143,68 @@ def history(
     )
 
 
-def table_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+# A table difference compares sums per bucket of keys before it compares keys.
+BUCKETS = 4096
+
+
+def digested(df: DataFrame, key: str, columns: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+    """Rows with ``_bucket``, the hash of their key, and ``_digest``, 128 bits over ``columns``.
+
+    Text and NULLs are told apart: the row is digested as JSON with its NULL fields.
+    """
+    shown = F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+    return df.withColumns({"_bucket": F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"), "_digest": shown})
+
+
+def unequal_buckets(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(_bucket) of digested tables whose number of rows or sums of digests differ.
+
+    At most one row per bucket, so the list is small whatever the tables' size.
+    """
+
+    def sums(df: DataFrame, name: str) -> DataFrame:
+        halves = [F.sum(F.conv(F.substring("_digest", at, 16), 16, 10).cast("decimal(38,0)")) for at in (1, 17)]
+        return df.groupBy("_bucket").agg(F.struct(F.count(F.lit(1)).alias("rows"), *(h.alias(f"half{i}") for i, h in enumerate(halves))).alias(name))
+
+    both = sums(old, "_a").join(sums(new, "_b"), "_bucket", "full")
+    return both.where(~F.col("_a").eqNullSafe(F.col("_b"))).select("_bucket")
+
+
+def table_diff(old: DataFrame, new: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:
     """Row changes from ``old`` to ``new``: insert, update or delete per key.
 
-    Returns the new row (the old one for deletes) with ``change_type``.
+    Returns the new row (the old one for deletes) with ``change_type``.  Keys are
+    unique; a NULL key is a key like any other.
+
+    Level by level: sums of row digests per bucket of keys (only sums are
+    shuffled), then the digests of the keys in unequal buckets, then the rows
+    of the changed keys.  Equal buckets are never joined, so tables that hardly
+    differ cost two scans.  Both tables are read three times: give written ones.
     """
     columns = new.columns
-    left = old.select(F.col(key), F.struct(*columns).alias("_old"))
-    right = new.select(F.col(key), F.struct(*columns).alias("_new"))
-    # Both structs never are NULL themselves, only where the side is missing.
-    kind = (
-        F.when(F.col("_old").isNull(), "insert")
-        .when(F.col("_new").isNull(), "delete")
-        .when(~F.col("_old").eqNullSafe(F.col("_new")), "update")
-    )
-    return (
-        left.join(right, key, "full")
-        .withColumn("change_type", kind)
-        .filter(F.col("change_type").isNotNull())
-        .withColumn("_row", F.coalesce("_new", "_old"))
-        .select("change_type", *(F.col(f"_row.{c}").alias(c) for c in columns))
+    a, b = (digested(df.select(*columns), key, columns, buckets) for df in (old, new))
+    unequal = unequal_buckets(a, b)
+    left, right = (df.join(unequal, "_bucket", "left_semi") for df in (a, b))
+    known = (left.select(F.col(key).alias("_ka"), F.col("_digest").alias("_da")), right.select(F.col(key).alias("_kb"), F.col("_digest").alias("_db")))
+    kind = F.when(F.col("_da").isNull(), "insert").when(F.col("_db").isNull(), "delete").when(F.col("_da") != F.col("_db"), "update")
+    keys = known[0].join(known[1], F.col("_ka").eqNullSafe(F.col("_kb")), "full").select(
+        F.when(F.col("_db").isNull(), F.col("_ka")).otherwise(F.col("_kb")).alias("_key"), kind.alias("change_type")
     )
+    keys = keys.where(F.col("change_type").isNotNull())
+
+    def rows(df: DataFrame, wanted: Column) -> DataFrame:
+        return df.join(keys.where(wanted), F.col(key).eqNullSafe(F.col("_key"))).select("change_type", *columns)
+
+    deleted = F.col("change_type") == "delete"
+    return rows(right, ~deleted).unionByName(rows(left, deleted))
+
+
+def signed_changes(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """What turns ``old`` into ``new``: rows to take out (sign -1) and to put in (sign 1).
+
+    An update is both.  The form that sums kept up to date need.
+    """
+    changes = table_diff(old, new, key)
+    gone = changes.where("change_type != 'insert'").select(F.col(key).alias("_key"))
+    out = old.select(*new.columns).join(gone, F.col(key).eqNullSafe(F.col("_key")), "left_semi").withColumn("sign", F.lit(-1))
+    return out.unionByName(changes.where("change_type != 'delete'").drop("change_type").withColumn("sign", F.lit(1)))

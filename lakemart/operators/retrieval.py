@@ -16,8 +16,6 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -73,14 +71,10 @@ def _first_k(scores: np.ndarray, k: int) -> np.ndarray:
 
 
 def _best_of_block(
-    queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int,
-    query_buckets: np.ndarray | None = None, buckets: np.ndarray | None = None,
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query id, id, score) of each query's ``k`` best rows of one block."""
     scores = np.round(queries @ _unit(vectors).T, SCORE_DIGITS) + 0.0  # no -0.0
-    if buckets is not None:
-        shared = (query_buckets[:, None, :] == buckets[None, :, :]).any(axis=2)
-        scores = np.where(shared, scores, -np.inf)
     return _select(scores, query_ids, ids, k)
 
 
@@ -120,7 +114,6 @@ def vector_topk(
     query_id: str = "question_id",
     corpus_id: str = "chunk_id",
     vector: str = "embedding",
-    bucket: str | None = None,
     max_queries: int = MAX_QUERIES,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
@@ -128,42 +121,36 @@ def vector_topk(
 
     A task keeps only each query's best ``k`` of a batch, so no table of all
     pairs ever exists.  ``score`` is rounded to six places before ranking, and
-    equal scores rank by id.  With ``bucket`` (an array column on both sides)
-    only rows sharing a bucket position with the query are scored.
+    equal scores rank by id.
 
     With more than ``max_queries`` queries, both tables are cut into blocks of
     bounded size, and each pair of blocks is one task's work.
     """
     if query_id == corpus_id:
         raise ValueError("query_id and corpus_id must differ")
-    columns = [vector] + ([bucket] if bucket else [])
-    asked = queries.filter(F.col(vector).isNotNull()).select(query_id, *columns)
-    stored = corpus.filter(F.col(vector).isNotNull()).select(corpus_id, *columns)
+    asked = queries.filter(F.col(vector).isNotNull()).select(query_id, vector)
+    stored = corpus.filter(F.col(vector).isNotNull()).select(corpus_id, vector)
     schema = _result_schema(asked, query_id, stored, corpus_id)
 
     head = asked.limit(max_queries + 1).toArrow()
     if head.num_rows > max_queries:
-        scored = _by_blocks(asked, stored, k, query_id, corpus_id, vector, bucket, block_rows, schema)
+        scored = _by_blocks(asked, stored, k, query_id, corpus_id, vector, block_rows, schema)
         return keep_top(scored, k, query_id, corpus_id)
     if head.num_rows == 0:
         return keep_top(asked.sparkSession.createDataFrame([], schema), k, query_id, corpus_id)
 
     question_ids = np.asarray(head.column(query_id).to_pylist())
     question_vectors = _unit(_matrix(head.column(vector)))
-    question_buckets = _matrix(head.column(bucket)) if bucket else None
-    sent = asked.sparkSession.sparkContext.broadcast((question_ids, question_vectors, question_buckets))
+    sent = asked.sparkSession.sparkContext.broadcast((question_ids, question_vectors))
     out = pa.schema([(f.name, _arrow_type(f)) for f in schema])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        qids, qvectors, qbuckets = sent.value
+        qids, qvectors = sent.value
         rows = max(k, SCORE_CELLS // len(qids))
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
-                found = _best_of_block(
-                    qvectors, qids, _matrix(part.column(1)), np.asarray(part.column(0).to_pylist()), k,
-                    qbuckets, _matrix(part.column(2)) if bucket else None,
-                )
+                found = _best_of_block(qvectors, qids, _matrix(part.column(1)), np.asarray(part.column(0).to_pylist()), k)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(found, out)], schema=out)
 
     return keep_top(stored.mapInArrow(score, schema), k, query_id, corpus_id)
@@ -174,7 +161,7 @@ def _arrow_type(field: StructField) -> pa.DataType:
     return kinds[field.dataType.simpleString()]
 
 
-def _by_blocks(asked, stored, k, query_id, corpus_id, vector, bucket, block_rows, schema) -> DataFrame:
+def _by_blocks(asked, stored, k, query_id, corpus_id, vector, block_rows, schema) -> DataFrame:
     """Every block of queries against every block of the corpus."""
     parts = [max(1, -(-df.count() // block_rows)) for df in (asked, stored)]
 
@@ -188,76 +175,13 @@ def _by_blocks(asked, stored, k, query_id, corpus_id, vector, bucket, block_rows
         if left.empty or right.empty:
             return pd.DataFrame({f.name: [] for f in schema})
         stack = lambda frame, name: np.stack(frame[name].to_numpy()).astype(np.float64)
-        found = _best_of_block(
-            _unit(stack(left, vector)), left[query_id].to_numpy(), stack(right, vector), right[corpus_id].to_numpy(), k,
-            stack(left, bucket) if bucket else None, stack(right, bucket) if bucket else None,
-        )
+        found = _best_of_block(_unit(stack(left, vector)), left[query_id].to_numpy(), stack(right, vector), right[corpus_id].to_numpy(), k)
         return pd.DataFrame(dict(zip((f.name for f in schema), found)))
 
     pairs = blocks(asked, query_id, 0).groupBy("_q", "_c").cogroup(blocks(stored, corpus_id, 1).groupBy("_q", "_c"))
     return pairs.applyInPandas(score, schema)
 
 
-class LshIndex:
-    """Approximate search: vectors filed under random-projection buckets.
-
-    Every vector gets one bucket per hash table (Spark ML's projections with a
-    fixed seed).  A search scores exactly those rows that share a bucket with
-    the question in some table.  ``write`` files the rows by table and bucket,
-    so that a search reads only the folders its questions point to.
-    """
-
-    def __init__(self, tables: int = 6, width: float = 0.5, seed: int = 42):
-        self.tables, self.width, self.seed = tables, width, seed
-        self.model = None
-        self.rows: DataFrame | None = None
-
-    def _prepared(self, df: DataFrame, vector: str) -> DataFrame:
-        return df.withColumn("_vector", array_to_vector(F.col(vector).cast("array<double>")))
-
-    def fit(self, corpus: DataFrame, vector: str = "embedding") -> LshIndex:
-        maker = BucketedRandomProjectionLSH(
-            inputCol="_vector", outputCol="_hashes", bucketLength=self.width,
-            numHashTables=self.tables, seed=self.seed,
-        )
-        self.model = maker.fit(self._prepared(corpus, vector))
-        self.rows = self.hashed(corpus, vector)
-        return self
-
-    def hashed(self, df: DataFrame, vector: str = "embedding") -> DataFrame:
-        """Add ``buckets``, one number per hash table."""
-        out = self.model.transform(self._prepared(df, vector))
-        each = [vector_to_array(F.element_at("_hashes", i + 1))[0].cast("int") for i in range(self.tables)]
-        return out.withColumn("buckets", F.array(*each)).drop("_vector", "_hashes")
-
-    def write(self, path: str) -> None:
-        filed = self.rows.select("*", F.posexplode("buckets").alias("hash_table", "bucket"))
-        filed.write.mode("overwrite").partitionBy("hash_table", "bucket").parquet(path)
-
-    def read_candidates(self, path: str, queries: DataFrame, corpus_id: str, vector: str = "embedding") -> DataFrame:
-        """Rows of a written index that share a bucket with some question.
-
-        The join is on the folder columns: Spark prunes the scan to the
-        folders the questions name.  A row filed under several of them is read
-        once per folder and kept once.
-        """
-        wanted = (
-            self.hashed(queries, vector)
-            .select(F.posexplode("buckets").alias("hash_table", "bucket"))
-            .distinct()
-        )
-        filed = queries.sparkSession.read.parquet(path)
-        found = filed.join(wanted, ["hash_table", "bucket"], "left_semi").drop("hash_table", "bucket")
-        return found.dropDuplicates([corpus_id])
-
-    def topk(
-        self, queries: DataFrame, k: int = 10, query_id: str = "question_id", corpus_id: str = "chunk_id",
-        vector: str = "embedding", rows: DataFrame | None = None,
-    ) -> DataFrame:
-        stored = self.rows if rows is None else rows
-        return vector_topk(self.hashed(queries, vector), stored, k, query_id, corpus_id, vector, "buckets")
-
-
 # ------------------------------------------------------------------ embedding
 
 

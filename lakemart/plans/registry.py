@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampType
 
-from lakemart.operators import cdc, chat, documents, gates, gold, quality, retrieval, security, silver
+from lakemart.operators import cdc, chat, documents, gates, gold, keyword_index, keyword_stats, quality, retrieval, security, silver, vector_index
 from lakemart.plans import marts, semantics
 from lakemart.plans.medallion import Medallion
 from lakemart.plans.samples import SampleBronze
@@ -80,14 +80,14 @@ def _scd2_product(m: Medallion) -> DataFrame:
 
 def _product_diff(m: Medallion) -> DataFrame:
     """What changed between the catalog of May 2024 and the latest one."""
-    versions = m.product_history
+    versions = materialize(m.product_history, "product-history")
     day = F.lit("2024-05-01").cast("timestamp")
     end = F.col("__END_AT")
     may = versions.filter((F.col("__START_AT") <= day) & (end.isNull() | (end > day)))
     latest = versions.filter(end.isNull())
     content = [c for c in versions.columns if c not in ("__START_AT", "__END_AT", "updated_at")]
     diff = cdc.table_diff(may.select(*content), latest.select(*content), "product_id")
-    return diff.select("change_type", F.trim("product_id").alias("product_id"), "unit_price")
+    return diff.withColumn("product_id", F.trim("product_id"))
 
 
 def _all_reasons(m: Medallion) -> DataFrame:
@@ -193,8 +193,14 @@ def _vector_topk(m: Medallion) -> DataFrame:
 
 
 def _lsh_topk(m: Medallion) -> DataFrame:
-    index = retrieval.LshIndex().fit(m.bronze.table("embeddings").select("vec_id", "embedding"))
-    return index.topk(_label_centres(m), 10, "label", "vec_id")
+    index = vector_index.SignIndex()
+    filed = index.write(m.bronze.table("embeddings"), scratch_dir(m.spark, "sign-index"), "vec_id")
+    return index.topk(_label_centres(m), filed, 10, "label", "vec_id")
+
+
+def _keyword_index_topk(m: Medallion) -> DataFrame:
+    index = keyword_index.KeywordIndex(scratch_dir(m.spark, "keyword-index")).write(_document_chunks(m))
+    return index.topk(_questions(m))
 
 
 def _bm25_topk(m: Medallion) -> DataFrame:
@@ -225,13 +231,18 @@ def _catalog_chunks(m: Medallion, versions: DataFrame) -> DataFrame:
     return documents.combine(documents.chunk(documents.product_documents(gold.dim_product(current), never_sold)))
 
 
-def _index_sync(m: Medallion) -> DataFrame:
-    """Which run embedded each chunk after the catalog moved on from May 2024."""
+def _two_catalogs(m: Medallion) -> tuple[DataFrame, DataFrame]:
+    """Written chunks of the catalog of May 2024 and of the latest one."""
     day, end = F.lit("2024-05-01").cast("timestamp"), F.col("__END_AT")
     versions = materialize(m.product_history, "product-history")
     may = versions.filter((F.col("__START_AT") <= day) & (end.isNull() | (end > day)))
     old = materialize(_catalog_chunks(m, may), "old-chunks")
-    new = materialize(_catalog_chunks(m, versions.filter(end.isNull())), "new-chunks")
+    return old, materialize(_catalog_chunks(m, versions.filter(end.isNull())), "new-chunks")
+
+
+def _index_sync(m: Medallion) -> DataFrame:
+    """Which run embedded each chunk, and as what, after the catalog moved on from May 2024."""
+    old, new = _two_catalogs(m)
     embedder = retrieval.HashedEmbedder().fit(old, "chunk_to_embed")
 
     def embed(chunks: DataFrame, run: str) -> DataFrame:
@@ -241,6 +252,13 @@ def _index_sync(m: Medallion) -> DataFrame:
     return synced.select("chunk_id", "run", F.size("embedding").alias("dimensions"))
 
 
+def _keyword_sync(m: Medallion) -> DataFrame:
+    """Keyword statistics of May 2024 brought up to the latest catalog."""
+    old, new = _two_catalogs(m)
+    known = materialize(keyword_stats.statistics(old), "keyword-statistics")
+    return keyword_stats.sync_statistics(known, old, new)
+
+
 def _history_items(m: Medallion) -> DataFrame:
     """Conversation turns as replayed items, assistants in four spellings."""
     turns = m.bronze.table("conversations")
@@ -379,8 +397,10 @@ def build_queries() -> dict[str, Query]:
     q["page_chunks"] = _layers(lambda m: documents.combine(_page_chunks(m)))
     q["rag_chunks"] = _layers(_rag_chunks)
     q["index_sync"] = _layers(_index_sync)
+    q["keyword_sync"] = _layers(_keyword_sync)
     q["vector_topk"] = _layers(_vector_topk)
     q["lsh_topk"] = _layers(_lsh_topk)
+    q["keyword_index_topk"] = _layers(_keyword_index_topk)
     q["bm25_topk"] = _layers(_bm25_topk)
     q["hybrid_topk"] = _layers(_hybrid_topk)
     q["retrieval_context"] = _layers(_retrieval_context)

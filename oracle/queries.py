@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.layers import EXPECTATIONS, KEYS, RELATIONS, RULES, chunks, failed, product_texts, with_sql
+from oracle.layers import EXPECTATIONS, KEYS, RELATIONS, RULES, chunks, failed, product_texts, term_rows, with_sql
 
 
 def plain(source: str, doubles: str = "", stamps: str = "", dates: str = "", where: str = "") -> str:
@@ -64,6 +64,41 @@ def gold_quality() -> str:
     return " UNION ALL ".join(parts)
 
 
+def lsh_topk(tables: int = 10, bits: int = 5, probes: int = 3, sketch: int = 512, farthest: int = 232) -> str:
+    """Codes and sketches from the same planes, then the cosine of the pairs that are left."""
+
+    def planes(name: str, count: int) -> str:
+        place = f"'{name}:' || b || ':' || d"
+        return f"SELECT b, d, ('0x' || substr(md5({place}), 1, 4))::BIGINT - 32768 AS w FROM range({count}) p(b), range(64) q(d)"
+
+    def products(rows: str, name: str, count: int) -> str:
+        return f"SELECT id, b, sum(x * w) AS p FROM (SELECT id, unnest(range(64)) AS d, floor(unnest(v) * 65536)::BIGINT AS x FROM {rows}) JOIN ({planes(name, count)}) USING (d) GROUP BY id, b"
+
+    def signs(rows: str) -> str:
+        return f"SELECT id, b // {bits} AS t, sum(CASE WHEN p >= 0 THEN 1 << (b % {bits}) ELSE 0 END)::INT AS code FROM ({products(rows, 'code', tables * bits)}) GROUP BY ALL"
+
+    return f"""
+        WITH held AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+        asked AS (SELECT label AS id, list(m ORDER BY place) AS v FROM (
+            SELECT label, place, avg(CAST(x AS DOUBLE)) AS m FROM (
+                SELECT label, unnest(embedding) AS x, unnest(range(len(embedding))) AS place FROM embeddings) GROUP BY 1, 2) GROUP BY label),
+        near AS (
+            SELECT id, b // {bits} AS t, 1 << (b % {bits}) AS flip FROM ({products("asked", "code", tables * bits)})
+            QUALIFY row_number() OVER (PARTITION BY id, t ORDER BY abs(p), b) <= {probes}),
+        own AS ({signs("asked")}),
+        probed AS (SELECT * FROM own UNION ALL SELECT id, t, xor(code, flip::INT) FROM own JOIN near USING (id, t)),
+        met AS (SELECT DISTINCT p.id AS label, h.id AS vec_id FROM probed p JOIN ({signs("held")}) h USING (t, code)),
+        a AS (SELECT id, b, p >= 0 AS s FROM ({products("asked", "sketch", sketch)})),
+        h AS (SELECT id, b, p >= 0 AS s FROM ({products("held", "sketch", sketch)})),
+        left_over AS (
+            SELECT label, vec_id FROM met JOIN a ON a.id = label JOIN h ON h.id = vec_id AND h.b = a.b
+            GROUP BY ALL HAVING count(*) FILTER (a.s <> h.s) <= {farthest})
+        SELECT label, vec_id, score, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS rank FROM (
+            SELECT label, vec_id, round(list_cosine_similarity(asked.v, held.v), 6) AS score
+            FROM left_over JOIN asked ON asked.id = label JOIN held ON held.id = vec_id)
+        QUALIFY rank <= 10"""
+
+
 NET = "CAST(sum(f.net_sales_amount) AS DOUBLE) AS total_net_sales"
 BY_CUSTOMER = "fact_sales f JOIN dim_customer c ON f.customer_id = c.customer_id"
 BY_PRODUCT = "fact_sales f JOIN dim_product p ON f.product_id = p.product_id"
@@ -106,12 +141,13 @@ def _sql() -> dict[str, str]:
     sql["scd1_inventory"] = plain("b_inventory", stamps="last_stock_update")
     before = "SELECT * FROM product_history WHERE __START_AT <= TIMESTAMP '2024-05-01' AND (__END_AT IS NULL OR __END_AT > TIMESTAMP '2024-05-01')"
     after = "SELECT * FROM product_history WHERE __END_AT IS NULL"
-    sql["table_diff"] = f"""
+    content = "product_name category subcategory brand supplier_name".split()
+    picked = ", ".join(f"CASE WHEN n.product_id IS NULL THEN o.{c} ELSE n.{c} END AS {c}" for c in (*content, "unit_price", "launch_date"))
+    sql["table_diff"] = plain(f"""(
         SELECT CASE WHEN o.product_id IS NULL THEN 'insert' WHEN n.product_id IS NULL THEN 'delete' ELSE 'update' END AS change_type,
-               trim(coalesce(n.product_id, o.product_id)) AS product_id,
-               CAST(CASE WHEN n.product_id IS NULL THEN o.unit_price ELSE n.unit_price END AS DOUBLE) AS unit_price
+               trim(coalesce(n.product_id, o.product_id)) AS product_id, {picked}
         FROM ({before}) o FULL JOIN ({after}) n ON o.product_id = n.product_id
-        WHERE o.product_id IS NULL OR n.product_id IS NULL OR o.unit_price <> n.unit_price"""
+        WHERE o.product_id IS NULL OR n.product_id IS NULL OR o.unit_price <> n.unit_price)""", doubles="unit_price", dates="launch_date")
 
     sql["dim_customer"] = CUSTOMER_OUT
     sql["dim_product"] = plain("dim_product", doubles="unit_price", stamps="updated_at", dates="launch_date")
@@ -194,6 +230,11 @@ def _sql() -> dict[str, str]:
         SELECT n.chunk_id, CASE WHEN o.chunk_id IS NULL OR o.chunk_to_retrieve <> n.chunk_to_retrieve THEN 'second' ELSE 'first' END AS run,
                256 AS dimensions
         FROM ({catalog("__END_AT IS NULL")}) n LEFT JOIN ({may}) o ON o.chunk_id = n.chunk_id"""
+    words = term_rows(f"({catalog('__END_AT IS NULL')})", "chunk_id", "chunk_to_retrieve")
+    sql["keyword_sync"] = f"""
+        SELECT 'documents' AS statistic, CAST(NULL AS VARCHAR) AS term, count(*) AS value FROM ({catalog("__END_AT IS NULL")})
+        UNION ALL SELECT 'words', NULL, count(*) FROM ({words})
+        UNION ALL SELECT 'document_frequency', term, count(DISTINCT id) FROM ({words}) GROUP BY term"""
     sql["vector_topk"] = """
         SELECT label, vec_id, score, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS rank FROM (
             SELECT c.label, e.vec_id, round(list_cosine_similarity(c.v, CAST(e.embedding AS DOUBLE[])), 6) AS score
@@ -202,6 +243,8 @@ def _sql() -> dict[str, str]:
                     SELECT label, unnest(embedding) AS x, unnest(range(len(embedding))) AS place FROM embeddings) GROUP BY 1, 2)
                 GROUP BY label) c)
         QUALIFY rank <= 10"""
+    sql["lsh_topk"] = lsh_topk()
+    sql["keyword_index_topk"] = "SELECT * FROM k_text_bm25 WHERE rank <= 10"
     sql["bm25_topk"] = "SELECT * FROM k_text_bm25 WHERE rank <= 10"
     sql["hybrid_topk"] = "SELECT * FROM k_text_hybrid"
     block = (

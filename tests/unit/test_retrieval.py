@@ -56,22 +56,6 @@ def test_missing_vectors_and_no_queries(spark, tables):
     assert R.vector_topk(queries.limit(0), corpus, 5).count() == 0
 
 
-def test_lsh_scores_all_rows_that_share_a_bucket(tables, tmp_path):
-    queries, corpus = tables
-    index = R.LshIndex(tables=4, width=1.5).fit(corpus)
-    hashed = {r.chunk_id: list(r.buckets) for r in index.rows.collect()}
-    asked = {r.question_id: list(r.buckets) for r in index.hashed(queries).collect()}
-    want = set()
-    for q, v in QUERIES.items():
-        near = [i for i, b in hashed.items() if any(x == y for x, y in zip(asked[q], b))]
-        scored = sorted((-round(cosine(v, VECTORS[i]), 6), i) for i in near)
-        want |= {(q, i, round(-s, 6) + 0.0, r + 1) for r, (s, i) in enumerate(scored[:5])}
-    assert found(index.topk(queries, 5)) == want
-    index.write(str(tmp_path / "index"))
-    stored = index.read_candidates(str(tmp_path / "index"), queries, "chunk_id")
-    assert found(index.topk(queries, 5, rows=stored)) == want
-
-
 DOCS = {
     "a": "Chairs and tables, chairs!",
     "b": "a table for the garden",
