@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,17 +10,15 @@ from pyspark.sql.types import DateType, DecimalType, TimestampType
 
 from lakemart.operators import cdc, chat, documents, gates, gold, keyword_index, keyword_stats, quality, retrieval, security, silver, vector_index
 from lakemart.plans import marts, semantics
-from lakemart.plans.medallion import Medallion
+from lakemart.plans.medallion import SALES_ORDER, Medallion
 from lakemart.plans.samples import SampleBronze
 from lakemart.session import scratch_dir
 from lakemart.sources.tables import materialize
-from lakemart.streaming import ingest
+from lakemart.streaming import committed, ingest
 from lakemart.streaming import silver as stream_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Sales in the sample tables fall into these years.
-SAMPLE_START, SAMPLE_END = date(1995, 1, 1), date(2001, 12, 31)
 SAMPLE_REGION = "NATION_3"
 
 
@@ -54,30 +51,6 @@ def _mart(build: Callable[[gates.Star], DataFrame]) -> Query:
     return _layers(build)
 
 
-def _day(name: str):
-    return F.date_format(name, "yyyy-MM-dd")
-
-
-def _scd2_account(m: Medallion) -> DataFrame:
-    return m.account_history.select(
-        F.trim("Id").alias("id"),
-        F.col("Phone").alias("phone"),
-        F.col("NumberOfEmployees").alias("number_of_employees"),
-        _day("__START_AT").alias("start_at"),
-        _day("__END_AT").alias("end_at"),
-    )
-
-
-def _scd2_product(m: Medallion) -> DataFrame:
-    return m.product_history.select(
-        F.trim("product_id").alias("product_id"),
-        "unit_price",
-        _day("updated_at").alias("updated_at"),
-        _day("__START_AT").alias("start_at"),
-        _day("__END_AT").alias("end_at"),
-    )
-
-
 def _product_diff(m: Medallion) -> DataFrame:
     """What changed between the catalog of May 2024 and the latest one."""
     versions = materialize(m.product_history, "product-history")
@@ -298,18 +271,64 @@ def _drop(df: DataFrame, folder: str) -> None:
     )
 
 
+def _sales_streams(m: Medallion, root: str) -> tuple[ingest.CsvDrops, stream_silver.SilverStream]:
+    drops = ingest.CsvDrops(f"{root}/in", f"{root}/bronze", f"{root}/state")
+    return drops, stream_silver.SilverStream("transactions", silver.transactions, f"{root}/silver", f"{root}/silver-state", "transaction_id")
+
+
+def _bring_up(m: Medallion, drops: ingest.CsvDrops, spec: stream_silver.SilverStream) -> None:
+    ingest.run(m.spark, drops)
+    stream_silver.run_committed(m.spark, drops, spec, SALES_ORDER)
+
+
 def _stream_ingest_dedup(m: Medallion) -> DataFrame:
     """CSV files to Bronze to deduplicated Silver, run twice over the stream."""
-    root = scratch_dir(m.spark, "stream-dedup")
-    drops = ingest.CsvDrops(f"{root}/in", f"{root}/bronze", f"{root}/state")
-    spec = stream_silver.SilverStream(
-        "transactions", silver.transactions, f"{root}/silver", f"{root}/silver-state", "transaction_id"
-    )
+    drops, spec = _sales_streams(m, scratch_dir(m.spark, "stream-dedup"))
     _drop(m.bronze.transactions(), drops.source)
     for _ in range(2):  # the second run finds nothing new
-        ingest.run(m.spark, drops)
-        stream_silver.run(ingest.stream_table(m.spark, drops), spec)
-    return stream_silver.read_table(m.spark, spec).select("transaction_id")
+        _bring_up(m, drops, spec)
+    return stream_silver.first_arrivals(spec).read(m.spark)
+
+
+def _stream_restart(m: Medallion) -> DataFrame:
+    """As above, but Bronze and Silver died half-way first, and all files are delivered twice."""
+    drops, spec = _sales_streams(m, scratch_dir(m.spark, "stream-restart"))
+    _drop(m.bronze.transactions(), drops.source)
+    # What two runs that died before their record leave: some of their files, no record.
+    some = m.bronze.transactions().where("store_id LIKE 's1%'")
+    some.write.parquet(f"{drops.table}/{ingest.BATCH}=0")
+    target = stream_silver.first_arrivals(spec, SALES_ORDER).store
+    target.write(silver.transactions(some), "rows", 0)
+    for _ in range(2):
+        _bring_up(m, drops, spec)
+    _drop(m.bronze.transactions(), drops.source)  # all of them again, under new names
+    _bring_up(m, drops, spec)
+    return stream_silver.first_arrivals(spec).read(m.spark)
+
+
+def _delivered(m: Medallion, feed: DataFrame, target, root: str) -> None:
+    """A change feed in three deliveries, the later changes mostly first, each run as a stream."""
+    late = F.pmod(F.xxhash64(F.col(target.store.keys[0]), F.col("seq"), F.lit("delivery")), F.lit(2)) + (F.col("seq") < F.lit("2024-05-01").cast("timestamp")).cast("int")
+    feed = materialize(feed.withColumn("_delivery", late), "change-feed")
+    for delivery in range(3):
+        rows = feed.where(F.col("_delivery") == delivery).drop("_delivery")
+        rows.write.mode("append").parquet(f"{root}/feed")
+        stream = m.spark.readStream.schema(rows.schema).parquet(f"{root}/feed")
+        committed.run_changes(stream, target, f"{root}/checkpoint")
+
+
+def _stream_scd2_account(m: Medallion) -> DataFrame:
+    root = scratch_dir(m.spark, "stream-scd2")
+    target = committed.History(committed.CommittedParts(f"{root}/table", ("Id",), parts=8))
+    _delivered(m, m.bronze.account_feed(), target, root)
+    return target.read(m.spark)
+
+
+def _stream_scd1_inventory(m: Medallion) -> DataFrame:
+    root = scratch_dir(m.spark, "stream-scd1")
+    target = committed.CurrentState(committed.CommittedParts(f"{root}/table", ("inventory_id",), parts=8))
+    _delivered(m, m.bronze.inventory_feed(), target, root)
+    return target.read(m.spark)
 
 
 def _stream_schema_evolution(m: Medallion) -> DataFrame:
@@ -353,8 +372,8 @@ def build_queries() -> dict[str, Query]:
     q["quarantine_reasons"] = _layers(_all_reasons)
     q["reconciliation"] = _layers(_reconciliation)
 
-    q["scd2_account"] = _layers(_scd2_account)
-    q["scd2_product"] = _layers(_scd2_product)
+    q["scd2_account"] = _layers(lambda m: m.account_history)
+    q["scd2_product"] = _layers(lambda m: m.product_history)
     q["scd1_inventory"] = _layers(lambda m: m.inventory_current)
     q["table_diff"] = _layers(_product_diff)
 
@@ -407,5 +426,8 @@ def build_queries() -> dict[str, Query]:
     q["normalized_history"] = _layers(_normalized_history)
 
     q["stream_ingest_dedup"] = _layers(_stream_ingest_dedup)
+    q["stream_restart"] = _layers(_stream_restart)
+    q["stream_scd2_account"] = _layers(_stream_scd2_account)
+    q["stream_scd1_inventory"] = _layers(_stream_scd1_inventory)
     q["stream_schema_evolution"] = _layers(_stream_schema_evolution)
     return q

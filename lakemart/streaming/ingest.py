@@ -2,14 +2,17 @@
 
 The stream follows the *list* of files (path only; no content is read for it),
 so each file is taken once.  Every micro-batch reads its files by header, adds
-new columns, and replaces its own folder of the table: running a batch again
-cannot add rows twice.
+new columns, and replaces its own folder of the table.  A record that names the
+folder's files then makes the batch valid.  Readers and following streams go by the
+records alone: a batch that died half-way is not seen, and running it again adds
+nothing twice.
 """
 
 from __future__ import annotations
 
 import json
 from collections import defaultdict
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -19,6 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lakemart.contracts import BRONZE_TRANSACTIONS
+from lakemart.sources import files
+from lakemart.streaming.committed import follow
 
 FILE_LISTING = "path string, modificationTime timestamp, length long, content binary"
 RESCUED = "_rescued_data"
@@ -41,6 +46,10 @@ class CsvDrops:
     def schema_path(self) -> str:
         return f"{self.state}/schema"
 
+    @property
+    def commits(self) -> str:
+        return f"{self.state}/commits"
+
 
 def run(spark: SparkSession, drops: CsvDrops) -> None:
     """Take every file not taken before, then stop."""
@@ -63,23 +72,21 @@ def run(spark: SparkSession, drops: CsvDrops) -> None:
 
 
 def _take(spark: SparkSession, drops: CsvDrops, paths: DataFrame, batch: int) -> None:
-    target = f"{drops.table}/{BATCH}={batch}"
-    if _exists(spark, f"{target}/_SUCCESS"):
-        return  # written before a restart: its files keep their names, so that no reader sees them twice
-    files = sorted(row.path for row in paths.collect())  # at most max_files names
+    folder = f"{BATCH}={batch}"
+    record = f"{drops.commits}/{batch:012d}"
+    if files.exists(spark, record):
+        return
+    taken = sorted(row.path for row in paths.collect())  # at most max_files names
     known = table_schema(spark, drops)
-    rows = read_drops(spark, files, drops.hints, drops.null_token)
+    rows = read_drops(spark, taken, drops.hints, drops.null_token)
     if rows is None:
         return
     grown = _merged(known, rows.schema)
     if grown != known:
         _save_schema(spark, drops, grown, batch)
-    rows.write.mode("overwrite").parquet(target)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    rows.write.mode("overwrite").parquet(f"{drops.table}/{folder}")
+    written = [f"{folder}/{n}" for n in files.names(spark, f"{drops.table}/{folder}") if not n.startswith(("_", "."))]
+    files.write_once(spark, record, json.dumps({"batch": batch, "files": written}))
 
 
 def read_drops(spark: SparkSession, files: list[str], hints: str, null_token: str = "null") -> DataFrame | None:
@@ -143,7 +150,7 @@ def table_schema(spark: SparkSession, drops: CsvDrops) -> StructType | None:
             raise
         lines = []
     if not lines:
-        if _exists(spark, drops.table):
+        if files.names(spark, drops.commits):
             raise ValueError(f"{drops.table} has batches, but its schema is gone from {drops.schema_path}")
         return None
     schema = None
@@ -159,12 +166,23 @@ def _read_schema(spark: SparkSession, drops: CsvDrops) -> StructType:
     return schema
 
 
+def committed(spark: SparkSession, drops: CsvDrops) -> list[dict]:
+    """The records so far, in order: batch and files."""
+    return [json.loads(files.read_text(spark, f"{drops.commits}/{n}")) for n in files.names(spark, drops.commits) if n.isdigit()]
+
+
+def _read(spark: SparkSession, drops: CsvDrops, records: list[dict]) -> DataFrame:
+    schema = _read_schema(spark, drops)
+    named = [f"{drops.table}/{f}" for r in records for f in r["files"]]
+    return spark.read.schema(schema).parquet(*named) if named else spark.createDataFrame([], schema)
+
+
 def read_table(spark: SparkSession, drops: CsvDrops) -> DataFrame:
     """The table so far.  The saved schema spares a look into every file."""
-    return spark.read.schema(_read_schema(spark, drops)).parquet(drops.table).drop(BATCH)
+    return _read(spark, drops, committed(spark, drops))
 
 
-def stream_table(spark: SparkSession, drops: CsvDrops, max_files: int = 1000) -> DataFrame:
-    """The table as a stream of its new files."""
-    reader = spark.readStream.schema(_read_schema(spark, drops)).option("maxFilesPerTrigger", max_files)
-    return reader.parquet(drops.table).drop(BATCH)
+def follow_table(spark: SparkSession, drops: CsvDrops, checkpoint: str, take: Callable[[DataFrame, int], None], at_once: int = 100) -> None:
+    """Hand the rows of newly committed batches to ``take(rows, number)``, then stop."""
+    if files.names(spark, drops.commits):
+        follow(spark, drops.commits, checkpoint, lambda records, number: take(_read(spark, drops, records), number), at_once)

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.operators import quality
-from lakemart.operators.cdc import first_per_key
+from lakemart.streaming import ingest
+from lakemart.streaming.committed import CommittedParts, FirstArrivals
 
 BATCH = "silver_batch"
 
@@ -66,6 +67,30 @@ def run(stream: DataFrame, spec: SilverStream) -> None:
     query.awaitTermination()
 
 
+def run_committed(spark: SparkSession, drops: ingest.CsvDrops, spec: SilverStream, order: tuple[str, ...]) -> None:
+    """Bring Silver up to the committed batches of Bronze; safe to run again.
+
+    Rows whose key came before are dropped; within a batch the first in ``order``
+    counts.  Expectations are measured on the rows that are new.
+    """
+    expectations = quality.load_expectations(spec.dataset)
+    target = first_arrivals(spec, order)
+
+    def take(bronze: DataFrame, number: int) -> None:
+        def measure(new: DataFrame) -> None:
+            lines = quality.measure(new, expectations).withColumn("dataset", F.lit(spec.dataset))
+            lines = lines.select("dataset", "expectation", "passed", "failed")
+            lines.coalesce(1).write.mode("overwrite").parquet(f"{spec.state}/metrics/{BATCH}={number}")
+
+        target.apply(spec.build(bronze), number, measure)
+
+    ingest.follow_table(spark, drops, f"{spec.state}/checkpoint", take)
+
+
+def first_arrivals(spec: SilverStream, order: tuple[str, ...] = ()) -> FirstArrivals:
+    return FirstArrivals(CommittedParts(spec.table, (spec.key,)), order)
+
+
 def read_table(spark: SparkSession, spec: SilverStream) -> DataFrame:
     return spark.read.parquet(spec.table).drop(BATCH)
 
@@ -76,29 +101,3 @@ def read_metrics(spark: SparkSession, spec: SilverStream) -> DataFrame:
     return batches.groupBy("dataset", "expectation").agg({"passed": "sum", "failed": "sum"}).withColumnsRenamed(
         {"sum(passed)": "passed", "sum(failed)": "failed"}
     )
-
-
-def current_state_writer(path: str, keys: list[str], seq: str = "seq", op: str = "op"):
-    """``foreachBatch`` function that keeps the latest version of each key.
-
-    Each batch merges the former version of the table with its changes and
-    writes the next one; the folder carries the batch number, so a repeated
-    batch starts from the same former version.
-    """
-    def write(batch: DataFrame, number: int) -> None:
-        changes = batch
-        if number > 0:
-            changes = batch.sparkSession.read.parquet(f"{path}/version={number - 1}").unionByName(batch)
-        rest = [c for c in batch.columns if c not in (*keys, seq)]
-        order = [F.col(seq).desc(), *(F.col(c).desc_nulls_last() for c in rest)]
-        first_per_key(changes, keys, order).write.mode("overwrite").parquet(f"{path}/version={number}")
-
-    return write
-
-
-def read_current_state(spark: SparkSession, path: str, op: str = "op", seq: str = "seq") -> DataFrame:
-    """Latest version written by :func:`current_state_writer`, deletes removed."""
-    # Only folder names are compared: the version is a partition column.
-    versions = spark.read.option("basePath", path).parquet(path)
-    last = versions.agg(F.max("version").alias("v")).head().v
-    return versions.filter(F.col("version") == last).filter(F.col(op) != "D").drop("version", op, seq)

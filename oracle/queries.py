@@ -129,16 +129,9 @@ def _sql() -> dict[str, str]:
     )
     sql["reconciliation"] = reconciliation()
 
-    sql["scd2_account"] = (
-        "SELECT trim(Id) AS id, Phone AS phone, NumberOfEmployees AS number_of_employees, "
-        "strftime(__START_AT, '%Y-%m-%d') AS start_at, strftime(__END_AT, '%Y-%m-%d') AS end_at FROM account_history"
-    )
-    sql["scd2_product"] = (
-        "SELECT trim(product_id) AS product_id, CAST(unit_price AS DOUBLE) AS unit_price, "
-        "strftime(updated_at, '%Y-%m-%d') AS updated_at, "
-        "strftime(__START_AT, '%Y-%m-%d') AS start_at, strftime(__END_AT, '%Y-%m-%d') AS end_at FROM product_history"
-    )
-    sql["scd1_inventory"] = plain("b_inventory", stamps="last_stock_update")
+    sql["scd2_account"] = sql["stream_scd2_account"] = plain("account_history", doubles="AnnualRevenue", stamps="__START_AT __END_AT")
+    sql["scd2_product"] = plain("product_history", doubles="unit_price", stamps="updated_at __START_AT __END_AT", dates="launch_date")
+    sql["scd1_inventory"] = sql["stream_scd1_inventory"] = plain("b_inventory", stamps="last_stock_update")
     before = "SELECT * FROM product_history WHERE __START_AT <= TIMESTAMP '2024-05-01' AND (__END_AT IS NULL OR __END_AT > TIMESTAMP '2024-05-01')"
     after = "SELECT * FROM product_history WHERE __END_AT IS NULL"
     content = "product_name category subcategory brand supplier_name".split()
@@ -270,7 +263,7 @@ def _sql() -> dict[str, str]:
                     WHEN role = 'assistant' AND (conv_id + turn) % 4 = 2
                     THEN '[{"text":' || to_json(text) || ',"type":"output_text"}]' ELSE text END AS content
         FROM conversations"""
-    sql["stream_ingest_dedup"] = "SELECT DISTINCT transaction_id FROM c_transactions"
+    sql["stream_ingest_dedup"] = sql["stream_restart"] = sql["dedup_transactions"]
     sql["stream_schema_evolution"] = """
         SELECT trim(CASE WHEN l_orderkey % 113 = 0 THEN '  '
                     WHEN l_orderkey % 127 <> 0 THEN ' txn' || l_orderkey || '-' || l_linenumber || ' ' END) AS transaction_id,

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakemart.operators import cdc, quality, silver
-from lakemart.streaming import ingest
+from lakemart.sources import files
+from lakemart.streaming import committed, ingest
 from lakemart.streaming import silver as streams
 
 HEADER = (
@@ -74,22 +75,48 @@ def test_repeating_a_batch_adds_nothing(spark, drops):
     assert ingest.read_table(spark, drops).count() == 1
 
 
-def test_restart_after_the_write_keeps_silver(spark, drops, tmp_path):
-    put(drops, "a.csv", HEADER, line("t1"), line("t2"))
-    out, state = str(tmp_path / "silver"), str(tmp_path / "silver_state")
+def sales_spec(tmp_path):
+    return streams.SilverStream("transactions", silver.transactions, str(tmp_path / "silver"), str(tmp_path / "ss"), key="transaction_id")
+
+
+def bring_up(spark, drops, spec):
+    ingest.run(spark, drops)
+    streams.run_committed(spark, drops, spec, ("transaction_timestamp", "quantity"))
+    return sorted(str(r.transaction_id) for r in streams.first_arrivals(spec).read(spark).collect())
 
-    def both():
-        ingest.run(spark, drops)
-        rows = ingest.stream_table(spark, drops)
-        rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
-        return spark.read.parquet(out).count()
 
-    assert both() == 2
-    commits = os.path.join(drops.state, "checkpoint", "commits")
-    for name in os.listdir(commits):  # as if the run had ended between write and commit
+def forget_commits(folder):
+    """As if the run had ended before the stream noted its batch."""
+    commits = os.path.join(folder, "checkpoint", "commits")
+    for name in os.listdir(commits):
         if name.strip(".").split(".")[0].isdigit():
             os.remove(os.path.join(commits, name))
-    assert both() == 2 and ingest.read_table(spark, drops).count() == 2
+
+
+def test_restart_between_record_and_checkpoint(spark, drops, tmp_path):
+    put(drops, "a.csv", HEADER, line("t1"), line("t2"))
+    spec = sales_spec(tmp_path)
+    assert bring_up(spark, drops, spec) == ["T1", "T2"]
+    for folder in (drops.state, spec.state):
+        forget_commits(folder)
+        assert bring_up(spark, drops, spec) == ["T1", "T2"]
+    assert ingest.read_table(spark, drops).count() == 2
+
+
+def test_a_batch_that_died_half_way_is_not_seen(spark, drops, tmp_path):
+    put(drops, "a.csv", HEADER, line("t1"))
+    spec = sales_spec(tmp_path)
+    assert bring_up(spark, drops, spec) == ["T1"]
+    # Half of the files of the next batch, in Bronze and in Silver, without a record.
+    half = ingest.read_table(spark, drops).limit(1).withColumn("transaction_id", F.lit("t2"))
+    half.write.parquet(f"{drops.table}/{ingest.BATCH}=1")
+    streams.first_arrivals(spec).store.write(silver.transactions(half), "rows", 1)
+    assert ingest.read_table(spark, drops).count() == 1 and bring_up(spark, drops, spec) == ["T1"]
+    put(drops, "b.csv", HEADER, line("t2"), line("t3"), line("t1"))
+    assert bring_up(spark, drops, spec) == ["T1", "T2", "T3"]
+    assert ingest.read_table(spark, drops).count() == 4  # t1 came twice
+    records = ingest.committed(spark, drops)
+    assert [r["batch"] for r in records] == [0, 1] and all(r["files"] for r in records)
 
 
 def test_a_lost_schema_is_told(spark, drops):
@@ -108,18 +135,14 @@ def test_nothing_ingested_yet(spark, drops):
 
 
 def test_stream_equals_batch(spark, drops, tmp_path):
-    spec = streams.SilverStream(
-        "transactions", silver.transactions, str(tmp_path / "silver"), str(tmp_path / "ss"), key="transaction_id"
-    )
+    spec = sales_spec(tmp_path)
     put(drops, "a.csv", HEADER, line(" t1 "), line("t1"), line("t2", quantity="0"))
-    for again in (False, True):
-        if again:
-            put(drops, "b.csv", HEADER, line("T1"), line("t3"), line("null"), line("null"))
-        ingest.run(spark, drops)
-        streams.run(ingest.stream_table(spark, drops), spec)
-    streams.run(ingest.stream_table(spark, drops), spec)
-
-    got = streams.read_table(spark, spec).drop("processed_at")
+    bring_up(spark, drops, spec)
+    put(drops, "b.csv", HEADER, line("T1"), line("t3"), line("null"), line("null"))
+    bring_up(spark, drops, spec)
+    assert bring_up(spark, drops, spec) == ["None", "T1", "T2", "T3"]
+
+    got = streams.first_arrivals(spec).read(spark).drop("processed_at")
     batch = cdc.deduplicate(silver.transactions(ingest.read_table(spark, drops)), "transaction_id", ["quantity"])
     assert sorted(map(str, got.collect())) == sorted(map(str, batch.drop("processed_at").collect()))
 
@@ -129,6 +152,13 @@ def test_stream_equals_batch(spark, drops, tmp_path):
     assert measured["valid_quantity"] == (3, 1)
 
 
+def test_following_nothing(spark, drops, tmp_path):
+    spec = sales_spec(tmp_path)
+    streams.run_committed(spark, drops, spec, ())
+    with pytest.raises(ValueError, match="no table"):
+        streams.first_arrivals(spec).read(spark)
+
+
 @pytest.mark.parametrize("dataset", ["inventory", "opportunity", "product_catalog"])
 def test_builders_also_run_on_streams(spark, tmp_path, dataset):
     from lakemart import contracts
@@ -154,23 +184,3 @@ def test_state_can_be_bounded_by_event_time(spark, tmp_path):
     query = streams.rows(stream, spec).writeStream.format("memory").queryName("bounded").trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted(r.k for r in spark.table("bounded").collect()) == ["a", "b"]
-
-
-def test_current_state_from_a_stream(spark, tmp_path):
-    feed = "op string, seq timestamp, k string, v int"
-    first = [("I", datetime(2025, 1, 1), "a", 1), ("I", datetime(2025, 1, 1), "b", 1)]
-    second = [("U", datetime(2025, 1, 2), "a", 2), ("D", datetime(2025, 1, 2), "b", 1), ("I", datetime(2025, 1, 3), "c", 3)]
-    path = str(tmp_path / "state")
-    write = streams.current_state_writer(path, ["k"])
-    for rows in (first, second):
-        spark.createDataFrame(rows, feed).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        stream = spark.readStream.schema(feed).parquet(str(tmp_path / "in"))
-        query = (
-            stream.writeStream.option("checkpointLocation", str(tmp_path / "cp"))
-            .trigger(availableNow=True).foreachBatch(write).start()
-        )
-        query.awaitTermination()
-    write(spark.createDataFrame(second, feed), 1)  # a repeated batch
-    got = {(r.k, r.v) for r in streams.read_current_state(spark, path).collect()}
-    batch = cdc.current_state(spark.createDataFrame(first + second, feed), ["k"])
-    assert got == {(r.k, r.v) for r in batch.collect()} == {("a", 2), ("c", 3)}
