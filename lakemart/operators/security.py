@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemart.sources.tables import quoted
+
 # Fixed value: what a reader without the right sees instead of a phone number.
 MASK = "********"
 # Group that sees everything, and the region open to all.
@@ -35,6 +37,22 @@ class Policy:
         return not self.memberships.filter(hit).isEmpty()
 
 
+    def sql_right(self, members_path: str) -> str:
+        """The right of whoever runs a statement, over a written membership table."""
+        named = "".join(f" OR session_user() = {quoted(p)}" for p in self.privileged)
+        member = f"SELECT count(*) > 0 FROM parquet.`{members_path}` WHERE principal = session_user() AND member_of = {quoted(self.group)}"
+        return f"(({member}){named})"
+
+    def sql_filter(self, members_path: str) -> str:
+        """Condition on the rows of a published table."""
+        return f"{self.sql_right(members_path)} OR `{self.region_column}` = {quoted(self.open_region)}"
+
+    def sql_masks(self, members_path: str) -> dict[str, str]:
+        """What a published table shows in place of the masked columns."""
+        right = self.sql_right(members_path)
+        return {c: f"CASE WHEN {right} THEN `{c}` ELSE {quoted(MASK)} END" for c in self.masked_columns}
+
+
 def current_principal(spark: SparkSession) -> str:
     return spark.range(1).select(F.session_user()).head()[0]
 

@@ -7,6 +7,7 @@ below its own folder; the catalog names move to it at the end.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field, replace
 from datetime import date
 
@@ -34,13 +35,13 @@ COMMENTS = {
 class Config:
     root: str
     run: str
-    start: date = gold.CALENDAR_START
-    end: date = gold.CALENDAR_END
+    start: date | None = None  # of the calendar, by default all years of the sales
+    end: date | None = None
     drops: ingest.CsvDrops | None = None  # CSV deliveries to ingest first
     pages: str | None = None  # Parquet table (url, html)
     allowed_gold_violations: int = 0
     previous_run: str | None = None  # to synchronise the search index from
-    schema: str | None = None  # catalog schema to publish Gold in
+    schema: str | None = None  # catalog schema to publish Gold in; needs a policy
     null_passes: bool = True
     policy: security.Policy | None = None  # who may see which customers
 
@@ -57,6 +58,7 @@ class Result:
     index: DataFrame
     policy: security.Policy | None = None
     paths: dict[str, str] = field(default_factory=dict)
+    cfg: Config | None = None
 
     def star_for(self, principal: str) -> gates.Star:
         """The star schema as one principal may see it, for reports."""
@@ -89,10 +91,11 @@ def build_gold(valid: dict[str, DataFrame], spark: SparkSession, cfg: Config) ->
     sales = valid["transactions"]
     # Deals that hold a large share of all sales are spread over the cluster.
     heavy = heavy_keys(sales, match_key("opportunity_name"))
+    spine = gold.date_spine(spark, cfg.start, cfg.end) if cfg.start and cfg.end else gold.date_spine_covering(sales, "transaction_timestamp")
     tables = {
         "dim_customer": gold.dim_customer(valid["account"]),
         "dim_product": gold.dim_product(valid["product_catalog"]),
-        "dim_date": gold.dim_date(gold.date_spine(spark, cfg.start, cfg.end)),
+        "dim_date": gold.dim_date(spine),
         "fact_sales": gold.fact_sales(sales, valid["opportunity"], heavy),
     }
     return gates.Star(**{name: write_table(df, cfg.path("gold", name)) for name, df in tables.items()})
@@ -123,6 +126,19 @@ def build_index(chunks: DataFrame, spark: SparkSession, cfg: Config) -> DataFram
     return write_table(out, path)
 
 
+def publish_gold(spark: SparkSession, cfg: Config, paths: dict[str, str]) -> None:
+    """Move the names of the Gold tables to this run, customers filtered and masked for whoever reads them."""
+    # A folder of its own each time: readers of the former names still read the former one.
+    members = cfg.path("governance", f"members-{uuid.uuid4().hex[:12]}")
+    write_table(cfg.policy.memberships, members)
+    for name, path in paths.items():
+        spec = TableSpec(f"{cfg.schema}.{name}", COMMENTS[name], GOLD_PROPERTIES)
+        if name == "dim_customer":
+            publish(spark, spec, path, cfg.policy.sql_masks(members), cfg.policy.sql_filter(members))
+        else:
+            publish(spark, spec, path)
+
+
 class _FromDrops:
     """A Bronze provider whose sales come from the ingested CSV deliveries."""
 
@@ -140,6 +156,8 @@ class _FromDrops:
 def run_pipeline(bronze, cfg: Config) -> Result:
     """Run all stages in order; a failed gate raises and stops the run."""
     spark = bronze.spark
+    if cfg.schema and not cfg.policy:
+        raise ValueError("Gold is published under a policy only: customers have rows and numbers that not everybody may see")
     if cfg.drops:
         ingest.run(spark, cfg.drops)
         bronze = _FromDrops(bronze, cfg.drops)
@@ -165,6 +183,5 @@ def run_pipeline(bronze, cfg: Config) -> Result:
 
     paths = {name: cfg.path("gold", name) for name in COMMENTS}
     if cfg.schema:
-        for name, path in paths.items():
-            publish(spark, TableSpec(f"{cfg.schema}.{name}", COMMENTS[name], GOLD_PROPERTIES), path)
-    return Result(reconciliation, report, star, chunks, index, cfg.policy, paths)
+        publish_gold(spark, cfg, paths)
+    return Result(reconciliation, report, star, chunks, index, cfg.policy, paths, cfg)

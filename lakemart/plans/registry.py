@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql.types import DateType, DecimalType, TimestampType
 from lakemart.operators import cdc, chat, documents, gates, gold, keyword_index, keyword_stats, quality, retrieval, security, silver, vector_index
 from lakemart.plans import marts, semantics
 from lakemart.plans.medallion import SALES_ORDER, Medallion
+from lakemart.plans.pipeline import Config, Result, publish_gold, run_pipeline
 from lakemart.plans.samples import SampleBronze
 from lakemart.session import scratch_dir
 from lakemart.sources.tables import materialize
@@ -118,6 +121,46 @@ def _phone_mask(m: Medallion) -> DataFrame:
     return views[0].unionByName(views[1])
 
 
+# ------------------------------------------------------------------ whole runs
+
+_runs: dict[tuple[str, str], Result] = {}
+
+
+def _run(m: Medallion) -> Result:
+    """One run of all stages over the sample tables, published; made once per session and folder."""
+    key = m.spark.sparkContext.applicationId, m.bronze.folder
+    if key not in _runs:
+        root = scratch_dir(m.spark, "whole-run")
+        schema = "run_" + hashlib.md5(root.encode()).hexdigest()[:12]
+        m.spark.sql(f"CREATE DATABASE {schema} LOCATION '{root}/catalog'")
+        # The sample sales refer to customers and products that quality has taken out.
+        cfg = Config(root, "first", allowed_gold_violations=10**12, pages=f"{m.bronze.folder}/pages.parquet", schema=schema, policy=_policy(m))
+        _runs[key] = run_pipeline(m.bronze, cfg)
+    return _runs[key]
+
+
+def _published_customers(m: Medallion) -> DataFrame:
+    """The customer table read by name: by a plain reader, then by the same one as a member of the group."""
+    done = _run(m)
+    name = f"{done.cfg.schema}.dim_customer"
+    plain = m.spark.table(name)
+    me = m.spark.range(1).select(F.session_user().alias("principal"), F.lit(security.PRIVILEGED_GROUP).alias("member_of"))
+    joined = replace(done.cfg, run="joined", policy=replace(done.cfg.policy, memberships=done.cfg.policy.memberships.unionByName(me)))
+    publish_gold(m.spark, joined, done.paths)
+    member = m.spark.table(name)
+    publish_gold(m.spark, done.cfg, done.paths)
+    return plain.withColumn("reader", F.lit("plain")).unionByName(member.withColumn("reader", F.lit("member")))
+
+
+def _published_sales(m: Medallion) -> DataFrame:
+    """Monthly sales as SQL over the published names."""
+    schema = _run(m).cfg.schema
+    return m.spark.sql(
+        f"""SELECT month_year AS month, month_year_sort AS month_sort, sum(net_sales_amount) AS total_net_sales
+            FROM {schema}.fact_sales JOIN {schema}.dim_date USING (date_key) GROUP BY ALL"""
+    )
+
+
 # ------------------------------------------------------------------ documents
 
 
@@ -385,6 +428,10 @@ def build_queries() -> dict[str, Query]:
     q["fact_sales"] = _layers(lambda m: m.fact_sales)
     q["gold_quality"] = _layers(_gold_quality)
 
+    q["pipeline_reconciliation"] = _layers(lambda m: _run(m).reconciliation)
+    q["pipeline_gold_report"] = _layers(lambda m: _run(m).gold_report)
+    q["published_customers"] = _layers(_published_customers)
+    q["published_sales"] = _layers(_published_sales)
     q["customer_row_filter"] = _layers(lambda m: security.secure_view(m.dim_customer, _policy(m), "reader"))
     q["customer_phone_mask"] = _layers(_phone_mask)
     q["principal_visibility"] = _layers(_visibility)

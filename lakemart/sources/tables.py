@@ -53,23 +53,34 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return write_table(df, scratch_dir(df.sparkSession, label))
 
 
-def publish(spark: SparkSession, spec: TableSpec, path: str) -> None:
-    """Point the catalog name at a written folder.
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    The data stay where they are, so readers of the former folder finish
-    undisturbed and the name moves in one step.
-    """
 
-    def quoted(text: str) -> str:
-        return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def publish(spark: SparkSession, spec: TableSpec, path: str, columns: Mapping[str, str] | None = None, where: str = "") -> None:
+    """Point the catalog name at a written folder.
 
-    spark.sql(f"DROP TABLE IF EXISTS {spec.name}")
-    properties = ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in spec.properties.items())
-    spark.sql(
-        f"CREATE TABLE {spec.name} USING parquet LOCATION {quoted(path)}"
-        + (f" COMMENT {quoted(spec.comment)}" if spec.comment else "")
-        + (f" TBLPROPERTIES ({properties})" if properties else "")
-    )
+    The name is a view, replaced in one step: at no moment is it missing, and
+    readers of the former folder finish undisturbed, since the data stay where
+    they are.  ``columns`` maps columns to the SQL shown in their place, ``where``
+    limits the rows.
+    """
+    shown = dict(columns or {})
+    names = spark.read.parquet(path).columns
+    unknown = sorted(set(shown) - set(names))
+    if unknown:
+        raise ValueError(f"{path} has no columns {unknown}")
+    listed = ", ".join(f"{shown[c]} AS `{c}`" if c in shown else f"`{c}`" for c in names)
+    query = f"SELECT {listed} FROM parquet.`{path}`" + (f" WHERE {where}" if where else "")
+    properties = dict(spec.properties) | ({"comment": spec.comment} if spec.comment else {})
+    settings = "(" + ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in properties.items()) + ")"
+    if not spark.catalog.tableExists(spec.name):
+        spark.sql(f"CREATE VIEW {spec.name} AS {query}")
+    else:  # CREATE OR REPLACE would drop the name first
+        spark.sql(f"ALTER VIEW {spec.name} AS {query}")
+    if properties:
+        spark.sql(f"ALTER VIEW {spec.name} SET TBLPROPERTIES {settings}")
 
 
 def read_binary(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:

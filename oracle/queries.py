@@ -148,6 +148,17 @@ def _sql() -> dict[str, str]:
     sql["fact_sales"] = plain("fact_sales", doubles="selling_price discount_amount net_sales_amount")
     sql["gold_quality"] = gold_quality()
 
+    # A whole run also quarantines sales with unreadable values: a quantity that is none.
+    readable = "(SELECT * FROM fact_sales WHERE quantity IS NOT NULL)"
+    sql["pipeline_reconciliation"] = reconciliation().replace("FROM v_transactions", "FROM v_transactions WHERE quantity IS NOT NULL").replace(
+        "(SELECT count(*) FROM q_transactions)", "(SELECT count(*) FROM s_transactions) - (SELECT count(*) FROM v_transactions WHERE quantity IS NOT NULL)"
+    )
+    sql["pipeline_gold_report"] = gold_quality().replace("FROM fact_sales", f"FROM {readable}")
+    sql["published_customers"] = (
+        f"SELECT *, 'member' AS reader FROM ({CUSTOMER_OUT}) UNION ALL "
+        f"SELECT * REPLACE ('********' AS phone), 'plain' AS reader FROM ({CUSTOMER_OUT}) WHERE billing_state = '{REGION}'"
+    )
+    sql["published_sales"] = f"SELECT month, month_sort, CAST(s AS DOUBLE) AS total_net_sales FROM ({MONTHS.replace('FROM fact_sales', f'FROM {readable}')})"
     sql["customer_row_filter"] = f"{CUSTOMER_OUT} WHERE billing_state = '{REGION}'".replace(
         "CAST(annual_revenue AS DOUBLE) AS annual_revenue",
         "CAST(annual_revenue AS DOUBLE) AS annual_revenue, '********' AS phone",

@@ -1,11 +1,13 @@
+import threading
+from dataclasses import replace
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lakemart.operators import gates, security
 from lakemart.plans import marts
-from lakemart.plans.pipeline import Config, run_pipeline
-from lakemart.plans.registry import SAMPLE_END, SAMPLE_START
+from lakemart.plans.pipeline import COMMENTS, Config, publish_gold, run_pipeline
 from lakemart.plans.samples import SampleBronze
 from lakemart.streaming import ingest
 
@@ -19,15 +21,16 @@ def bronze(spark):
 
 
 def config(tmp, run, **more):
-    return Config(str(tmp), run, SAMPLE_START, SAMPLE_END, allowed_gold_violations=10**9, **more)
+    return Config(str(tmp), run, allowed_gold_violations=10**9, **more)
 
 
 def test_two_runs(spark, bronze, tmp_path):
     drops = ingest.CsvDrops(str(tmp_path / "in"), str(tmp_path / "bronze"), str(tmp_path / "state"))
     bronze.transactions().write.csv(drops.source, header=True, nullValue="null")
     spark.sql("CREATE DATABASE IF NOT EXISTS pipeline_gold")
+    everybody = security.Policy(spark.createDataFrame([], "principal string, member_of string"), privileged=(security.current_principal(spark),))
     first = run_pipeline(
-        bronze, config(tmp_path, "r1", drops=drops, pages=f"{SMALL}/pages.parquet", schema="pipeline_gold")
+        bronze, config(tmp_path, "r1", drops=drops, pages=f"{SMALL}/pages.parquet", schema="pipeline_gold", policy=everybody)
     )
     counts = {r.dataset: r for r in first.reconciliation.collect()}
     assert len(counts) == 5
@@ -51,7 +54,7 @@ def test_two_runs(spark, bronze, tmp_path):
     assert key(second.star.fact_sales) == key(first.star.fact_sales)
     assert key(second.index) == key(first.index)
     for table in ("fact_sales", "dim_customer", "dim_product", "dim_date"):
-        spark.sql(f"DROP TABLE pipeline_gold.{table}")
+        spark.sql(f"DROP VIEW pipeline_gold.{table}")
     spark.sql("DROP DATABASE pipeline_gold")
 
 
@@ -72,6 +75,42 @@ def test_policy_comes_before_gold(spark, bronze, tmp_path):
     assert not (tmp_path / "bad" / "gold").exists()
 
 
+def test_published_customers_follow_the_reader(spark, bronze, tmp_path):
+    spark.sql(f"CREATE DATABASE governed LOCATION '{tmp_path}/catalog'")
+    nobody = security.Policy(spark.createDataFrame([("ann", "admins")], "principal string, member_of string"), open_region="NATION_3")
+    first = run_pipeline(bronze, config(tmp_path, "r1", schema="governed", policy=nobody))
+    plain = spark.table("governed.dim_customer").collect()
+    secure = security.secure_view(first.star.dim_customer, nobody).collect()
+    assert sorted(map(str, plain)) == sorted(map(str, secure)) and {r.phone for r in plain} == {security.MASK}
+    assert spark.table("governed.fact_sales").count() == first.star.fact_sales.count()
+
+    # While names move to another run and policy, each is there all the time.
+    me = spark.createDataFrame([(security.current_principal(spark), "admins")], "principal string, member_of string")
+    other = replace(first.cfg, run="r1b", policy=replace(nobody, memberships=me))
+    missing, done = [], threading.Event()
+
+    def watch():
+        while not done.is_set():
+            missing.extend(n for n in COMMENTS if not spark.catalog.tableExists(f"governed.{n}"))
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    for _ in range(5):
+        publish_gold(spark, other, first.paths)
+    done.set()
+    watcher.join()
+    assert missing == []
+    assert spark.table("governed.dim_customer").count() == first.star.dim_customer.count() > len(plain)
+    assert spark.sql("SELECT count(phone) AS n FROM governed.dim_customer WHERE phone = '********'").head().n == 0
+    spark.sql("DROP DATABASE governed CASCADE")
+
+
+def test_no_publishing_without_a_policy(bronze, tmp_path):
+    with pytest.raises(ValueError, match="policy"):
+        run_pipeline(bronze, config(tmp_path, "r", schema="anywhere"))
+    assert not (tmp_path / "r").exists()
+
+
 def test_gold_gate_stops_the_run(bronze, tmp_path):
     with pytest.raises(gates.GateFailed, match="gold checks failed"):
-        run_pipeline(bronze, Config(str(tmp_path), "r", SAMPLE_START, SAMPLE_END))
+        run_pipeline(bronze, Config(str(tmp_path), "r"))

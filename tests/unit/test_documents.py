@@ -122,7 +122,12 @@ def test_tables_are_replaced_and_published(spark, tmp_path):
     described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED pub_test").collect()}
     assert described["Comment"] == "it's a test" and "layer=gold" in described["Table Properties"]
     assert spark.read.parquet(first).count() == 3
-    spark.sql("DROP TABLE pub_test")
+    spark.sql("DROP VIEW pub_test")
+    publish(spark, spec, second, {"extra": "upper(extra)"}, "id > 0")
+    assert [tuple(r) for r in spark.table("pub_test").collect()] == [(1, "X")]
+    with pytest.raises(ValueError, match="no columns"):
+        publish(spark, spec, second, {"phone": "'*'"})
+    spark.sql("DROP VIEW pub_test")
 
 
 @pytest.mark.parametrize(
