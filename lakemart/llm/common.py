@@ -6,7 +6,7 @@ import hashlib
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +51,19 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def set_aside(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The table with other names for columns that begin like the operators' own, and the way back."""
+    taken, names = {c.lower() for c in docs.columns}, {}
+    for column in docs.columns:
+        if column.startswith("__"):
+            other = f"caller{column}"
+            while other.lower() in taken:
+                other += "_"
+            taken.add(other.lower())
+            names[column] = other
+    return docs.withColumnsRenamed(names), lambda out: out.withColumnsRenamed({other: column for column, other in names.items()})
+
+
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

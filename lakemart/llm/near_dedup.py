@@ -1,15 +1,14 @@
 """Near-duplicate documents by improved consistent weighted sampling.
 
-Shingles of five lower-cased words weigh term frequency times document
-frequency's inverse.  Document frequencies of all shingles come from a
-count-min sketch of fixed size: each error is a small share of all documents, so
-it tells common shingles from rare ones, which is all the weight asks for.  A
-part of each weight is fixed: boilerplate counts less, but a group of copies is
-not pulled apart because its own shingles are frequent.
+Shingles of five lower-cased words weigh term frequency times inverse document
+frequency, log(N / df), scaled so that the rarest have 1 and rounded to steps of
+2^(1/4); the least is 1/8.  Document frequencies of all shingles come from a
+count-min sketch of fixed size: what lies below its noise counts as rare.
 
 Equal texts share one node.  Each node gets SAMPLES weighted samples in BANDS
 bands; nodes with one equal band form a bucket.  The members of a bucket are
 compared with its least node, and links found so far are joined into components.
+Pairs of which fewer than AGREE samples agree are not compared word by word.
 Members that this leaves in other components than the leader are compared with
 all the rest of the bucket, in blocks of bounded size; by the triangle inequality
 of 1 - similarity, members very near to the leader can be left out.  Every
@@ -32,9 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import ship, slices, stored, text_of
+from lakemart.llm.common import set_aside, ship, slices, stored, text_of
 from lakemart.llm.graph import components
-from lakemart.llm.hashing import WordHashes, mix, windows
+from lakemart.llm.hashing import mix, windows, word_hashes
 
 SHINGLE = 5
 BANDS, ROWS = 12, 3
@@ -42,43 +41,65 @@ SAMPLES = BANDS * ROWS
 SIMILAR = 0.8
 BLOCK = 256
 SKETCH_ROWS, SKETCH_BITS = 2, 17
-COMMON = 0.05  # of all documents: rarer shingles all have weight 1
-FIXED = 0.75  # part of a weight that does not depend on frequency
+AGREE = 18  # of SAMPLES: at a similarity of 0.8, fewer agree about once in 100,000 pairs
+MARGIN = 0.25  # how far a similarity may lie above its estimate from the samples
+OCTAVE = 4  # weights are powers of 2^(1 / OCTAVE)
+LEAST, MOST = -3 * OCTAVE, 12 * OCTAVE  # exponents
+NOISE = 4  # standard deviations of a count
 TABLE_BITS = 14
 CHUNK = 8192
 
 _rng = np.random.default_rng(20240501)
-STEP = _rng.gamma(2, 1, 1 << TABLE_BITS).astype(np.float32)
-LOG_SCALE = np.log(_rng.gamma(2, 1, 1 << TABLE_BITS)).astype(np.float32)
-SHIFT = _rng.random(1 << TABLE_BITS).astype(np.float32)
-FACTORS = _rng.integers(1, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_step = _rng.gamma(2, 1, 1 << TABLE_BITS)
+_scale = np.log(_rng.gamma(2, 1, 1 << TABLE_BITS))
+_shift = _rng.random(1 << TABLE_BITS)
+_logs = np.arange(LEAST, MOST + 1)[:, None] * (np.log(2) / OCTAVE)
+LEVEL = np.floor(_logs / _step + _shift)
+VALUE = (_scale - _step * (LEVEL - _shift + 1)).astype(np.float32).ravel()
+LEVEL = LEVEL.astype(np.int64).ravel()
+FACTORS = (_rng.integers(1, 1 << 31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
 
 
-def shingles(text: str, names: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+def shingles(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes in order, with how often each occurs."""
-    words = text.lower().encode("utf-8", "surrogatepass").split()
-    if not words:
+    hashes = word_hashes(text.lower().encode("utf-8", "surrogatepass"))
+    if not len(hashes):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    return np.unique(windows(names.of(words), min(SHINGLE, len(words))), return_counts=True)
+    return np.unique(windows(hashes, min(SHINGLE, len(hashes))), return_counts=True)
 
 
 def cells(hashes: np.ndarray) -> np.ndarray:
-    """The cell of each hash in each row of the sketch."""
-    salted = [mix(hashes + np.uint64(row)) >> np.uint64(64 - SKETCH_BITS) for row in range(SKETCH_ROWS)]
-    return np.stack([s.astype(np.int64) + (row << SKETCH_BITS) for row, s in enumerate(salted)])
+    """The cell of each hash in each row of the sketch: other bits for each row."""
+    place = [(hashes >> np.uint64(64 - (row + 1) * SKETCH_BITS)).astype(np.int64) & ((1 << SKETCH_BITS) - 1) for row in range(SKETCH_ROWS)]
+    return np.stack([p + (row << SKETCH_BITS) for row, p in enumerate(place)])
 
 
 @dataclass(frozen=True)
 class Frequencies:
-    """Sketch of document frequencies, and the number of documents."""
+    """Weights that follow from a sketch of document frequencies."""
 
-    counts: np.ndarray
-    documents: int
+    steps: np.ndarray  # by cell: exponent of the weight of a shingle that occurs once
 
-    def weights(self, hashes: np.ndarray, times: np.ndarray) -> np.ndarray:
-        share = self.counts[cells(hashes)].min(axis=0) / max(self.documents, 1)
-        rarity = np.log(1 / np.maximum(share, COMMON)) / np.log(1 / COMMON)
-        return times * (FIXED + (1 - FIXED) * np.clip(rarity, 0, 1))
+    @classmethod
+    def of(cls, counts: np.ndarray, documents: int) -> Frequencies:
+        """Inverse document frequencies, scaled so that rare shingles weigh 1.
+
+        What unrelated shingles put into a cell on average is taken off; below
+        the noise that is left no frequency can be told from another.
+        """
+        by_row = counts.reshape(SKETCH_ROWS, -1)
+        mean = by_row.mean(axis=1, keepdims=True)
+        noise = NOISE * np.sqrt(mean) + 1
+        seen, whole = np.maximum(by_row - mean, noise), np.maximum(documents, 2 * noise)
+        rarity = np.clip(np.log(whole / seen) / np.log(whole / noise), 2.0 ** (LEAST / OCTAVE), 1)
+        return cls(np.rint(np.log2(rarity) * OCTAVE).astype(np.int8).ravel())
+
+    def exponents(self, hashes: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """Weights as exponents: term frequency times inverse document frequency."""
+        found = self.steps[cells(hashes)].max(axis=0).astype(np.int64)
+        often = np.flatnonzero(times > 1)
+        found[often] = np.clip(found[often] + np.rint(np.log2(times[often]) * OCTAVE).astype(np.int64), LEAST, MOST)
+        return found
 
 
 def frequencies(rows: DataFrame) -> Frequencies:
@@ -86,9 +107,9 @@ def frequencies(rows: DataFrame) -> Frequencies:
     last = SKETCH_ROWS << SKETCH_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, total = WordHashes(), np.zeros(last + 1, dtype=np.int64)
+        total = np.zeros(last + 1, dtype=np.int64)
         for _, texts in slices(batches, "text"):
-            places = [cells(shingles(text, names)[0]).ravel() for text in texts]
+            places = [cells(shingles(text)[0]).ravel() for text in texts]
             total[:last] += np.bincount(np.concatenate(places), minlength=last)
             total[last] += len(texts)
         used = np.flatnonzero(total)
@@ -97,42 +118,63 @@ def frequencies(rows: DataFrame) -> Frequencies:
     found = rows.select("text").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(last + 1, dtype=np.int64)
     counts[found.cell.to_numpy(dtype=np.int64)] = found.n.to_numpy(dtype=np.int64)
-    # What unrelated shingles put into a cell on average is taken off again.
-    rows_of = counts[:last].reshape(SKETCH_ROWS, -1)
-    clean = np.maximum(rows_of - rows_of.mean(axis=1, keepdims=True), 1)
-    return Frequencies(clean.ravel(), int(counts[last]))
+    return Frequencies.of(counts[:last], int(counts[last]))
+
 
+def samples(hashes: np.ndarray, exponents: np.ndarray) -> np.ndarray:
+    """SAMPLES consistent weighted samples of a weighted set, as (shingle hash, level) pairs.
 
-def samples(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """SAMPLES consistent weighted samples of a weighted set."""
-    logs = np.log(weights).astype(np.float32)
+    Weights come in few steps, so the value that a draw has with a weight is one
+    look into a table.
+    """
     best = np.full(SAMPLES, np.inf, dtype=np.float32)
-    chosen = np.zeros(SAMPLES, dtype=np.uint64)
-    mask, rows = np.uint64((1 << TABLE_BITS) - 1), np.arange(SAMPLES)
+    chosen = np.zeros((2, SAMPLES), dtype=np.uint64)
+    rows, short = np.arange(SAMPLES), (hashes >> np.uint64(32)).astype(np.uint32)
+    base = ((exponents - LEAST) << TABLE_BITS).astype(np.uint32)
     for low in range(0, len(hashes), CHUNK):
         part = hashes[low : low + CHUNK]
-        drawn = part[None, :] * FACTORS[:, None]
-        step = STEP[drawn >> np.uint64(64 - TABLE_BITS)]
-        shift = SHIFT[(drawn >> np.uint64(64 - 2 * TABLE_BITS)) & mask]
-        scale = LOG_SCALE[(drawn >> np.uint64(64 - 3 * TABLE_BITS)) & mask]
-        level = np.floor(logs[None, low : low + CHUNK] / step + shift)
-        value = scale - step * (level - shift + 1)
+        drawn = short[None, low : low + CHUNK] * FACTORS
+        drawn >>= np.uint32(32 - TABLE_BITS)
+        drawn += base[None, low : low + CHUNK]
+        value = VALUE.take(drawn)
         at = value.argmin(axis=1)
         least = value[rows, at]
         better = least < best
         best[better] = least[better]
-        named = mix(part[at] ^ mix(level[rows, at].astype(np.int64).view(np.uint64)))
-        chosen[better] = named[better]
+        chosen[0, better] = part[at[better]]
+        chosen[1, better] = LEVEL[drawn[rows, at][better]].view(np.uint64)
     return chosen
 
 
-def bands(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """BANDS bucket numbers."""
-    grouped = samples(hashes, weights).reshape(BANDS, ROWS)
-    number = np.arange(BANDS, dtype=np.uint64)
+def named(chosen: list[np.ndarray]) -> np.ndarray:
+    """(texts, SAMPLES) one number for each sample."""
+    pairs = np.stack(chosen)
+    return mix(pairs[:, 0] ^ mix(pairs[:, 1]))
+
+
+def bands(numbers: np.ndarray) -> np.ndarray:
+    """(texts, BANDS) bucket numbers."""
+    grouped = numbers.reshape(-1, BANDS, ROWS)
+    bucket = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), grouped.shape[:2])
     for column in range(ROWS):
-        number = mix(number * np.uint64(0x9FB21C651E98DF25) + grouped[:, column])
-    return number.view(np.int64)
+        bucket = mix(bucket * np.uint64(0x9FB21C651E98DF25) + grouped[:, :, column])
+    return bucket.view(np.int64)
+
+
+def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Share of equal samples; sketches along the last axis."""
+    return (a == b).mean(axis=-1)
+
+
+def sketch_rows(column: pa.Array) -> np.ndarray:
+    """(rows, SAMPLES) 16 bits of every sample."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, SAMPLES)
+
+
+def weighted(text: str, known: Frequencies) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of a text in order, with their weights."""
+    hashes, times = shingles(text)
+    return hashes, np.exp2(known.exponents(hashes, times) / OCTAVE)
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -148,44 +190,48 @@ def nodes_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def signatures(rows: DataFrame, known: Frequencies) -> DataFrame:
-    """(doc_id, node, buckets) of every document; no buckets without words."""
+    """(doc_id, node, buckets, sketch) of every document; no buckets and no sketch without words."""
     shared = rows.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = WordHashes()
         for batch, texts in slices(batches, "text"):
-            found = []
-            for text in texts:
-                hashes, times = shingles(text, names)
-                found.append(bands(hashes, shared.value.weights(hashes, times)) if len(hashes) else np.empty(0, np.int64))
-            offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("node"), lists], names=["doc_id", "node", "buckets"])
+            chosen, worded = [], np.zeros(len(texts), dtype=bool)
+            for at, text in enumerate(texts):
+                hashes, times = shingles(text)
+                if len(hashes):
+                    worded[at] = True
+                    chosen.append(samples(hashes, shared.value.exponents(hashes, times)))
+            numbers = named(chosen) if chosen else np.empty((0, SAMPLES), np.uint64)
+            offsets = np.concatenate([[0], np.cumsum(worded * BANDS)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands(numbers).ravel()))
+            short = iter(numbers.astype(np.uint16))
+            sketches = pa.array([next(short).tobytes() if w else None for w in worded], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("node"), lists, sketches], names=["doc_id", "node", "buckets", "sketch"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, node binary, buckets array<long>")
+    return rows.mapInArrow(run, f"doc_id {kind}, node binary, buckets array<long>, sketch binary")
 
 
 def compared(pairs: DataFrame, texts: DataFrame, known: Frequencies) -> DataFrame:
-    """(a, b, similarity) of pairs of nodes."""
+    """(a, b, similarity) of pairs of nodes.
+
+    Pairs whose samples rule a similarity of SIMILAR out are not compared word by
+    word; they get an upper bound that lies below it.
+    """
     shared = pairs.sparkSession.sparkContext.broadcast(known)
-    with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    with_both = with_a.join(texts.select(F.col("node").alias("b"), "text"), "b").select("a", "b", "text_a", "text")
+    with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"), F.col("sketch").alias("sketch_a")), "a")
+    with_both = with_a.join(texts.select(F.col("node").alias("b"), "text", "sketch"), "b").select("a", "b", "text_a", "sketch_a", "text", "sketch")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = WordHashes()
         for batch, texts_b in slices(batches, "text"):
-
-            def weighted(text: str) -> tuple[np.ndarray, np.ndarray]:
-                hashes, times = shingles(text, names)
-                return hashes, shared.value.weights(hashes, times)
-
             nodes_a, leader = batch.column("a").to_pylist(), {}
-            similar = []
-            for node, text_a, text_b in zip(nodes_a, batch.column("text_a"), texts_b):
+            alike = agreement(sketch_rows(batch.column("sketch_a")), sketch_rows(batch.column("sketch")))
+            similar = np.minimum(alike + MARGIN, np.nextafter(SIMILAR, 0))
+            for at in np.flatnonzero(alike * SAMPLES >= AGREE):
+                node = nodes_a[at]
                 if node not in leader:
-                    leader = {node: weighted(text_a.as_py())}  # rows of one leader often follow each other
-                similar.append(weighted_jaccard(leader[node], weighted(text_b)))
+                    leader = {node: weighted(batch.column("text_a")[at].as_py(), shared.value)}  # rows of one leader often follow each other
+                similar[at] = weighted_jaccard(leader[node], weighted(texts_b[at], shared.value))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a"), batch.column("b"), pa.array(similar, pa.float64())], names=["a", "b", "similarity"]
             )
@@ -200,7 +246,8 @@ def links(nodes: DataFrame, rows: DataFrame, known: Frequencies) -> DataFrame:
     members = stored(placed.join(shared.select("bucket", "leader"), "bucket"), "near-buckets")
     involved = members.select("node").distinct()
     # One written copy of each text that has a partner; equal texts meet before the exchange.
-    texts = stored(rows.join(involved, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "near-texts")
+    texts = rows.join(involved, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    texts = stored(texts.join(nodes, "node"), "near-texts")
     followers = members.where(F.col("node") != F.col("leader"))
     pairs = followers.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     results = stored(compared(pairs, texts, known), "near-compared")
@@ -254,32 +301,32 @@ def _rest(told: DataFrame, label: DataFrame, texts: DataFrame, known: Frequencie
 
 
 def joining_links(rows: pd.DataFrame, known: Frequencies) -> pd.DataFrame:
-    """One link for each two components that two blocks of a bucket join."""
-    names = WordHashes()
-    sets = []
-    for text in rows.text:
-        hashes, times = shingles(text, names)
-        sets.append((hashes, known.weights(hashes, times)))
+    """One link for each two components that two blocks of a bucket join.
+
+    Two nodes are compared in the first bucket they share, and in no other.
+    """
+    sets = {}
+
+    def of(row: int) -> tuple[np.ndarray, np.ndarray]:
+        if row not in sets:
+            sets[row] = weighted(rows.text.iloc[row], known)
+        return sets[row]
+
     kind, i, j = rows.kind.iloc[0], rows.i.iloc[0], rows.j.iloc[0]
     other, at = rows.other.to_numpy(), rows["at"].to_numpy()
     left = np.flatnonzero(other & (at == i))
     right = np.flatnonzero(other & (at == j)) if kind == "others" else np.flatnonzero(~other)
+    sketches = np.frombuffer(b"".join(rows.sketch), dtype=np.uint16).reshape(-1, SAMPLES)
     nodes, out = rows.node.to_list(), []
     component = np.unique([bytes(x) for x in rows.label], return_inverse=True)[1]
-    if len(left) and len(right):
-        hashes, weights = (np.concatenate([sets[r][k] for r in right]) for k in (0, 1))
-        owner = np.repeat(np.arange(len(right)), [len(sets[r][0]) for r in right])
-        total = np.array([s[1].sum() for s in sets])
-        for a in left:
-            own, own_weights = sets[a]
-            place = np.minimum(np.searchsorted(own, hashes), len(own) - 1)
-            both = own[place] == hashes
-            common = np.bincount(owner[both], np.minimum(own_weights[place[both]], weights[both]), minlength=len(right))
-            similar = common / (total[a] + total[right] - common)
-            for r in right[similar >= SIMILAR]:
-                if component[r] != component[a]:
-                    out.append((bytes(nodes[a]), bytes(nodes[r])))
-                    component[component == component[r]] = component[a]
+    bucket, buckets = rows.bucket.iloc[0], np.stack(rows.buckets.to_numpy())
+    for a in left:
+        first = buckets[a][(buckets[right] == buckets[a]).argmax(axis=1)] == bucket
+        mine = right[first & (component[right] != component[a])]
+        for b in mine[agreement(sketches[mine], sketches[a]) * SAMPLES >= AGREE]:
+            if component[b] != component[a] and weighted_jaccard(of(a), of(b)) >= SIMILAR:
+                out.append((bytes(nodes[a]), bytes(nodes[b])))
+                component[component == component[b]] = component[a]
     return pd.DataFrame(out, columns=["a", "b"])
 
 
@@ -295,9 +342,9 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     signed = stored(signatures(rows, known), "near-signatures")
     worded = signed.where(F.size("buckets") > 0)
     nodes = stored(
-        worded.groupBy("node").agg(F.first("buckets").alias("buckets"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "near-nodes"
+        worded.groupBy("node").agg(F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "near-nodes"
     )
-    label = components(links(nodes.select("node", "buckets"), rows, known))
+    label = components(links(nodes.select("node", "buckets", "sketch"), rows, known))
     joined = nodes.select("node", "least").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     joined = stored(joined, "near-joined")
     heads = joined.groupBy("label").agg(F.min("least").alias("class_id"), F.min_by("node", F.struct("least", "node")).alias("head"))
@@ -316,6 +363,7 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stand for their class, one for each; all columns."""
     kept = stored(classes(docs, doc_id, text).where("first").select(F.col("doc_id").alias("__id"), F.col("node").alias("__kept")), "near-kept").distinct()
-    keyed = docs.withColumn("__node", F.unhex(F.md5(text_of(text))))
+    named, back = set_aside(docs)
+    keyed = named.withColumn("__node", F.unhex(F.md5(text_of(text))))
     on = F.col(doc_id).eqNullSafe(F.col("__id")) & (F.col("__node") == F.col("__kept"))
-    return keyed.join(kept, on, "left_semi").dropDuplicates([doc_id, "__node"]).select(*docs.columns)
+    return back(keyed.join(kept, on, "left_semi").dropDuplicates([doc_id, "__node"]).select(*named.columns))
