@@ -106,20 +106,36 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("long").alias("key_id"), F.xxhash64(whole).alias("key_hash"), whole.alias("text"))
 
 
+def rows_once(rows: DataFrame) -> DataFrame:
+    """One row for all rows equal in id and text, with their number in ``times``."""
+    named = rows.select(*KEY).groupBy(*KEY).agg(F.count(F.lit(1)).alias("times")).where(F.col("times") > 1)
+    again = stored(named.select(F.col("key_id").alias("a_id"), F.col("key_hash").alias("a_hash"), "times"), "substr-equal-rows")
+    if again.isEmpty():
+        return rows.withColumn("times", F.lit(1).cast("long"))
+    on = F.col("key_id").eqNullSafe(F.col("a_id")) & (F.col("key_hash") == F.col("a_hash"))
+    single = rows.join(again, on, "left_anti").withColumn("times", F.lit(1).cast("long"))
+    return single.unionByName(rows.join(again, on).select(*rows.columns, "times").dropDuplicates(list(KEY)))
+
+
 def repeated_anchors(rows: DataFrame, window: int) -> DataFrame:
-    """(anchor, n) of all anchors met at least twice."""
+    """(anchor, n) of all anchors met at least twice, rows counted ``times``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in slices(batches, "text"):
+        for batch, texts in slices(batches, "text"):
             found = [np.empty(0, np.uint64)]
-            for text in texts:
+            more = [(np.empty(0, np.uint64), 0)]
+            for text, times in zip(texts, batch.column("times").to_pylist()):
                 anchors, places = anchor_places(word_hashes(encoded(text)), window)
                 if len(anchors):
                     found.append(anchors[np.concatenate([[True], places[1:] != places[:-1]])])
+                    if times > 1:
+                        more.append((found[-1], times - 1))
             values, counts = np.unique(np.concatenate(found), return_counts=True)
+            for anchors, times in more:
+                np.add.at(counts, np.searchsorted(values, anchors), times)
             yield pa.RecordBatch.from_arrays([pa.array(signed(values)), pa.array(counts.astype(np.int64))], names=["anchor", "n"])
 
-    counted = rows.select("text").mapInArrow(run, "anchor long, n long")
+    counted = rows.select("text", "times").mapInArrow(run, "anchor long, n long")
     return counted.groupBy("anchor").agg(F.sum("n").alias("n")).where(F.col("n") > 1)
 
 
@@ -138,7 +154,7 @@ def bit_map(anchors: DataFrame) -> np.ndarray:
 
 
 def placed_segments(rows: DataFrame, window: int, bits: np.ndarray, hot: np.ndarray) -> DataFrame:
-    """(anchor, content, key, first, windows) of the segments whose anchor may be met twice."""
+    """(anchor, content, key, times, first, windows) of the segments whose anchor may be met twice."""
     shared = rows.sparkSession.sparkContext.broadcast((bits, hot))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,12 +171,12 @@ def placed_segments(rows: DataFrame, window: int, bits: np.ndarray, hot: np.ndar
             owner = pa.array(np.concatenate(parts[4]).astype(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(signed(np.concatenate(parts[0]))), pa.array(signed(np.concatenate(parts[1])))]
-                + [batch.column(k).take(owner) for k in KEY]
+                + [batch.column(k).take(owner) for k in (*KEY, "times")]
                 + [pa.array(np.concatenate(parts[i]).astype(np.int32)) for i in (2, 3)],
-                names=["anchor", "content", *KEY, "first", "windows"],
+                names=["anchor", "content", *KEY, "times", "first", "windows"],
             )
 
-    return rows.mapInArrow(run, "anchor long, content long, key_id long, key_hash long, first int, windows int")
+    return rows.mapInArrow(run, "anchor long, content long, key_id long, key_hash long, times long, first int, windows int")
 
 
 def segment_words(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
@@ -168,10 +184,17 @@ def segment_words(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame
     lists = wanted.groupBy(*KEY).agg(F.collect_list(F.struct("anchor", "content", "n", "first", "windows")).alias("segments"))
     lists = lists.select(*(F.col(k).alias(f"w_{k}") for k in KEY), "segments")
     on = F.col("key_id").eqNullSafe(F.col("w_key_id")) & (F.col("key_hash") == F.col("w_key_hash"))
-    joined = texts.join(lists, on).select("text", "segments")
+    joined = texts.join(lists, on).select("text", "segments", *KEY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for batch, texts in slices(batches, "text"):
+            keys = list(zip(batch.column("key_id").to_pylist(), batch.column("key_hash").to_pylist()))
+            # Equal rows follow each other: the first will do.
+            new = [key != before for key, before in zip(keys, [last, *keys])]
+            last = keys[-1] if keys else last
+            if not all(new):
+                batch, texts = batch.filter(pa.array(new)), [t for t, n in zip(texts, new) if n]
             column = batch.column("segments")
             fields = column.flatten().flatten()
             first, count = fields[3].to_numpy(), fields[4].to_numpy()
@@ -221,13 +244,14 @@ def repeated_windows(docs: DataFrame, window: int = 35, doc_id: str = "doc_id",
         raise ValueError(f"a window takes {GRAM} to {DEPTH - 1} words")
     ship(docs.sparkSession)
     rows = keyed(docs, doc_id, text)
-    anchors = stored(repeated_anchors(rows, window), "substr-anchors")
+    once = rows_once(rows)
+    anchors = stored(repeated_anchors(once, window), "substr-anchors")
     total = anchors.agg(F.sum("n")).first()[0] or 0
     limit = max(SHARD_SEGMENTS, int(total * hot_share))  # so fewer than 1 / hot_share anchors are hot
     hot = np.array([r[0] for r in anchors.where(F.col("n") > limit).select("anchor").collect()], dtype=np.int64).view(np.uint64)
-    placed = stored(placed_segments(rows, window, bit_map(anchors), hot), "substr-segments")
+    placed = stored(placed_segments(once, window, bit_map(anchors), hot), "substr-segments")
     distinct = placed.groupBy("anchor", "content").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("key_id", "key_hash", "first", "windows")).alias("copy")
+        F.sum("times").alias("n"), F.min(F.struct("key_id", "key_hash", "first", "windows")).alias("copy")
     )
     together = F.sum("n").over(Window.partitionBy("anchor"))
     wanted = stored(
