@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import WORD, bucket_hash, stored, text_of
+from lakemart.llm.common import WORD, bucket_hash, set_aside, stored, text_of
 
 SOURCE_WEIGHTS = (5, 2, 1)
 PER_OCTAVE = 1024
@@ -122,7 +122,10 @@ def mix(
 
     ``carry`` names the input columns to return, all if None.
     """
-    columns = [c for c in (docs.columns if carry is None else carry) if c not in RESULT]
+    given = docs.columns if carry is None else carry
+    named, back = set_aside(docs)
+    other = dict(zip(docs.columns, named.columns))
+    docs, columns = named, [other[c] for c in given if c not in RESULT]
     needed = list(dict.fromkeys([*columns, doc_id, source]))
     hidden = ["__key", "__bucket", "__tie"]
     rows = stored(measured(docs, doc_id, source, text, seed, weight).select(*needed, "size", *hidden), "mix-sizes")
@@ -137,7 +140,7 @@ def mix(
     ahead = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("__budget") - F.col("__before") - ahead))
     border = joined.where(F.col("__bucket") == F.col("__end")).withColumn("taken", whole + part)
-    return decided.unionByName(border).select(*columns, "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
+    return back(decided.unionByName(border).select(*columns, "size", "source_size", "target", F.col("taken").cast("long").alias("taken")))
 
 
 def mixed_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame:
@@ -145,6 +148,7 @@ def mixed_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame
 
     The part keeps its first words, joined by one space.
     """
+    docs, back = set_aside(docs)
     mixed = mix(docs, text=text, **options)
     rest = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(F.lit(0))
     copies = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(F.lit(0))
@@ -156,4 +160,4 @@ def mixed_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame
     dealt = dealt.withColumn(text, F.when(F.col("__part"), F.array_join(words, " ")).otherwise(F.col(text)))
     if "n_chars" in docs.columns:
         dealt = dealt.withColumn("n_chars", F.length(text_of(text)).cast(docs.schema["n_chars"].dataType))
-    return dealt.select(*docs.columns)
+    return back(dealt.select(*docs.columns))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import ship, slices, stored
+from lakemart.llm.common import set_aside, ship, slices, stored
 
 # Attempts after which a form gets one character more: letters, and digits, whose number tells the type.
 LETTERS_GROW, DIGITS_GROW = 3, 20
@@ -53,8 +53,9 @@ ENDINGS = {
 }
 NAME = re.compile(r"[^\W\d_][\w’'-]*")
 PARTICLES = "von van vom zu zum zur der den dem ter ten de del della di da dos du la le el al bin ibn y".split()  # these stay
+MAIL_NAME = re.compile(r"[\w.%+-]")
+MAIL_DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 PATTERNS = [
-    ("email", re.compile(r"[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")),
     ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")),
     ("phone", re.compile(r"\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\d-])|(?<!\w)\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,5}(?!\d)")),
     ("card", re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])")),
@@ -116,12 +117,24 @@ def people(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
+def mails(text: str) -> Iterator[tuple[int, int, str]]:
+    """Mail addresses: from each @ back over the name, so that no letter is read twice."""
+    done, at = 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > done and MAIL_NAME.match(text[start - 1]):
+            start -= 1
+        domain = MAIL_DOMAIN.match(text, at) if start < at else None
+        if domain:
+            yield start, domain.end(), "email"
+        done = domain.end() if domain else at + 1
+        at = text.find("@", done)
+
+
 def mentions(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the entities, leftmost first, none inside another."""
-    found = []
+    found = list(mails(text))
     for kind, pattern in PATTERNS:
-        if kind == "email" and "@" not in text:
-            continue
         found += [(*m.span(), kind) for m in pattern.finditer(text)]
     found += people(text)
     out: list[tuple[int, int, str]] = []
@@ -282,7 +295,7 @@ def surrogates(entities: DataFrame, key: bytes) -> DataFrame:
 def pseudonymize(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     """All rows and columns, the text with surrogates, and n_entities and spans of the original."""
     ship(docs.sparkSession)
-    docs = docs.drop(*(c for c in ("n_entities", "spans") if c in docs.columns))
+    docs, back = set_aside(docs.drop(*(c for c in ("n_entities", "spans") if c in docs.columns)))
     touched = stored(_split(docs, text, True).withColumn("__row", F.monotonically_increasing_id()), "pii-touched")
     kind = F.when(F.col("m.kind").rlike("^(given_|family)"), "name").otherwise(F.col("m.kind")).alias("kind")
     places = touched.select("__row", F.posexplode("__mentions").alias("at", "m")).select("__row", "at", kind, "m.form", F.col("m.kind").alias("told"))
@@ -311,4 +324,4 @@ def pseudonymize(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
 
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", n_entities long, spans string"
     clean = _split(docs, text, False).withColumns({"n_entities": F.lit(0).cast("long"), "spans": F.lit("")})
-    return joined.mapInArrow(run, shape).unionByName(clean)
+    return back(joined.mapInArrow(run, shape).unionByName(clean))

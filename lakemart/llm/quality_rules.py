@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from lakemart.llm.common import SPACES, batch_of, ship, slices, stored
+from lakemart.llm.common import SPACES, batch_of, set_aside, ship, slices, stored
 
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SYMBOLS = b"#*$%&|<>"
@@ -154,8 +154,8 @@ def keep(docs: DataFrame, host: str = "source", text: str = "text", host_limit:
         for batch, texts in slices(batches, text):
             yield batch.filter(pa.array([passes(figures(t)) for t in texts], pa.bool_()))
 
-    passed = docs.mapInArrow(run, docs.schema)
-    return passed.join(rejected, F.col(host).eqNullSafe(F.col("__host")), "left_anti")
+    passed, back = set_aside(docs.mapInArrow(run, docs.schema))
+    return back(passed.join(rejected, F.col(host).eqNullSafe(F.col("__host")), "left_anti"))
 
 
 def passes(found: tuple[int, ...]) -> bool:

@@ -26,6 +26,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -84,6 +85,7 @@ def at_least(successes: int, trials: int, chance: float) -> float:
     return min(1.0, sum(math.comb(trials, k) * chance**k * (1 - chance) ** (trials - k) for k in range(successes, trials + 1)))
 
 
+@lru_cache(maxsize=1 << 17)  # every (changes, pairs) there is up to 400 pairs
 def changes_tail(changes: int, pairs: int) -> float:
     if pairs <= 400:
         return at_least(changes, pairs, CHANGE)
@@ -155,13 +157,32 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> Iterator[tuple[in
 
     Step 0 stands for candidates that are not random or not tellable.
     """
+    covered = joined(base)
+    at = 0
     for m in CANDIDATE.finditer(text):
         start, last = m.span()
-        for s, e in [*((s, e) for _, s, e in base if s < last and start < e), (last, last)]:  # by start
-            if s - start >= LEAST:
-                verdict = battery(text[start:s])
-                yield start, s, length_class(s - start), step_of(verdict.p) if verdict.random else 0
-            start = max(start, e)
+        while at < len(covered) and covered[at][1] <= start:
+            at += 1
+        here = at
+        while start < last:
+            inside = here < len(covered) and covered[here][0] < last
+            stop, following = covered[here] if inside else (last, last)
+            if stop - start >= LEAST:
+                verdict = battery(text[start:stop])
+                yield start, stop, length_class(stop - start), step_of(verdict.p) if verdict.random else 0
+            start = max(start, following)
+            here += 1
+
+
+def joined(spans: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
+    """The places that spans cover, as disjoint (start, end) in order."""
+    out: list[tuple[int, int]] = []
+    for _, start, end in spans:  # by start
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
 
 
 def histogram(docs: DataFrame, text: str) -> DataFrame:

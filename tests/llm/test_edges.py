@@ -1,7 +1,9 @@
 """NULLs, empty and long texts, repeated rows, clashing columns, empty tables."""
 
 import random
+import re
 import string
+import time
 
 import public_tokenizers
 import pytest
@@ -184,3 +186,47 @@ def test_battery_on_one_kind():
     drawn = ["".join(number.choice(letters) for _ in range(100)) for letters in (string.digits, string.ascii_lowercase, string.ascii_uppercase)]
     assert all(v.random and v.p < 1e-3 for v in map(secrets.battery, drawn))
     assert not any(secrets.battery(w).random for w in ("-" * 40, "0" * 40, "theoldmanandtheseawenttothehouseandsatthere" * 4))
+
+
+HIDDEN = ("__id", "__kept", "__node", "__host", "__s", "__key", "__bucket", "__part", "__row", "__mentions", "__new", "__text", "__tie")
+
+
+@pytest.mark.parametrize(
+    "operator", [near_dedup.keep_first, quality_rules.keep, mixing.mix, mixing.mixed_documents, lambda d: pii.pseudonymize(d, b"k"), secrets.redact]
+)
+def test_columns_named_like_the_operators_own(spark, operator):
+    rows = [(i, f"Mr Smith wrote to a{i}@mail.org " + " ".join(f"w{i}x{j}" for j in range(80)), "s", *["mine"] * len(HIDDEN)) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{c} string" for c in HIDDEN))
+    found = operator(docs)
+    assert set(docs.columns) <= set(found.columns)
+    assert found.count() >= 6 and found.where(" OR ".join(f"{c} != 'mine'" for c in HIDDEN)).count() == 0
+
+
+def test_long_runs_end_soon():
+    """A megabyte of one kind, for the searches in texts."""
+    start = time.perf_counter()
+    assert pii.mentions("a" * 1_000_000 + "@") == [] and pii.mentions("a@" * 300_000) == []
+    assert [m[2] for m in pii.mentions("x" * 500_000 + "@y.org " + "b.c" * 100_000)] == ["email"]
+    lines = "\n".join(f"{i:040x}" for i in range(25_000))
+    assert len(secrets.base_spans(lines)) == 25_000
+    assert list(secrets.candidates(lines, secrets.base_spans(lines))) == []
+    assert time.perf_counter() - start < 20
+
+
+def test_mails_as_the_pattern_says():
+    pattern = re.compile(r"[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
+    draw = random.Random(8)
+    for _ in range(20_000):
+        text = "".join(draw.choices("ab.-_@ ü1%", k=draw.randrange(40)))
+        assert [m[:2] for m in pii.mails(text)] == [m.span() for m in pattern.finditer(text)], text
+
+
+def test_candidates_between_overlapping_spans():
+    draw = random.Random(5)
+    text = "".join(draw.choices("abcdefXYZ0123456789", k=400)) + " " + "".join(draw.choices("ghiXYZ0123456789", k=300))
+    for _ in range(200):
+        base = sorted(("hex", s, s + draw.randrange(1, 60)) for s in draw.sample(range(600), draw.randrange(8)))
+        base.sort(key=lambda x: x[1])
+        free = [(m.start() + p.start(), m.start() + p.end()) for m in secrets.CANDIDATE.finditer(text) for p in re.finditer("x+", "".join(
+            " " if any(s <= i < e for _, s, e in base) else "x" for i in range(*m.span())))]
+        assert [c[:2] for c in secrets.candidates(text, base)] == [f for f in free if f[1] - f[0] >= secrets.LEAST]
