@@ -42,27 +42,35 @@ def date_spine_covering(df: DataFrame, column: str) -> DataFrame:
     return years.select(F.explode(F.sequence("start", "end", F.expr("interval 1 day"))).alias("full_date"))
 
 
-def dim_date(spine: DataFrame) -> DataFrame:
-    day = F.col("full_date")
+def calendar_columns(day: Column) -> dict[str, Column]:
+    """Every column of the calendar as a function of the day."""
     weekday: Column = F.dayofweek(day)  # 1 = Sunday
-    return project(
-        spine,
-        date_key=date_key(day),
-        full_date=day,
-        year=F.year(day),
-        quarter=F.quarter(day),
-        quarter_name=F.concat(F.lit("Q"), F.quarter(day).cast("string")),
-        month=F.month(day),
-        month_name=F.date_format(day, "MMMM"),
-        month_year=F.date_format(day, "MMM yyyy"),
-        month_year_sort=F.year(day) * 100 + F.month(day),
-        month_start=F.trunc(day, "month"),
-        week_of_year=F.weekofyear(day),
-        day=F.dayofmonth(day),
-        day_name=F.date_format(day, "EEEE"),
-        day_of_week_sort=F.weekday(day) + 1,  # Monday 1 ... Sunday 7
-        is_weekend=weekday.isin(1, 7),
-    )
+    return {
+        "date_key": date_key(day),
+        "full_date": day,
+        "year": F.year(day),
+        "quarter": F.quarter(day),
+        "quarter_name": F.concat(F.lit("Q"), F.quarter(day).cast("string")),
+        "month": F.month(day),
+        "month_name": F.date_format(day, "MMMM"),
+        "month_year": F.date_format(day, "MMM yyyy"),
+        "month_year_sort": F.year(day) * 100 + F.month(day),
+        "month_start": F.trunc(day, "month"),
+        "week_of_year": F.weekofyear(day),
+        "day": F.dayofmonth(day),
+        "day_name": F.date_format(day, "EEEE"),
+        "day_of_week_sort": F.weekday(day) + 1,  # Monday 1 ... Sunday 7
+        "is_weekend": weekday.isin(1, 7),
+    }
+
+
+def dim_date(spine: DataFrame) -> DataFrame:
+    return project(spine, **calendar_columns(F.col("full_date")))
+
+
+def day_of_key(key: Column) -> Column:
+    """The day that a date key stands for."""
+    return F.to_date(key.cast("string"), "yyyyMMdd")
 
 
 def fact_sales(

@@ -46,14 +46,14 @@ def sales_over_time(star: Star) -> DataFrame:
 
 
 def category_share(star: Star) -> DataFrame:
-    out = share_of_total(star_query(star, ["category"]), TOTAL)
+    out = share_of_total(star_query(star, ["category"], order=None), TOTAL)
     return out.withColumn("share", F.round("share", 6))
 
 
 def product_rank(star: Star) -> DataFrame:
     """Every sold product with its place by net sales."""
     # Ranking looks at the totals several times: write them once.
-    sold = materialize(star_query(star, ["product_id", "product_name"]), "product-totals")
+    sold = materialize(star_query(star, ["product_id", "product_name"], order=None), "product-totals")
     return rank_all(sold, TOTAL, "sales_rank")
 
 

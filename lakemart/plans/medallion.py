@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame
 
 from lakemart.operators import cdc, gold, quality, silver
 
-# Order in which repeated sales are told apart: oldest first, then every value.
+# The order in which repeated sales are told apart, oldest first, then every value.
 SALES_ORDER = (
     "transaction_timestamp", "opportunity_name", "product_id", "store_id",
     "quantity", "selling_price", "discount_amount", "payment_mode", "sales_channel",
 )
-# Columns whose change makes a new product version.
+# Columns whose change makes a new product version.
 PRODUCT_TRACK = (
     "product_name", "category", "subcategory", "brand",
     "unit_price", "supplier_name", "launch_date",
@@ -41,6 +41,11 @@ class Medallion:
         self.spark = bronze.spark
         self.start, self.end = start, end
 
+    @property
+    def calendar_follows_sales(self) -> bool:
+        """Without fixed ends the calendar has every day that a sale can have."""
+        return not (self.start and self.end)
+
     # ------------------------------------------------------------ bronze
     @cached_property
     def account_history(self) -> DataFrame:

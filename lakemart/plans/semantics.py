@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart import contracts
+from lakemart.operators import gold
 from lakemart.operators.gates import GateFailed, Star
 
 
@@ -86,7 +87,7 @@ def star_query(
     dims: Sequence[str],
     measure: str = "net sales",
     filters: Mapping[str, object] | None = None,
-    order: str = "measure",
+    order: str | None = "measure",
     limit: int | None = None,
     model: Model = MODEL,
 ) -> DataFrame:
@@ -95,8 +96,11 @@ def star_query(
     ``dims`` and the keys of ``filters`` are column names of the fact or of a
     dimension; a filter value is one value or a list.  The fact is summed per
     needed key before any join, so a join sees one row per key instead of one
-    per sale.  ``order``: "measure" (descending) or "dims" (ascending, for
-    trends).
+    per sale.  ``order``: "measure" (descending), "dims" (ascending, for
+    trends) or None.
+
+    Where the star's calendar follows its sales, the calendar's columns are
+    worked out from the date keys of the sums, and no calendar is built.
     """
     m = model.measure(measure)
     filters = dict(filters or {})
@@ -118,6 +122,13 @@ def star_query(
 
     for dim in needed:
         columns = [c for c, home in homes.items() if home == dim]
+        if dim == "dim_date" and getattr(star, "calendar_follows_sales", False):
+            worked_out = gold.calendar_columns(gold.day_of_key(F.col(model.joins[dim])))
+            summed = summed.where(F.col(model.joins[dim]).isNotNull()).withColumns({c: worked_out[c] for c in columns if c != model.joins[dim]})
+            for column in columns:
+                if column in filters:
+                    summed = summed.filter(matches(column))
+            continue
         side = getattr(star, dim)
         for column in columns:
             if column in filters:
@@ -128,6 +139,8 @@ def star_query(
     result = summed.groupBy(*dims).agg(F.sum("_part").alias(m.name))
     if m.money:
         result = result.withColumn(m.name, F.round(m.name, 2).cast("decimal(28,2)"))
+    if order is None and limit is None:
+        return result
     by_name = [F.col(c) for c in dims]
     ranking = by_name if order == "dims" else [F.col(m.name).desc_nulls_last(), *by_name]
     result = result.orderBy(*ranking)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+# The contract's lists, rule names and predicates (STAGES, CATEGORIES, RULES, EXPECTATIONS).
 STAGES = "('Prospecting', 'Qualification', 'Needs Analysis', 'Proposal/Price Quote', 'Negotiation/Review', 'Closed Won', 'Closed Lost')"
 CATEGORIES = "('Electronics', 'Mobile', 'Appliances', 'Furniture', 'Groceries', 'Fashion', 'Accessories', 'Lifestyle', 'Home')"
 
