@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampType
 
-from lakemart.operators import cdc, chat, documents, gates, gold, keyword_index, keyword_stats, quality, retrieval, security, silver, vector_index
+from lakemart.operators import cdc, chat, documents, gates, gold, keyword_index, keyword_stats, quality, retrieval, security, silver, value_match, vector_index
 from lakemart.plans import marts, semantics
 from lakemart.plans.medallion import SALES_ORDER, Medallion
 from lakemart.plans.pipeline import Config, Result, publish_gold, run_pipeline
 from lakemart.plans.samples import SampleBronze
 from lakemart.session import scratch_dir
 from lakemart.sources.tables import materialize
-from lakemart.streaming import committed, ingest
+from lakemart.streaming import committed, expiring, ingest
 from lakemart.streaming import silver as stream_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -283,6 +283,16 @@ def _keyword_sync(m: Medallion) -> DataFrame:
     return keyword_stats.sync_statistics(known, old, new)
 
 
+def _value_match(m: Medallion) -> DataFrame:
+    """Questions with a letter lost or doubled, and the values they may mean."""
+    named = m.bronze.table("supplier").select("s_suppkey", "s_name")
+    lost = F.concat(F.substring("s_name", 1, 2), F.expr("substring(s_name, 4)"))
+    asked = F.concat(F.lit("How much did "), lost, F.lit(" sell of Elecctronics by bank transfr in Janury, and Mobile to CASH?"))
+    questions = named.select(F.col("s_suppkey").alias("question_id"), asked.alias("question"))
+    values = semantics.entity_values(m).groupBy("table_name", "column_name", "value").agg(F.sum("rows").alias("rows"))
+    return value_match.match_values(questions, values)
+
+
 def _history_items(m: Medallion) -> DataFrame:
     """Conversation turns as replayed items, assistants in four spellings."""
     turns = m.bronze.table("conversations")
@@ -368,6 +378,23 @@ def _delivered(m: Medallion, feed: DataFrame, target, root: str) -> None:
         committed.run_changes(stream, target, f"{root}/checkpoint")
 
 
+def _stream_dedup_expiring(m: Medallion) -> DataFrame:
+    """First events of users within six hours, with their repeats, from three deliveries."""
+    root = scratch_dir(m.spark, "stream-expiring")
+    events = m.bronze.table("events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    # Every 50th event has lost its user.
+    events = events.withColumn("user_id", F.when(F.col("event_id") % 50 != 0, F.col("user_id")))
+    third = 1 + (F.col("ts") >= "2024-01-11").cast("int") + (F.col("ts") >= "2024-01-21").cast("int")
+    events = materialize(events.withColumn("delivery", third), "events")
+    end = m.spark.sql("SELECT -1L AS event_id, -1L AS user_id, timestamp'2100-01-01' AS ts")  # closes all windows
+    dedup = expiring.ExpiringDedup("user_id", "ts", 6 * 3600)
+    table = committed.CommittedParts(f"{root}/table", ("user_id",), parts=8)
+    for rows in (*(events.where(F.col("delivery") == i).drop("delivery") for i in (1, 2, 3)), end):
+        rows.write.mode("append").parquet(f"{root}/events")
+        dedup.run(m.spark.readStream.schema(end.schema).parquet(f"{root}/events"), table, f"{root}/checkpoint")
+    return dedup.read(m.spark, table)
+
+
 def _stream_scd2_account(m: Medallion) -> DataFrame:
     root = scratch_dir(m.spark, "stream-scd2")
     target = committed.History(committed.CommittedParts(f"{root}/table", ("Id",), parts=8))
@@ -461,6 +488,7 @@ def build_queries() -> dict[str, Query]:
             filters={"product_segment": ["PREMIUM", "MID_RANGE"], "payment_mode": "Card"},
         )
     )
+    q["value_match"] = _layers(_value_match)
     q["entity_values"] = _mart(semantics.entity_values)
 
     q["product_sales_summary"] = _layers(_sales_summary)
@@ -482,6 +510,7 @@ def build_queries() -> dict[str, Query]:
 
     q["stream_ingest_dedup"] = _layers(_stream_ingest_dedup)
     q["stream_restart"] = _layers(_stream_restart)
+    q["stream_dedup_expiring"] = _layers(_stream_dedup_expiring)
     q["stream_scd2_account"] = _layers(_stream_scd2_account)
     q["stream_scd1_inventory"] = _layers(_stream_scd1_inventory)
     q["stream_schema_evolution"] = _layers(_stream_schema_evolution)

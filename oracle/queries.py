@@ -217,6 +217,18 @@ def _sql() -> dict[str, str]:
         for t, columns in ENTITIES.items()
         for c in columns
     )
+    simple = "trim(regexp_replace(lower({}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))".format
+    sql["value_match"] = f"""SELECT * FROM (
+        WITH asked AS (
+            SELECT s_suppkey AS question_id, string_split({simple("'How much did ' || substr(s_name, 1, 2) || substr(s_name, 4) || ' sell of Elecctronics by bank transfr in Janury, and Mobile to CASH?'")}, ' ') AS w FROM supplier),
+        said AS (SELECT DISTINCT question_id, array_to_string(w[a + 1 : a + n], ' ') AS phrase FROM asked, range(40) x(a), range(1, 4) y(n) WHERE a + n <= len(w)),
+        known AS (SELECT DISTINCT table_name, column_name, value, {simple("value")} AS t FROM ({sql["entity_values"]})),
+        near AS (
+            SELECT phrase, t, levenshtein(phrase, t) AS distance FROM (SELECT DISTINCT phrase FROM said) JOIN (SELECT DISTINCT t FROM known WHERE t <> '')
+            ON abs(length(phrase) - length(t)) <= 2)
+        SELECT question_id, table_name, column_name, value, CAST(min(distance) AS INT) AS distance
+        FROM said JOIN near USING (phrase) JOIN known USING (t)
+        WHERE distance <= CASE WHEN length(t) >= 8 THEN 2 WHEN length(t) >= 4 THEN 1 ELSE 0 END GROUP BY ALL)"""
     sql["product_sales_summary"] = plain("sales_summary", doubles="total_net_sales")
     sql["product_documents"] = "SELECT * FROM d_product"
     sql["product_chunks"] = "SELECT * FROM k_product"
@@ -275,6 +287,16 @@ def _sql() -> dict[str, str]:
                     THEN '[{"text":' || to_json(text) || ',"type":"output_text"}]' ELSE text END AS content
         FROM conversations"""
     sql["stream_ingest_dedup"] = sql["stream_restart"] = sql["dedup_transactions"]
+    sql["stream_dedup_expiring"] = """
+        WITH RECURSIVE e AS (SELECT CASE WHEN event_id % 50 <> 0 THEN user_id END AS user_id, ts FROM events),
+        w AS (
+            SELECT user_id, min(ts) AS first_at FROM e WHERE user_id IS NOT NULL GROUP BY user_id
+            UNION ALL
+            SELECT w.user_id, min(e.ts) FROM w JOIN e ON e.user_id = w.user_id AND e.ts >= w.first_at + INTERVAL 6 HOUR
+            GROUP BY w.user_id, w.first_at)
+        SELECT user_id, strftime(first_at, '%Y-%m-%d %H:%M:%S') AS first_at,
+               (SELECT count(*) - 1 FROM e WHERE e.user_id = w.user_id AND e.ts >= w.first_at AND e.ts < w.first_at + INTERVAL 6 HOUR) AS repeats FROM w
+        UNION ALL SELECT NULL, strftime(ts, '%Y-%m-%d %H:%M:%S'), 0 FROM e WHERE user_id IS NULL"""
     sql["stream_schema_evolution"] = """
         SELECT trim(CASE WHEN l_orderkey % 113 = 0 THEN '  '
                     WHEN l_orderkey % 127 <> 0 THEN ' txn' || l_orderkey || '-' || l_linenumber || ' ' END) AS transaction_id,
