@@ -10,11 +10,13 @@ nothing twice.
 
 from __future__ import annotations
 
+import csv
 import json
-from collections import defaultdict
+import re
+from collections import Counter, defaultdict
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -89,18 +91,36 @@ def _take(spark: SparkSession, drops: CsvDrops, paths: DataFrame, batch: int) ->
     files.write_once(spark, record, json.dumps({"batch": batch, "files": written}))
 
 
-def read_drops(spark: SparkSession, files: list[str], hints: str, null_token: str = "null") -> DataFrame | None:
-    """Files with any mix of headers as one table, columns matched by name."""
+def headers(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]:
+    """Column names by file, from one scan; files without any line are left out.
+
+    A file's first line stands in the piece that starts at its first byte; other
+    pieces are not looked at.
+    """
+    lines = spark.read.text(paths).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    said = lines.where((F.col("file_block_start") == 0) & (F.trim("value") != "")).withColumn("line", F.monotonically_increasing_id())
+    first = said.groupBy("file_path").agg(F.min_by("value", "line").alias("value")).collect()  # one line per file
+    found = {_plain_path(unquote(r.file_path)): _column_names(r.value) for r in first}
+    return {p: found[_plain_path(p)] for p in paths if _plain_path(p) in found}
+
+
+def _plain_path(path: str) -> str:
+    """One spelling of a path: with its scheme, and one slash behind it."""
+    return re.sub(r"^(\w+):/+", r"\1:/", path if ":" in path.split("/")[0] else f"file:{path}")
 
-    def header(path: str) -> tuple[str, ...]:
-        # Reads the first line only.
-        return tuple(spark.read.csv(path, header=True).columns)
 
+def _column_names(line: str) -> tuple[str, ...]:
+    """The names Spark's CSV reader would give: numbered where empty or used twice."""
+    names = next(csv.reader([line.removeprefix("\ufeff")], escapechar="\\"))
+    often = Counter(n.lower() for n in names)
+    return tuple(f"_c{i}" if not n else f"{n}{i}" if often[n.lower()] > 1 else n for i, n in enumerate(names))
+
+
+def read_drops(spark: SparkSession, files: list[str], hints: str, null_token: str = "null") -> DataFrame | None:
+    """Files with any mix of headers as one table, columns matched by name."""
     by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    with ThreadPoolExecutor(16) as pool:
-        for path, columns in zip(files, pool.map(header, files)):
-            if columns:
-                by_header[columns].append(path)
+    for path, columns in headers(spark, files).items() if files else ():
+        by_header[columns].append(path)
 
     hinted = {f.name: f for f in StructType.fromDDL(hints)}
     out = None

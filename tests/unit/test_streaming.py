@@ -67,6 +67,27 @@ def test_files_are_taken_in_bounded_batches(spark, drops):
     assert len(folders) == 3 and ingest.read_table(spark, bounded).count() == 5
 
 
+def test_headers_of_many_files_cost_one_scan(spark, drops):
+    for i in range(60):
+        put(drops, f"{i:02d}.csv", HEADER + (",tier" if i % 3 else ""), line(f"t{i}", more=",gold" if i % 3 else ""), line(f"u{i}", more=",x" if i % 3 else ""))
+    put(drops, "empty.csv")
+    put(drops, "odd name+%20ü.csv", "", '"transaction_id",store_id,,store_id', "t99,s1,x,s2")
+    paths = sorted(os.path.join(drops.source, n) for n in os.listdir(drops.source))
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        found = ingest.headers(spark, paths)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("headers")
+    assert len(jobs) <= 3  # the parts of one query, however many files
+    assert len(found) == 61 and sum("tier" in c for c in found.values()) == 40
+    assert found[paths[-1]] == tuple(spark.read.csv(paths[-1], header=True).columns) == ("transaction_id", "store_id1", "_c2", "store_id3")
+    ingest.run(spark, drops)
+    table = ingest.read_table(spark, drops)
+    assert table.count() == 121 and table.where("tier = 'gold'").count() == 40
+    assert table.where("transaction_id = 't99'").head().store_id1 == "s1"
+
+
 def test_repeating_a_batch_adds_nothing(spark, drops):
     put(drops, "a.csv", HEADER, line("t1"))
     paths = spark.createDataFrame([(os.path.join(drops.source, "a.csv"),)], "path string")
