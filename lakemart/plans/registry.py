@@ -246,6 +246,15 @@ def _retrieval_context(m: Medallion) -> DataFrame:
     return retrieval.contexts(_questions(m), hits)
 
 
+def _keyword_context(m: Medallion) -> DataFrame:
+    """Contexts by keyword search, for blank questions and one that nothing answers as well."""
+    chunks = materialize(_rag_chunks(m), "rag-chunks")
+    odd = m.spark.sql("SELECT stack(3, -1L, ' \t ', -2L, CAST(NULL AS STRING), -3L, 'qqzx xzqq?') AS (question_id, question)")
+    questions = materialize(_questions(m).unionByName(odd), "questions")
+    hits = retrieval.bm25_topk(questions, chunks, 3)
+    return retrieval.contexts(questions, retrieval.retrieved_columns(hits, chunks))
+
+
 def _catalog_chunks(m: Medallion, versions: DataFrame) -> DataFrame:
     """Chunks of the product documents of one state of the catalog."""
     never_sold = m.spark.createDataFrame(
@@ -351,6 +360,31 @@ def _stream_ingest_dedup(m: Medallion) -> DataFrame:
     return stream_silver.first_arrivals(spec).read(m.spark)
 
 
+def _stream_expectations(m: Medallion) -> DataFrame:
+    """Passed and failed rows per expectation, measured batch by batch on the way to Silver."""
+    drops, spec = _sales_streams(m, scratch_dir(m.spark, "stream-expectations"))
+    drops = replace(drops, max_files=2)
+    _drop(m.bronze.transactions().repartition(5, "transaction_id"), drops.source)
+    _bring_up(m, drops, spec)
+    return stream_silver.read_metrics(m.spark, spec)
+
+
+def _stream_silver(dataset: str, bronze: Callable[[Medallion], DataFrame]) -> Query:
+    """A dataset without keyed state from files to Silver, two deliveries."""
+
+    def query(m: Medallion) -> DataFrame:
+        root = scratch_dir(m.spark, f"stream-{dataset}")
+        rows = materialize(bronze(m), f"bronze-{dataset}")
+        spec = stream_silver.SilverStream(dataset, silver.BUILDERS[dataset], f"{root}/silver", f"{root}/state")
+        half = F.pmod(F.xxhash64(rows.columns[0]), F.lit(2))
+        for part in (0, 1):
+            rows.where(half == part).write.mode("append").parquet(f"{root}/in")
+            stream_silver.run(m.spark.readStream.schema(rows.schema).parquet(f"{root}/in"), spec)
+        return stream_silver.read_table(m.spark, spec)
+
+    return _layers(query)
+
+
 def _stream_restart(m: Medallion) -> DataFrame:
     """As above, but Bronze and Silver died half-way first, and all files are delivered twice."""
     drops, spec = _sales_streams(m, scratch_dir(m.spark, "stream-restart"))
@@ -506,9 +540,13 @@ def build_queries() -> dict[str, Query]:
     q["bm25_topk"] = _layers(_bm25_topk)
     q["hybrid_topk"] = _layers(_hybrid_topk)
     q["retrieval_context"] = _layers(_retrieval_context)
+    q["keyword_context"] = _layers(_keyword_context)
     q["normalized_history"] = _layers(_normalized_history)
 
     q["stream_ingest_dedup"] = _layers(_stream_ingest_dedup)
+    q["stream_expectations"] = _layers(_stream_expectations)
+    q["stream_silver_opportunity"] = _stream_silver("opportunity", lambda m: m.bronze.opportunity())
+    q["stream_silver_inventory"] = _stream_silver("inventory", lambda m: m.inventory_current)
     q["stream_restart"] = _layers(_stream_restart)
     q["stream_dedup_expiring"] = _layers(_stream_dedup_expiring)
     q["stream_scd2_account"] = _layers(_stream_scd2_account)

@@ -277,6 +277,14 @@ def _sql() -> dict[str, str]:
         FROM benchmark LEFT JOIN (
             SELECT question_id, string_agg({block}, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY rank) AS body
             FROM k_rag_hybrid JOIN k_rag USING (chunk_id) GROUP BY question_id) ON question_id = item_id"""
+    sql["keyword_context"] = f"""
+        SELECT question_id, question, CASE WHEN regexp_matches(coalesce(question, ''), '\\S')
+                    THEN coalesce(body, 'The available knowledge does not contain enough information.') ELSE 'No question was provided.' END AS context
+        FROM (SELECT item_id AS question_id, text AS question FROM benchmark
+              UNION ALL VALUES (-1, ' ' || chr(9) || ' '), (-2, NULL), (-3, 'qqzx xzqq?')) q
+        LEFT JOIN (
+            SELECT question_id AS asked, string_agg({block}, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY rank) AS body
+            FROM k_rag_bm25 JOIN k_rag USING (chunk_id) WHERE rank <= 3 GROUP BY question_id) ON question_id = asked"""
     sql["normalized_history"] = """
         SELECT conv_id, turn, coalesce(role = 'assistant' AND (conv_id + turn) % 4 IN (0, 1), FALSE) AS collapsed,
                CASE WHEN role = 'assistant' AND (conv_id + turn) % 4 = 2 THEN 'm' || conv_id END AS id,
@@ -287,6 +295,9 @@ def _sql() -> dict[str, str]:
                     THEN '[{"text":' || to_json(text) || ',"type":"output_text"}]' ELSE text END AS content
         FROM conversations"""
     sql["stream_ingest_dedup"] = sql["stream_restart"] = sql["dedup_transactions"]
+    sql["stream_expectations"] = f"SELECT 'transactions' AS dataset, * FROM ({expectation_lines('transactions')})"
+    for d in ("opportunity", "inventory"):
+        sql[f"stream_silver_{d}"] = sql[f"silver_{d}"]
     sql["stream_dedup_expiring"] = """
         WITH RECURSIVE e AS (SELECT CASE WHEN event_id % 50 <> 0 THEN user_id END AS user_id, ts FROM events),
         w AS (
