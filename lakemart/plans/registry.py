@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampType
 
-from lakemart.operators import cdc, chat, documents, gates, gold, keyword_index, keyword_stats, quality, retrieval, security, silver, value_match, vector_index
+from lakemart.operators import cdc, chat, documents, gates, gold, keyword_index, keyword_stats, lsa, quality, retrieval, security, silver, value_match, vector_index
 from lakemart.plans import marts, semantics
 from lakemart.plans.medallion import SALES_ORDER, Medallion
 from lakemart.plans.pipeline import Config, Result, publish_gold, run_pipeline
@@ -222,6 +222,13 @@ def _lsh_topk(m: Medallion) -> DataFrame:
     return index.topk(_label_centres(m), filed, 10, "label", "vec_id")
 
 
+def _lsa_topk(m: Medallion) -> DataFrame:
+    """Questions and chunks by an embedding learned from the chunks; as iterative as its fit, so without SQL."""
+    chunks = materialize(_document_chunks(m), "document-chunks")
+    embedder = lsa.LatentEmbedder().fit(chunks, "chunk_to_embed")
+    return retrieval.vector_topk(embedder.embed(_questions(m), "question"), embedder.embed(chunks, "chunk_to_embed"), 10)
+
+
 def _keyword_index_topk(m: Medallion) -> DataFrame:
     index = keyword_index.KeywordIndex(scratch_dir(m.spark, "keyword-index")).write(_document_chunks(m))
     return index.topk(_questions(m))
@@ -536,6 +543,7 @@ def build_queries() -> dict[str, Query]:
     q["keyword_sync"] = _layers(_keyword_sync)
     q["vector_topk"] = _layers(_vector_topk)
     q["lsh_topk"] = _layers(_lsh_topk)
+    q["lsa_topk"] = _layers(_lsa_topk)
     q["keyword_index_topk"] = _layers(_keyword_index_topk)
     q["bm25_topk"] = _layers(_bm25_topk)
     q["hybrid_topk"] = _layers(_hybrid_topk)
