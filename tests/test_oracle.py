@@ -29,7 +29,7 @@ def test_runs(spark, name):
 
 def test_registry():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"lsh_topk"}
+    assert set(QUERIES) - set(ORACLE) == {"lsa_topk"}
 
 
 def test_entry(spark):
