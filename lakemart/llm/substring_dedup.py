@@ -250,13 +250,18 @@ def repeated_windows(docs: DataFrame, window: int = 35, doc_id: str = "doc_id",
     limit = max(SHARD_SEGMENTS, int(total * hot_share))  # so fewer than 1 / hot_share anchors are hot
     hot = np.array([r[0] for r in anchors.where(F.col("n") > limit).select("anchor").collect()], dtype=np.int64).view(np.uint64)
     placed = stored(placed_segments(once, window, bit_map(anchors), hot), "substr-segments")
+    # One number for both, since every distinct segment carries it through the exchange.
+    place = F.shiftleft(F.col("first").cast("long"), 32) + F.col("windows")
     distinct = placed.groupBy("anchor", "content").agg(
-        F.sum("times").alias("n"), F.min(F.struct("key_id", "key_hash", "first", "windows")).alias("copy")
+        F.sum("times").alias("n"), F.min(F.struct("key_id", "key_hash", place.alias("place"))).alias("copy")
     )
     together = F.sum("n").over(Window.partitionBy("anchor"))
     wanted = stored(
-        distinct.withColumn("total", together).where(F.col("total") > 1).select("anchor", "content", "n", "copy.*"), "substr-distinct"
-    )
+        distinct.withColumn("total", together).where(F.col("total") > 1).select(
+            "anchor", "content", "n", "copy.key_id", "copy.key_hash",
+            F.shiftright("copy.place", 32).cast("int").alias("first"), F.col("copy.place").bitwiseAND(0x7FFFFFFF).cast("int").alias("windows"),
+        ), "substr-distinct",
+    )
     shards = max(1, -(-wanted.count() // SHARD_SEGMENTS))
     words = segment_words(rows.repartition(*KEY), wanted, window)
     found = words.groupBy(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")).applyInPandas(
