@@ -9,26 +9,12 @@ import xxhash
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
 BASE = np.uint64(0xD6E8FEB86659FD93)
-REMEMBERED = 400_000
 LONG_WORD = 64
 IN_WORD = np.ones(256, dtype=bool)
 IN_WORD[[9, 10, 11, 12, 13, 32]] = False
 FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered up to a bound."""
-
-    def __missing__(self, word) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < REMEMBERED:
-            self[word] = value
-        return value
-
-    def of(self, words: list) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
-
-
 def word_hashes(text: bytes) -> np.ndarray:
     """64-bit hash of every word of a UTF-8 text, eight bytes at a time over all words.
 
