@@ -7,13 +7,14 @@ State therefore holds one row per key with an open window, however long the stre
 
 An event that comes late, after a later one of its key, counts in the window that is
 open then; one that is older than the watermark is dropped.  Events without a key are
-nobody's repeat: each comes out at once, and none of them meet in one task.
+nobody's repeat: each comes out at once, and none of them meet in one task.  Events with
+a key but no time are left out.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +22,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from lakemart.streaming.committed import APPEND, CommittedParts
@@ -45,10 +46,11 @@ class ExpiringDedup:
         """(key, first_at, repeats) of every window that has ended."""
         schema = self.schema(events)
         timed = events.select(self.key, F.col(self.time).alias("first_at")).withWatermark("first_at", self.delay)
-        keyed = timed.where(F.col(self.key).isNotNull()).groupBy(self.key)
-        counted = keyed.transformWithStateInPandas(
-            statefulProcessor=_Windows(self.key, self.seconds), outputStructType=schema, outputMode="Append", timeMode="EventTime"
+        keyed = timed.where(F.col(self.key).isNotNull() & F.col("first_at").isNotNull()).withColumn("at", F.unix_micros("first_at")).groupBy(self.key)
+        counted = keyed.applyInPandasWithState(
+            _windows(self.key, self.seconds), _ended(schema, self.key), "first long, repeats long", "append", GroupStateTimeout.EventTimeTimeout
         )
+        counted = counted.select(self.key, F.timestamp_micros("first").alias("first_at"), "repeats")
         loose = timed.where(F.col(self.key).isNull()).withColumn("repeats", F.lit(0).cast("long"))
         return counted.unionByName(loose)
 
@@ -70,43 +72,40 @@ class ExpiringDedup:
         return table.read(spark, "rows")
 
 
-class _Windows(StatefulProcessor):
-    """One open window per key: first event, repeats."""
-
-    def __init__(self, key: str, seconds: int):
-        self.key, self.length = key, seconds * 1_000_000
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.window = handle.getValueState("window", "first long, repeats long")
-
-    def _end_ms(self, first: int) -> int:
-        return -(-(first + self.length) // 1000)
-
-    def _row(self, key: tuple, first: int, repeats: int) -> pd.DataFrame:
-        return pd.DataFrame({self.key: [key[0]], "first_at": [pd.Timestamp(first, unit="us")], "repeats": [repeats]})
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        times = np.sort(np.concatenate([part["first_at"].to_numpy("datetime64[us]").astype(np.int64) for part in rows]))
-        first, repeats = self.window.get() if self.window.exists() else (None, 0)
-        if first is not None:
-            self.handle.deleteTimer(self._end_ms(first))
-        at = 0
-        while at < len(times):
-            if first is None or times[at] >= first + self.length:
-                if first is not None:
-                    yield self._row(key, first, repeats)
-                first, repeats = int(times[at]), 0
-                at += 1
-            inside = int(np.searchsorted(times, first + self.length, side="left"))
-            repeats, at = repeats + max(0, inside - at), max(at, inside)
-        self.window.update((first, repeats))
-        self.handle.registerTimer(self._end_ms(first))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        first, repeats = self.window.get()
-        self.window.clear()
-        yield self._row(key, first, repeats)
-
-    def close(self) -> None:
-        pass
+def _ended(schema: StructType, key: str) -> StructType:
+    """What a task gives back: whole microseconds, which no time zone changes."""
+    return StructType([schema[key], StructField("first", LongType()), StructField("repeats", LongType())])
+
+
+def _windows(key: str, seconds: int) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
+    """One open window per key: first event, repeats.
+
+    The state comes and goes with the rows of many keys in one Arrow batch; a
+    processor that asks for it pays a round trip for each question.
+    """
+    length = seconds * 1_000_000
+
+    def take(of: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        first, repeats = state.get if state.exists else (None, 0)
+        ended = []
+        if state.hasTimedOut:
+            ended.append((first, repeats))
+            state.remove()
+        else:
+            times = np.sort(np.concatenate([part["at"].to_numpy(np.int64) for part in rows]))
+            at = 0
+            while at < len(times):
+                if first is None or times[at] >= first + length:
+                    if first is not None:
+                        ended.append((first, repeats))
+                    first, repeats = int(times[at]), 0
+                    at += 1
+                inside = int(np.searchsorted(times, first + length, side="left"))
+                repeats, at = repeats + max(0, inside - at), max(at, inside)
+            state.update((first, repeats))
+            state.setTimeoutTimestamp(-(-(first + length) // 1000))
+        if ended:
+            starts, counts = zip(*ended)
+            yield pd.DataFrame({key: [of[0]] * len(ended), "first": starts, "repeats": counts})
+
+    return take

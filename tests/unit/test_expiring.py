@@ -63,3 +63,16 @@ def test_ends_and_gaps(stream):
     deliver(*[("a", t) for t in at[2:]])
     deliver(("z", START + 100 * HOUR))
     assert sorted(read(), key=lambda r: r[1]) == [("a", at[0], 2), ("a", at[2], 1), ("a", at[4], 0)]
+
+
+def test_a_session_with_the_default_state_store(spark, stream):
+    deliver, read = stream
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.unset(provider)  # what a session has that was not built by this package
+    try:
+        deliver(("a", START), ("a", START + HOUR), (None, START))
+        deliver(("z", START + 100 * HOUR))
+    finally:
+        spark.conf.set(provider, before)
+    assert read() == sorted([("a", START, 1), (None, START, 0)], key=repr)
