@@ -8,7 +8,8 @@ terms' highest weights there: no document of the range can score more.
 A search sums the bounds from the blocks' heads alone, reads the few ranges with the
 highest ones, and takes the k-th score found so far as threshold.  Of the other ranges
 it reads only those whose bound reaches it.  Results are those of the full scan.
-Questions stay distributed; only the index's totals, one row, go through the driver.
+Questions go to the tasks in slices of about ``MAX_QUERIES``; what moves is each asked
+term's blocks, once, and one line per question and range, never one per asked term.
 
 A NULL text is no document.  A question without a known term has no result.  Equal
 scores rank by id.
@@ -18,7 +19,9 @@ from __future__ import annotations
 
 import json
 import sys
+from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -59,12 +62,14 @@ class KeywordIndex:
         damping = BM25_K1 * (1 - BM25_B + BM25_B * F.col("length") / F.lit(average)) if average else F.lit(1.0)
         weight = F.col("tf") * (BM25_K1 + 1) / (F.col("tf") + damping)
         posting = F.struct(F.col(self.doc_id).alias("id"), weight.alias("weight"))
+        # Texts are shuffled once, by range; their postings never are.
+        place = F.pmod(F.xxhash64(self.doc_id), F.lit(ranges)).cast("int").alias("range")
         blocks = (
-            term_counts(texts, self.doc_id, text)
-            .groupBy(_part(), "term", F.pmod(F.xxhash64(self.doc_id), F.lit(ranges)).cast("int").alias("range"))
+            term_counts(texts, self.doc_id, text, place)
+            .groupBy(_part(), "term", "range")
             .agg(F.max(weight).alias("top"), F.collect_list(posting).alias("postings"))
         )
-        laid = blocks.repartitionByRange("part", "term", "range").sortWithinPartitions("part", "term", "range")
+        laid = blocks.sortWithinPartitions("part", "term", "range")
         laid.write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/blocks")
         spark = docs.sparkSession
         # The folder names carry no type, and an empty index has no file that tells the rest.
@@ -101,7 +106,12 @@ class KeywordIndex:
         known = spark.read.parquet(f"{self.path}/terms")
         asked = materialize(words.withColumn("part", _part()).join(known, ["part", "term"]).select(question_id, "part", "term", rarity.alias("rarity")), "asked-terms")
         heads = self.blocks(spark).select("part", "term", "range", "top")
-        bounds = heads.join(asked, ["part", "term"]).groupBy(question_id, "range").agg(F.sum(F.col("rarity") * F.col("top")).alias("bound"))
+        bound = F.sum(F.col("rarity") * F.col("top")).alias("bound")
+        # Heads move once, to the task of their range; the lines of all questions that share a term arise there.
+        bounds = _stacked(
+            _of_asked(heads, some).repartition("range").join(F.broadcast(some), ["part", "term"]).groupBy(question_id, "range").agg(bound)
+            for some in _slices(asked, question_id)
+        )
         bounds = materialize(bounds, "range-bounds")
         best = keep_top(bounds.withColumn("score", F.col("bound")), FIRST_RANGES, question_id, "range").select(question_id, "range")
         best = materialize(best, "first-ranges")
@@ -116,21 +126,22 @@ class KeywordIndex:
     def _scored(self, pairs: DataFrame, asked: DataFrame, k: int, question_id: str) -> DataFrame:
         """Each question's ``k`` best documents in each of its ranges.
 
-        A range and a block of questions meet in one task: a range has a bounded
-        number of documents, a block a bounded number of questions.
+        A range and a slice of the questions meet in one task: a range has a bounded
+        number of documents, a slice a bounded number of questions.
         """
-        blocks = self.blocks(pairs.sparkSession)
-        count = asked.select(question_id).distinct().count()
-        blocks_of_questions = max(1, -(-count // MAX_QUERIES))
-        own = F.pmod(F.xxhash64(question_id), F.lit(blocks_of_questions)).cast("int").alias("_block")
-        wants = materialize(pairs.join(asked, question_id).select("range", own, question_id, "part", "term", "rarity"), "asked-ranges")
-        # Names of their own: both sides of the join below come from one table.
-        needed = wants.select("part", "term", "range", "_block").distinct().toDF("_p", "_t", "_r", "_b")
-        meets = (F.col("part") == F.col("_p")) & (F.col("term") == F.col("_t")) & (F.col("range") == F.col("_r"))
-        read = blocks.join(needed, meets).select(F.col("_r").alias("range"), F.col("_b").alias("_block"), "term", "postings")
+        pairs = materialize(pairs, "asked-ranges")
+        return _stacked(self._scored_slice(pairs, some, k, question_id) for some in _slices(asked, question_id))
+
+    def _scored_slice(self, pairs: DataFrame, some: DataFrame, k: int, question_id: str) -> DataFrame:
+        spark = pairs.sparkSession
+        mine = pairs.join(F.broadcast(some.select(question_id).distinct()), question_id, "left_semi")
+        blocks = self.blocks(spark)
+        read = _of_asked(blocks, some).join(mine.select("range").distinct(), "range", "left_semi").select("range", "term", "postings")
         doc_type = blocks.schema["postings"].dataType.elementType["id"].dataType
-        schema = StructType([asked.schema[question_id], StructField(self.doc_id, doc_type), StructField("score", DoubleType())])
+        schema = StructType([some.schema[question_id], StructField(self.doc_id, doc_type), StructField("score", DoubleType())])
         names = schema.names
+        asks = some.toArrow()  # the terms of one slice
+        sent = spark.sparkContext.broadcast((asks.column(question_id).combine_chunks(), asks.column("term").combine_chunks(), asks.column("rarity").to_numpy()))
 
         def score(left: pa.Table, right: pa.Table) -> pa.Table:
             postings = right.column("postings").combine_chunks() if right.num_rows else None
@@ -140,11 +151,11 @@ class KeywordIndex:
             docs = pc.unique(ids)
             weights = np.zeros((right.num_rows, len(docs)))
             weights[pc.list_parent_indices(postings).to_numpy(), pc.index_in(ids, docs).to_numpy()] = postings.flatten().field("weight").to_numpy()
+            asking, terms_asked, rarity = sent.value
             questions = pc.unique(left.column(question_id).combine_chunks())
-            who = pc.index_in(left.column(question_id).combine_chunks(), questions).to_numpy()
-            what = pc.index_in(left.column("term").combine_chunks(), right.column("term").combine_chunks())
-            hit = pc.is_valid(what).to_numpy(zero_copy_only=False)
-            who, what, rarity = who[hit], what.drop_null().to_numpy(), left.column("rarity").to_numpy()[hit]
+            who, what = pc.index_in(asking, questions), pc.index_in(terms_asked, right.column("term").combine_chunks())
+            hit = pc.and_(pc.is_valid(who), pc.is_valid(what))
+            who, what, rarity = who.filter(hit).to_numpy(), what.filter(hit).to_numpy(), rarity[hit.to_numpy(zero_copy_only=False)]
             doc_ids, question_ids, parts = np.asarray(docs.to_pylist()), np.asarray(questions.to_pylist()), []
             step = max(1, SCORE_CELLS // max(len(docs), len(weights)))
             for low in range(0, len(question_ids), step):
@@ -156,8 +167,22 @@ class KeywordIndex:
             found = [np.concatenate(p) for p in zip(*parts)]
             return pa.table({n: pa.array(c, t) for n, c, t in zip(names, found, (kind, ids.type, pa.float64()))})
 
-        key = ["range", "_block"]
-        return wants.groupBy(*key).cogroup(read.groupBy(*key)).applyInArrow(score, schema)
+        return mine.groupBy("range").cogroup(read.groupBy("range")).applyInArrow(score, schema)
+
+
+def _slices(asked: DataFrame, question_id: str) -> list[DataFrame]:
+    """The asked terms of about ``MAX_QUERIES`` questions at a time."""
+    number = max(1, -(-asked.select(question_id).distinct().count() // MAX_QUERIES))
+    return [asked.where(F.pmod(F.xxhash64(question_id), F.lit(number)) == i) for i in range(number)]
+
+
+def _of_asked(blocks: DataFrame, some: DataFrame) -> DataFrame:
+    """Blocks of the terms that a slice of the questions asks."""
+    return blocks.join(F.broadcast(some.select("part", "term").distinct()), ["part", "term"], "left_semi")
+
+
+def _stacked(parts: Iterable[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _id_type(table: pa.Table) -> pa.DataType:

@@ -247,18 +247,22 @@ class HashedEmbedder:
 # ------------------------------------------------------------------- keywords
 
 
-def term_counts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+def term_counts(docs: DataFrame, doc_id: str, text: str, place: Column | None = None) -> DataFrame:
     """(doc_id, length, term, tf), laid out by document.
 
     Texts are shuffled once by their id; the counts, and later the scores per
-    document, need no further shuffle of the postings.
+    document, need no further shuffle of the postings.  With ``place``, a function
+    of the id, they are laid out by it instead, and it comes along.
     """
-    placed = docs.select(doc_id, F.col(text).alias("_text")).repartition(F.col(doc_id))
-    listed = placed.select(doc_id, terms(F.col("_text")).alias("_terms"))
+    shown = [] if place is None else [place]
+    placed = docs.select(*shown, doc_id, F.col(text).alias("_text"))
+    first = placed.columns[: len(shown)]
+    placed = placed.repartition(*(F.col(c) for c in first or [doc_id]))
+    listed = placed.select(*first, doc_id, terms(F.col("_text")).alias("_terms"))
     return (
-        listed.select(doc_id, F.size("_terms").alias("length"), F.explode_outer("_terms").alias("term"))
+        listed.select(*first, doc_id, F.size("_terms").alias("length"), F.explode_outer("_terms").alias("term"))
         .filter("term IS NOT NULL")
-        .groupBy(doc_id, "length", "term")
+        .groupBy(*first, doc_id, "length", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
 

@@ -92,3 +92,11 @@ def test_no_documents_and_no_questions(tables, tmp_path):
 def test_no_index_without_totals(tables, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         K.KeywordIndex(str(tmp_path / "unwritten")).topk(tables[0])
+
+
+def test_one_shuffle_lays_out_all_postings(tables):
+    place = F.pmod(F.xxhash64("chunk_id"), F.lit(5)).cast("int").alias("range")
+    counts = R.term_counts(tables[1], "chunk_id", "chunk_to_retrieve", place)
+    blocks = counts.groupBy(K._part(), "term", "range").agg(F.collect_list(F.struct("chunk_id", "tf")).alias("postings"))
+    plan = blocks._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
