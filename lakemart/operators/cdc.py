@@ -39,8 +39,14 @@ def deduplicate(
     return ranked.unionByName(df.filter(F.col(key).isNull())) if keep_null_keys else ranked
 
 
-def current_state(feed: DataFrame, keys: Sequence[str], seq: str = "seq", op: str = "op") -> DataFrame:
-    """Latest version of each key; keys whose last change is a delete vanish."""
+def current_state(feed: DataFrame, keys: Sequence[str], seq: str = "seq", op: str = "op", pieces: int | None = None) -> DataFrame:
+    """Latest version of each key; keys whose last change is a delete vanish.
+
+    ``pieces`` deals the changes by key to so many tasks, for a feed too large for
+    the session's number; a key's changes then meet in one task, all of them.
+    """
+    if pieces:
+        feed = feed.repartition(pieces, *keys)
     rest = [c for c in feed.columns if c not in (*keys, seq)]
     last = first_per_key(feed, keys, [F.col(seq).desc(), *(F.col(c).desc_nulls_last() for c in rest)])
     return last.filter(F.col(op) != "D").drop(seq, op)

@@ -16,7 +16,6 @@ import sys
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -53,7 +52,7 @@ class LatentEmbedder:
     def fit(self, corpus: DataFrame, text: str) -> LatentEmbedder:
         """Reads the corpus ``passes`` + 2 times, as written lists of slots."""
         rows = materialize(corpus.select(self.hashed.slots(F.coalesce(F.col(text), F.lit(""))).alias("slots")), "lsa-slots")
-        self.hashed.fit(corpus, text)
+        self.hashed.fit_slots(rows)
         block = np.random.default_rng(self.seed).normal(size=(self.hashed.dimensions, self.k + self.extra))
         block = np.linalg.qr(block)[0]
         for _ in range(self.passes):
@@ -96,12 +95,13 @@ class LatentEmbedder:
             raise ValueError("fit the embedder first")
         weights, directions = self.hashed.weights, self.directions
 
-        @F.pandas_udf("array<double>")
-        def vectors(slots: pd.Series) -> pd.Series:
-            out = []
+        @F.arrow_udf("array<double>")
+        def vectors(slots: pa.Array) -> pa.Array:
+            parts = []
             for at in range(0, len(slots), BATCH):
-                lists = pa.array([list(map(int, s)) for s in slots.iloc[at : at + BATCH]], pa.list_(pa.int32()))
-                out += list(_unit(term_matrix(lists, weights) @ directions))
-            return pd.Series(out, dtype=object)
+                found = _unit(term_matrix(slots.slice(at, BATCH), weights) @ directions)
+                ends = pa.array(np.arange(len(found) + 1, dtype=np.int32) * found.shape[1])
+                parts.append(pa.ListArray.from_arrays(ends, found.ravel()))
+            return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float64()))
 
         return df.withColumn(name, vectors(self.hashed.slots(F.coalesce(F.col(text), F.lit("")))))

@@ -31,6 +31,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MAX_QUERIES = 2048
 BLOCK_ROWS = 8192
 TEXT_BLOCK = 1024
+QUERY_BLOCK = 64
 SCORE_CELLS = 4 << 20  # scores a task holds at a time
 SCORE_DIGITS = 6
 
@@ -74,8 +75,13 @@ def _best_of_block(
     queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query id, id, score) of each query's ``k`` best rows of one block."""
-    scores = np.round(queries @ _unit(vectors).T, SCORE_DIGITS) + 0.0  # no -0.0
-    return _select(scores, query_ids, ids, k)
+    columns, parts = _unit(vectors).T, []
+    # Ranking makes several copies of the scores: some queries at a time.
+    for at in range(0, max(1, len(queries)), QUERY_BLOCK):
+        scores = np.round(queries[at : at + QUERY_BLOCK] @ columns, SCORE_DIGITS) + 0.0  # no -0.0
+        parts.append(_select(scores, query_ids[at : at + QUERY_BLOCK], ids, k))
+    owners, found, values = (np.concatenate(p) for p in zip(*parts))
+    return owners, found, values
 
 
 def _select(
@@ -202,11 +208,15 @@ class HashedEmbedder:
         return F.transform(terms(text), lambda t: (number(t).cast("bigint") % self.dimensions).cast("int"))
 
     def fit(self, corpus: DataFrame, text: str) -> HashedEmbedder:
+        return self.fit_slots(corpus.select(self.slots(F.col(text)).alias("slots")))
+
+    def fit_slots(self, rows: DataFrame) -> HashedEmbedder:
+        """The same from the slots of every text, where they are at hand."""
         counted = (
-            corpus.select(F.explode(F.array_distinct(self.slots(F.col(text)))).alias("slot"))
+            rows.select(F.explode(F.array_distinct("slots")).alias("slot"))
             .groupBy("slot")
             .count()
-            .unionByName(corpus.select(F.lit(-1).alias("slot")).groupBy("slot").count())
+            .unionByName(rows.select(F.lit(-1).alias("slot")).groupBy("slot").count())
         )
         # At most one row per dimension, and the total.
         counts = {row.slot: row["count"] for row in counted.collect()}
@@ -234,12 +244,18 @@ class HashedEmbedder:
             raise ValueError("fit the embedder first")
         weights, dimensions = self.weights, self.dimensions
 
-        @F.pandas_udf("array<double>")
-        def vectors(slots: pd.Series) -> pd.Series:
-            counts = [np.bincount(np.asarray(s, dtype=np.int64), minlength=dimensions) for s in slots]
-            if not counts:
-                return pd.Series([], dtype=object)
-            return pd.Series(list(_unit(np.stack(counts) * weights)))
+        # A batch has up to 10,000 texts: few of them are spelled out at a time.
+        @F.arrow_udf("array<double>")
+        def vectors(slots: pa.Array) -> pa.Array:
+            parts = []
+            for at in range(0, len(slots), TEXT_BLOCK):
+                lists = slots.slice(at, TEXT_BLOCK)
+                owner = pc.list_parent_indices(lists).to_numpy().astype(np.int64)
+                places = owner * dimensions + lists.flatten().to_numpy()
+                counts = np.bincount(places, minlength=len(lists) * dimensions).reshape(len(lists), dimensions)
+                ends = pa.array(np.arange(len(lists) + 1, dtype=np.int32) * dimensions)
+                parts.append(pa.ListArray.from_arrays(ends, _unit(counts * weights).ravel()))
+            return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float64()))
 
         return df.withColumn(name, vectors(self.slots(F.coalesce(F.col(text), F.lit("")))))
 

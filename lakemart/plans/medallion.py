@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from lakemart.operators import cdc, gold, quality, silver
+from lakemart.sources.tables import pieces
 
 # The order in which repeated sales are told apart, oldest first, then every value.
 SALES_ORDER = (
@@ -57,7 +58,8 @@ class Medallion:
 
     @cached_property
     def inventory_current(self) -> DataFrame:
-        return cdc.current_state(self.bronze.inventory_feed(), ["inventory_id"])
+        feed = self.bronze.inventory_feed()
+        return cdc.current_state(feed, ["inventory_id"], pieces=pieces(feed))
 
     # ------------------------------------------------------------ silver
     @cached_property

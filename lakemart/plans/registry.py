@@ -16,13 +16,14 @@ from lakemart.plans.medallion import SALES_ORDER, Medallion
 from lakemart.plans.pipeline import Config, Result, publish_gold, run_pipeline
 from lakemart.plans.samples import SampleBronze
 from lakemart.session import scratch_dir
-from lakemart.sources.tables import materialize
+from lakemart.sources.tables import estimated_bytes, materialize
 from lakemart.streaming import committed, expiring, ingest
 from lakemart.streaming import silver as stream_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SAMPLE_REGION = "NATION_3"
+FILE_BYTES = 16 << 20  # of the table that a delivered file is made from
 
 
 def medallion(spark: SparkSession, folder: str) -> Medallion:
@@ -370,8 +371,11 @@ def _stream_ingest_dedup(m: Medallion) -> DataFrame:
 def _stream_expectations(m: Medallion) -> DataFrame:
     """Passed and failed rows per expectation, measured batch by batch on the way to Silver."""
     drops, spec = _sales_streams(m, scratch_dir(m.spark, "stream-expectations"))
-    drops = replace(drops, max_files=2)
-    _drop(m.bronze.transactions().repartition(5, "transaction_id"), drops.source)
+    rows = m.bronze.transactions()
+    # Five files, or as many as keep each of a bounded size; in three batches either way.
+    files = max(5, -(-estimated_bytes(m.bronze.table("lineitem")) // FILE_BYTES))
+    drops = replace(drops, max_files=-(-2 * files // 5))
+    _drop(rows.repartition(files, "transaction_id"), drops.source)
     _bring_up(m, drops, spec)
     return stream_silver.read_metrics(m.spark, spec)
 

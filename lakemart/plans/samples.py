@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.sources.tables import spread
+from lakemart.sources.tables import pieces, spread
 
 
 def _versions(key: str) -> str:
@@ -142,8 +142,11 @@ class SampleBronze:
         )
 
     def inventory_feed(self) -> DataFrame:
-        pairs = self.table("lineitem").select("l_partkey", "l_suppkey").distinct()
-        return pairs.selectExpr(
+        pairs = self.table("lineitem").select("l_partkey", "l_suppkey")
+        dealt = pieces(pairs)
+        if dealt:
+            pairs = pairs.repartition(dealt, "l_partkey", "l_suppkey")
+        return pairs.distinct().selectExpr(
             "*",
             """inline(array_compact(array(
                 named_struct('op', 'I', 'seq', timestamp'2024-01-01', 'extra', 0),

@@ -28,6 +28,17 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
     return df.sparkSession.read.parquet(path)
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The size the planner expects; of a plain scan, that of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def pieces(df: DataFrame, each: int = 4 << 20) -> int | None:
+    """Into how many tasks to deal a table of ``each`` bytes a task; None where the session's number is enough."""
+    wanted = -(-estimated_bytes(df) // each)
+    return wanted if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 def spread(df: DataFrame, by: str, least_bytes: int = 4 << 20) -> DataFrame:
     """Deal a plain scan out to all cores if it arrives in too few pieces.
 
@@ -38,8 +49,7 @@ def spread(df: DataFrame, by: str, least_bytes: int = 4 << 20) -> DataFrame:
     a scan too small to matter are returned unchanged.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    plan = df._jdf.queryExecution().optimizedPlan()
-    if int(str(plan.stats().sizeInBytes())) < least_bytes or df.rdd.getNumPartitions() >= cores:
+    if estimated_bytes(df) < least_bytes or df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, by)
 
