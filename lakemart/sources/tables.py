@@ -33,10 +33,15 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+UNKNOWN_BYTES = 1 << 50  # the planner's guess for rows that come from no file is larger
+MOST_PIECES = 32  # times the session's number, for a size overestimated behind a join
+
+
 def pieces(df: DataFrame, each: int = 4 << 20) -> int | None:
     """Into how many tasks to deal a table of ``each`` bytes a task; None where the session's number is enough."""
-    wanted = -(-estimated_bytes(df) // each)
-    return wanted if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+    size, usual = estimated_bytes(df), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(-(-size // each), MOST_PIECES * usual)
+    return wanted if size < UNKNOWN_BYTES and wanted > usual else None
 
 
 def spread(df: DataFrame, by: str, least_bytes: int = 4 << 20) -> DataFrame:

@@ -98,3 +98,18 @@ def test_table_diff(spark):
     new = spark.createDataFrame([(1, "a"), (2, "B"), (3, None), (5, "e")], "id int, v string")
     got = {(r.change_type, r.id, r.v) for r in cdc.table_diff(old, new, "id").collect()}
     assert got == {("update", 2, "B"), ("delete", 4, "d"), ("insert", 5, "e")}
+
+
+def test_a_large_feed_is_dealt_to_more_tasks(spark, tmp_path):
+    from lakemart.sources.tables import pieces
+
+    feed = spark.createDataFrame([("a", 1, "I"), ("a", 2, "U"), ("b", 1, "I"), ("b", 2, "D"), (None, 1, "I")], "k string, seq int, op string")
+    assert pieces(feed) is None  # of unknown size
+    feed.write.parquet(str(tmp_path / "feed"))
+    feed = spark.read.parquet(str(tmp_path / "feed"))
+    assert pieces(feed) is None  # the session's number is enough
+    wanted = pieces(feed, each=500)
+    assert 4 < wanted <= 32 * 4
+    dealt = cdc.current_state(feed, ["k"], pieces=wanted)
+    assert dealt._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted(map(tuple, dealt.collect()), key=str) == sorted(map(tuple, cdc.current_state(feed, ["k"]).collect()), key=str)

@@ -175,3 +175,19 @@ def test_sync_embeds_only_changes(spark):
     index = old.select("chunk_id", F.lit("old").alias("embedding"))
     out = R.sync_index(index, old, new, lambda rows: rows.withColumn("embedding", F.lit("new")))
     assert {(r.chunk_id, r.embedding) for r in out.collect()} == {("a", "old"), ("b", "new"), ("d", "new")}
+
+
+def test_few_texts_and_queries_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(R, "TEXT_BLOCK", 2)
+    monkeypatch.setattr(R, "QUERY_BLOCK", 2)
+    rows = spark.createDataFrame([(i, f"w{i} w{i % 3} all") for i in range(9)] + [(9, None), (10, "")], "id int, t string").coalesce(1)
+    embedder = R.HashedEmbedder(16).fit(rows, "t")
+    found = {r.id: r.embedding for r in embedder.embed(rows, "t").collect()}
+    assert {len(v) for v in found.values()} == {16} and not any(found[9]) and not any(found[10])
+    slots = {r.id: r.s for r in rows.select("id", embedder.slots(R.F.coalesce("t", R.F.lit(""))).alias("s")).collect()}
+    for i, at in slots.items():
+        raw = np.bincount(at, minlength=16) * embedder.weights
+        assert np.allclose(found[i], raw / (np.linalg.norm(raw) or 1))
+    asked = rows.where("id < 5").select(R.F.col("id").alias("q"), "t")
+    best = R.vector_topk(embedder.embed(asked, "t"), embedder.embed(rows, "t"), 1, "q", "id").collect()
+    assert {r.q for r in best} == set(range(5)) and all(abs(r.score - 1) < 1e-6 for r in best)
