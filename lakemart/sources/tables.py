@@ -37,11 +37,16 @@ UNKNOWN_BYTES = 1 << 50  # the planner's guess for rows that come from no file i
 MOST_PIECES = 32  # times the session's number, for a size overestimated behind a join
 
 
-def pieces(df: DataFrame, each: int = 4 << 20) -> int | None:
-    """Into how many tasks to deal a table of ``each`` bytes a task; None where the session's number is enough."""
-    size, usual = estimated_bytes(df), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def pieces(df: DataFrame, each: int = 2 << 20) -> int | None:
+    """Into how many tasks to deal a table of ``each`` bytes a task; None for one that one piece per core holds.
+
+    Adaptive execution merges the session's pieces by their compressed size, and rows
+    that compress well then fill a task's memory; pieces of a given number stay apart.
+    """
+    session = df.sparkSession
+    size, usual = estimated_bytes(df), int(session.conf.get("spark.sql.shuffle.partitions"))
     wanted = min(-(-size // each), MOST_PIECES * usual)
-    return wanted if size < UNKNOWN_BYTES and wanted > usual else None
+    return wanted if size < UNKNOWN_BYTES and wanted > min(usual, session.sparkContext.defaultParallelism) else None
 
 
 def spread(df: DataFrame, by: str, least_bytes: int = 4 << 20) -> DataFrame:

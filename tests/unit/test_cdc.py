@@ -113,3 +113,19 @@ def test_a_large_feed_is_dealt_to_more_tasks(spark, tmp_path):
     dealt = cdc.current_state(feed, ["k"], pieces=wanted)
     assert dealt._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     assert sorted(map(tuple, dealt.collect()), key=str) == sorted(map(tuple, cdc.current_state(feed, ["k"]).collect()), key=str)
+
+
+def test_a_large_feed_is_dealt_out_however_many_pieces_the_session_has(spark, tmp_path):
+    """Adaptive execution would merge the session's pieces into a few large ones."""
+    from lakemart.sources.tables import pieces
+
+    spark.range(20_000).selectExpr("id AS k", "id % 7 AS seq", "'I' AS op").write.parquet(str(tmp_path / "feed"))
+    feed = spark.read.parquet(str(tmp_path / "feed"))
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1000")
+    try:
+        wanted = pieces(feed, each=2000)
+        assert wanted and 8 < wanted <= 1000
+        assert cdc.current_state(feed, ["k"], pieces=wanted).rdd.getNumPartitions() == wanted
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
