@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakemart.functions.columns import is_blank
+
 
 def first_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column]
@@ -20,22 +23,37 @@ def first_per_key(
     return df.withColumn("_rn", F.row_number().over(pick)).filter("_rn = 1").drop("_rn")
 
 
+def few_without_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The rows, but of those with an absent or blank key only the first of each key.
+
+    They are the key that holds many rows, and all of them meet in one task where
+    rows are dealt out by key.
+    """
+    blank = reduce(lambda a, b: a | b, (is_blank(F.col(k)) for k in keys))
+    return df.filter(~blank).unionByName(first_per_key(df.filter(blank), keys, order))
+
+
 def deduplicate(
     df: DataFrame,
     key: str,
     order: Sequence[str],
     keep_null_keys: bool = False,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Batch form of first-arrival deduplication, with a total order.
 
     All rows with a NULL key count as one, as in a streaming
     ``dropDuplicates``; ``keep_null_keys`` keeps each of them.
+
+    ``pieces`` deals a large table by key to so many tasks before anything is sorted:
+    the limit in front of the shuffle sorts whole rows by input piece, which for a
+    table of few repeats costs memory and removes little.
     """
-    ranked = first_per_key(
-        df if not keep_null_keys else df.filter(F.col(key).isNotNull()),
-        [key],
-        [F.col(c).asc_nulls_first() for c in order],
-    )
+    first = [F.col(c).asc_nulls_first() for c in order]
+    rows = df if not keep_null_keys else df.filter(F.col(key).isNotNull())
+    if pieces:
+        rows = few_without_key(rows, [key], first).repartition(pieces, key)
+    ranked = first_per_key(rows, [key], first)
     return ranked.unionByName(df.filter(F.col(key).isNull())) if keep_null_keys else ranked
 
 

@@ -69,7 +69,8 @@ class Medallion:
 
     @cached_property
     def silver_transactions(self) -> DataFrame:
-        return cdc.deduplicate(self.cleaned_transactions, "transaction_id", SALES_ORDER)
+        cleaned = self.cleaned_transactions
+        return cdc.deduplicate(cleaned, "transaction_id", SALES_ORDER, pieces=pieces(cleaned, 4 << 20))
 
     @cached_property
     def silver_opportunity(self) -> DataFrame:

@@ -24,6 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SAMPLE_REGION = "NATION_3"
 FILE_BYTES = 16 << 20  # of the table that a delivered file is made from
+FILE_ROWS = 1_000_000  # at most in a delivered file: a compressed one is read by one task
 
 
 def medallion(spark: SparkSession, folder: str) -> Medallion:
@@ -343,9 +344,9 @@ def _normalized_history(m: Medallion) -> DataFrame:
 
 
 def _drop(df: DataFrame, folder: str) -> None:
-    """Write rows as CSV files the way the shops deliver them."""
-    df.write.mode("append").csv(
-        folder, header=True, nullValue="null", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    """Write rows as compressed CSV files of a bounded size, the way the shops deliver them."""
+    df.write.mode("append").option("maxRecordsPerFile", FILE_ROWS).csv(
+        folder, header=True, nullValue="null", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, compression="gzip"
     )
 
 

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakemart.session import scratch_dir
 
+# Fixed value: about a third smaller on disk than Spark's default, for little time.
+COMPRESSION = "zstd"
+
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -24,7 +27,7 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
 
     Write to another folder than the one being read; a run gets its own.
     """
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    df.write.mode("overwrite").option("compression", COMPRESSION).partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,9 +23,11 @@ from pyspark.sql.types import StructType
 
 from lakemart.operators import cdc
 from lakemart.sources import files
+from lakemart.sources.tables import COMPRESSION, estimated_bytes, materialize, pieces
 
 APPEND, REPLACE = "append", "replace"
 PART = "_part"
+FEW_BYTES = 4 << 20  # of written keys that every task may hold
 
 
 @dataclass(frozen=True)
@@ -69,10 +72,14 @@ class CommittedParts:
         return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
     def write(self, rows: DataFrame, table: str, batch: int) -> None:
-        """Put a batch's rows of one table into its own folders; not valid before :meth:`commit`."""
-        # The rows of one part stay together unless they are many: adaptive execution cuts large pieces.
-        dealt = rows.withColumn(PART, self.part()).hint("rebalance", F.col(PART))
-        dealt.write.mode("overwrite").partitionBy(PART).parquet(f"{self.root}/{table}/batch={batch}")
+        """Put a batch's rows of one table into its own folders; not valid before :meth:`commit`.
+
+        Rows with a column ``_part`` lie together by part already.
+        """
+        if PART not in rows.columns:
+            # The rows of one part stay together unless they are many: adaptive execution cuts large pieces.
+            rows = rows.withColumn(PART, self.part()).hint("rebalance", F.col(PART))
+        rows.write.mode("overwrite").option("compression", COMPRESSION).partitionBy(PART).parquet(f"{self.root}/{table}/batch={batch}")
 
     def written(self, spark: SparkSession, table: str, batch: int, schema: StructType) -> DataFrame:
         """What :meth:`write` has written, before it is valid."""
@@ -200,6 +207,10 @@ class FirstArrivals:
 
     Within a batch the first row in ``order`` counts.  All rows without a key count
     as one.
+
+    The batch is shuffled once: by part and a share of it, together with the bare keys
+    that came before, of which there is one each and which stand first.  Once rows have
+    come before, keys are compared first: where few are new, only their rows are shuffled.
     """
 
     store: CommittedParts
@@ -210,14 +221,22 @@ class FirstArrivals:
         spark, store = batch.sparkSession, self.store
         if store.committed(spark, number):
             return
-        first = cdc.first_per_key(batch, store.keys, [F.col(c).asc_nulls_first() for c in self.order])
-        names = [f"_k{i}" for i in range(len(store.keys))]
-        key_schema = StructType([batch.schema[k] for k in store.keys])
-        known = store.read(spark, "rows", store.touched(batch), batch.schema).select(*key_schema.names).toDF(*names)
-        same = F.lit(True)
-        for k, n in zip(store.keys, names):
-            same &= F.col(k).eqNullSafe(F.col(n))
-        store.write(first.join(known, same, "left_anti"), "rows", number)
+        order = [F.col(c).asc_nulls_first() for c in self.order]
+        dealt, known = pieces(batch, 4 << 20), None
+        if store.last(spark)["tables"].get("rows"):
+            known = store.read(spark, "rows", store.touched(batch)).select(*store.keys)
+            names = [f"_k{i}" for i in range(len(store.keys))]
+            same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(n)) for k, n in zip(store.keys, names)))
+            new = materialize(batch.select(*store.keys).distinct().join(known.toDF(*names), same, "left_anti").toDF(*names), "new-keys")
+            if estimated_bytes(new) <= FEW_BYTES:
+                batch, known = batch.join(F.broadcast(new), same, "left_semi"), None
+        rows = cdc.few_without_key(batch, store.keys, order).withColumn("_known", F.lit(False))
+        if known is not None:
+            rows = rows.unionByName(known.withColumn("_known", F.lit(True)), allowMissingColumns=True)
+        share = F.pmod(F.xxhash64(F.lit("share"), *store.keys), F.lit(-(-(dealt or 1) // store.parts)))
+        rows = rows.withColumns({PART: store.part(), "_share": share}).repartition(*([dealt] if dealt else []), PART, "_share")
+        first = cdc.first_per_key(rows, [PART, "_share", *store.keys], [F.col("_known").desc(), *order])
+        store.write(first.filter(~F.col("_known")).drop("_known", "_share"), "rows", number)
         if before_commit:
             before_commit(store.written(spark, "rows", number, batch.schema))
         store.commit(spark, number, {"rows": (APPEND, range(store.parts), batch.schema)})

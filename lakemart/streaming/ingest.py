@@ -25,6 +25,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from lakemart.contracts import BRONZE_TRANSACTIONS
 from lakemart.sources import files
+from lakemart.sources.tables import COMPRESSION
 from lakemart.streaming.committed import follow
 
 FILE_LISTING = "path string, modificationTime timestamp, length long, content binary"
@@ -41,7 +42,7 @@ class CsvDrops:
     state: str  # checkpoint and schema live here
     hints: str = BRONZE_TRANSACTIONS
     null_token: str = "null"
-    glob: str = "*.csv"
+    glob: str = "{*.csv,*.csv.gz}"
     max_files: int = 1000  # files per micro-batch
 
     @property
@@ -86,7 +87,7 @@ def _take(spark: SparkSession, drops: CsvDrops, paths: DataFrame, batch: int) ->
     grown = _merged(known, rows.schema)
     if grown != known:
         _save_schema(spark, drops, grown, batch)
-    rows.write.mode("overwrite").parquet(f"{drops.table}/{folder}")
+    rows.write.mode("overwrite").option("compression", COMPRESSION).parquet(f"{drops.table}/{folder}")
     written = [f"{folder}/{n}" for n in files.names(spark, f"{drops.table}/{folder}") if not n.startswith(("_", "."))]
     files.write_once(spark, record, json.dumps({"batch": batch, "files": written}))
 
@@ -95,11 +96,13 @@ def headers(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]
     """Column names by file, from one scan; files without any line are left out.
 
     A file's first line stands in the piece that starts at its first byte; other
-    pieces are not looked at.
+    pieces are not looked at.  A compressed file is one piece: beside an (empty) set
+    the minimum is kept by hashing, alone it would sort all lines first.
     """
     lines = spark.read.text(paths).select("value", "_metadata.file_path", "_metadata.file_block_start")
     said = lines.where((F.col("file_block_start") == 0) & (F.trim("value") != "")).withColumn("line", F.monotonically_increasing_id())
-    first = said.groupBy("file_path").agg(F.min_by("value", "line").alias("value")).collect()  # one line per file
+    kept = F.min_by("value", "line").alias("value"), F.collect_set(F.lit(None).cast("int")).alias("_none")
+    first = said.groupBy("file_path").agg(*kept).collect()  # one line per file
     found = {_plain_path(unquote(r.file_path)): _column_names(r.value) for r in first}
     return {p: found[_plain_path(p)] for p in paths if _plain_path(p) in found}
 

@@ -134,3 +134,28 @@ def test_reading_before_the_first_record(spark, tmp_path):
     with pytest.raises(ValueError, match="no table"):
         store(tmp_path).read(spark, "rows")
     assert not store(tmp_path).committed(spark, 0)
+
+
+def test_first_arrivals_shuffle_a_batch_once_and_sort_nothing_before(spark, tmp_path, monkeypatch):
+    """The limit in front of the shuffle would sort whole input pieces, the join and the write shuffle again."""
+    plans, write = [], C.CommittedParts.write
+
+    def seen(self, rows, table, batch):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        write(self, rows, table, batch)
+
+    monkeypatch.setattr(C.CommittedParts, "write", seen)
+    target = C.FirstArrivals(store(tmp_path / "f"), ("v",))
+    batches = [[("a", 2), ("a", 1), (None, 5), (None, 4), (" ", 1)], [("a", 0), ("b", 3), ("b", 2), (None, 1), (" ", 0), ("", 7)], [("a", 9), (None, 9)]]
+    for few in (C.FEW_BYTES, 0):
+        target = C.FirstArrivals(store(tmp_path / f"f{few}"), ("v",))
+        monkeypatch.setattr(C, "FEW_BYTES", few)
+        for number, rows in enumerate(batches):
+            spark.createDataFrame(rows, "k string, v int").write.parquet(str(tmp_path / f"in{few}-{number}"))
+            target.apply(spark.read.parquet(str(tmp_path / f"in{few}-{number}")), number)
+        got = sorted(target.read(spark).collect(), key=str)
+        assert [tuple(r) for r in got] == sorted([("a", 1), (None, 4), (" ", 1), ("b", 2), ("", 7)], key=str)
+        assert sorted(r.v for r in target.read(spark).collect()) == [1, 1, 2, 4, 7]
+    first = plans[0].split("Window ")[1]  # below the last window
+    assert plans[0].count("_share") and "REBALANCE" not in plans[0] and "SortMergeJoin" not in "".join(plans)
+    assert all("rebalance" not in p.lower() for p in plans) and "Exchange hashpartitioning(_part" in first

@@ -204,3 +204,28 @@ def test_state_can_be_bounded_by_event_time(spark, tmp_path):
     query = streams.rows(stream, spec).writeStream.format("memory").queryName("bounded").trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted(r.k for r in spark.table("bounded").collect()) == ["a", "b"]
+
+
+def test_compressed_deliveries(spark, drops):
+    put(drops, "a.csv", HEADER, line("t1"))
+    rows = spark.createDataFrame([("t2", "gold"), ("t3", None)], "transaction_id string, tier string")
+    rows.coalesce(1).write.mode("append").option("maxRecordsPerFile", 1).csv(f"{drops.source}/more", header=True, nullValue="null", compression="gzip")
+    ingest.run(spark, drops)
+    table = ingest.read_table(spark, drops)
+    assert {(r.transaction_id, r.tier) for r in table.collect()} == {("t1", None), ("t2", "gold"), ("t3", None)}
+
+
+def test_headers_sort_no_lines(spark, drops, monkeypatch):
+    """A compressed file is one piece: all of its lines would be sorted in one task."""
+    put(drops, "a.csv", HEADER, line("t1"))
+    plans = []
+    kind = type(spark.range(0))
+    collect = kind.collect
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return collect(df)
+
+    monkeypatch.setattr(kind, "collect", seen)
+    assert len(ingest.headers(spark, [os.path.join(drops.source, "a.csv")])) == 1
+    assert plans and not any("Sort" in p for p in plans)
