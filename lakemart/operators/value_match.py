@@ -1,10 +1,13 @@
 """Which dictionary values a question names, spelling mistakes allowed.
 
 Phrases of a question, runs of one to MAX_WORDS words, are joined with the values by
-edit distance.  No phrase meets every value: both sides are cut into their pairs of
-neighbouring letters, put in one order (pairs rare among the values first).  An edit
-spoils at most two pairs, so two strings within d edits share one of their first
-2 d + 1 pairs; only strings that do are compared.
+edit distance.  No phrase meets every value.  Two strings within d edits become equal
+when up to d letters are left out of each, so strings of up to MOST_LETTERS letters
+meet on what remains: only strings that differ in a few letters do, also where
+all values look alike (numbered names).  Longer strings would remain in too many ways.
+They are cut into their pairs of neighbouring letters, put in one order (pairs rare
+among the values first): an edit spoils at most two pairs, so two strings within
+d edits share one of their first 2 d + 1 pairs; only strings that do are compared.
 """
 
 from __future__ import annotations
@@ -13,9 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_WORDS = 3
-# Edits allowed, by the least length of the value.
+# Edits allowed, by the least length of the value; two at most.
 ALLOWED = ((8, 2), (4, 1), (0, 0))
 PAIR = 2
+# Values of more letters are found by their pairs.
+MOST_LETTERS = 32
 
 
 def plain(text: Column) -> Column:
@@ -61,15 +66,44 @@ def prefixes(strings: DataFrame, frequency: DataFrame, edits: Column) -> DataFra
     return ranked.where(F.col("_at") <= PAIR * F.col("_edits") + 1).select("text", "pair")
 
 
+def remains(strings: DataFrame, edits: Column) -> DataFrame:
+    """(text, left_out, rest): what is left of every string without up to ``edits`` of its letters, as a hash."""
+    text, places = F.col("text"), F.sequence(F.lit(1), F.length("text"))
+    without = lambda s, at: F.concat(F.substring(s, F.lit(1), at - 1), F.substr(s, at + 1))
+    hashed = lambda s: F.xxhash64(s)
+    # The later letter goes first, so that the place of the earlier one still holds.
+    pairs = F.flatten(F.transform(places, lambda i: F.transform(F.filter(places, lambda j: j < i), lambda j: hashed(without(without(text, i), j)))))
+    ways = [F.array(hashed(text)), F.transform(places, lambda i: hashed(without(text, i))), pairs]
+    none = F.array().cast("array<bigint>")
+    listed = F.array(*(F.struct(F.lit(n).alias("left_out"), F.when(edits >= n, F.array_distinct(w)).otherwise(none).alias("rests")) for n, w in enumerate(ways)))
+    return strings.select("text", F.inline(listed)).select("text", "left_out", F.explode("rests").alias("rest"))
+
+
 def candidates(words: DataFrame, values: DataFrame) -> DataFrame:
-    """(phrase, text) of strings that share a rare enough pair and have fitting lengths."""
-    texts = values.select("text").distinct()
-    frequency = texts.select(F.explode(letter_pairs(F.col("text"))).alias("pair")).groupBy("pair").agg(F.count(F.lit(1)).alias("often"))
+    """(phrase, text) of strings that are near enough to be compared and have fitting lengths."""
+    texts, said = values.select("text").distinct(), words.select("phrase").distinct()
     most = max(d for _, d in ALLOWED)
-    left = prefixes(words.select(F.col("phrase").alias("text")).distinct(), frequency, F.lit(most)).toDF("phrase", "pair")
-    right = prefixes(texts, frequency, allowed(F.length("text")))
-    near = F.abs(F.length("phrase") - F.length("text")) <= allowed(F.length("text"))
-    return left.join(right, "pair").where(near).select("phrase", "text").distinct()
+    length = F.length("text")
+    near = F.abs(F.length("phrase") - length) <= allowed(length)
+
+    # Short values: both sides left out as many letters as the difference in length leaves them.
+    short = texts.where(length <= MOST_LETTERS)
+    fitting = short.select(F.explode(F.sequence(length - allowed(length), length + allowed(length))).alias("_length")).distinct()
+    asked = said.join(F.broadcast(fitting), F.length("phrase") == F.col("_length"), "left_semi").select(F.col("phrase").alias("text"))
+    left = remains(asked, allowed(length + most)).toDF("phrase", "_phrase_out", "rest")
+    right = remains(short, allowed(length))
+    # Where the shorter side could leave out more on both, the same strings meet again there.
+    limit = allowed(length)
+    full = F.greatest("left_out", "_phrase_out") == limit
+    fits = (length - F.length("phrase") == F.col("left_out") - F.col("_phrase_out")) & full
+    found = left.join(right, "rest").where(near & fits).select("phrase", "text")
+
+    long = texts.where(length > MOST_LETTERS)
+    frequency = long.select(F.explode(letter_pairs(F.col("text"))).alias("pair")).groupBy("pair").agg(F.count(F.lit(1)).alias("often"))
+    asked = said.where(F.length("phrase") > MOST_LETTERS - most).select(F.col("phrase").alias("text"))
+    left = prefixes(asked, frequency, F.lit(most)).toDF("phrase", "pair")
+    right = prefixes(long, frequency, allowed(length))
+    return found.unionByName(left.join(right, "pair").where(near).select("phrase", "text")).distinct()
 
 
 def match_values(questions: DataFrame, values: DataFrame, question_id: str = "question_id", question: str = "question") -> DataFrame:

@@ -74,3 +74,21 @@ def test_few_pairs_are_compared(spark):
 def test_nothing_to_match(spark):
     q, known = tables(spark, {1: "abc"}, ["abc"])
     assert V.match_values(q.limit(0), known).count() == 0 and V.match_values(q, known.limit(0)).count() == 0
+
+
+def test_numbered_values_do_not_all_meet(spark):
+    """Values that share most of their letters: by pairs of letters most of them were compared."""
+    values = [f"Supplier#{i:09d}" for i in range(3000)]
+    questions = {i: f"sell of Suplier#{i:09d} in" for i in range(0, 3000, 30)}
+    q, known = tables(spark, questions, values)
+    words = V.phrases(q, "question_id", "question")
+    compared = V.candidates(words, known.withColumn("text", V.plain(F.col("value")))).count()
+    assert compared < 0.05 * len(questions) * len(values)
+    got = {(r.question_id, r.value): r.distance for r in V.match_values(q, known).collect()}
+    assert all(got[i, values[i]] == 1 for i in questions)
+    assert len(got) > 10 * len(questions)
+
+
+def test_long_values_same_as_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(V, "MOST_LETTERS", 6)
+    test_same_as_all_pairs(spark)
