@@ -35,8 +35,14 @@ def allowed(length: Column) -> Column:
     return edits
 
 
+def dealt(df: DataFrame, by: str) -> DataFrame:
+    """Few bytes that become many rows: dealt to all tasks, which adaptive execution does not merge."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), by)
+
+
 def phrases(questions: DataFrame, question_id: str, question: str) -> DataFrame:
     """(question, phrase), each once."""
+    questions = dealt(questions, question_id)
     words = F.split(plain(F.col(question)), " ")
     cut = questions.where(plain(F.col(question)) != "").select(question_id, words.alias("_words"))
     runs = F.flatten(
@@ -76,7 +82,7 @@ def remains(strings: DataFrame, edits: Column) -> DataFrame:
     ways = [F.array(hashed(text)), F.transform(places, lambda i: hashed(without(text, i))), pairs]
     none = F.array().cast("array<bigint>")
     listed = F.array(*(F.struct(F.lit(n).alias("left_out"), F.when(edits >= n, F.array_distinct(w)).otherwise(none).alias("rests")) for n, w in enumerate(ways)))
-    return strings.select("text", F.inline(listed)).select("text", "left_out", F.explode("rests").alias("rest"))
+    return dealt(strings, "text").select("text", F.inline(listed)).select("text", "left_out", F.explode("rests").alias("rest"))
 
 
 def candidates(words: DataFrame, values: DataFrame) -> DataFrame:
