@@ -129,3 +129,13 @@ def test_a_large_feed_is_dealt_out_however_many_pieces_the_session_has(spark, tm
         assert cdc.current_state(feed, ["k"], pieces=wanted).rdd.getNumPartitions() == wanted
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", usual)
+
+
+def test_deduplicate_large_tables_without_sorting_input_pieces(spark):
+    rows = [("a", 2), ("a", 1), ("b", 1), (None, 9), (None, 3), (" ", 4), (" ", 2), ("", 5)]
+    df = spark.createDataFrame(rows, "k string, n int")
+    out = cdc.deduplicate(df, "k", ["n"], pieces=6)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, cdc.deduplicate(df, "k", ["n"]).collect()), key=str)
+    kept = cdc.deduplicate(df, "k", ["n"], keep_null_keys=True, pieces=6)
+    assert sorted(r.n for r in kept.collect()) == sorted(r.n for r in cdc.deduplicate(df, "k", ["n"], keep_null_keys=True).collect())
+    assert out.rdd.getNumPartitions() == 6
