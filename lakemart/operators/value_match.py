@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakemart.sources.tables import materialize
+
 MAX_WORDS = 3
 # Edits allowed, by the least length of the value; two at most.
 ALLOWED = ((8, 2), (4, 1), (0, 0))
@@ -40,6 +42,11 @@ def dealt(df: DataFrame, by: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), by)
 
 
+def unsent(df: DataFrame) -> DataFrame:
+    """Many rows made of few bytes: the planner, which knows the bytes only, would send them through the driver to all tasks."""
+    return df.hint("merge")
+
+
 def phrases(questions: DataFrame, question_id: str, question: str) -> DataFrame:
     """(question, phrase), each once."""
     questions = dealt(questions, question_id)
@@ -68,7 +75,7 @@ def prefixes(strings: DataFrame, frequency: DataFrame, edits: Column) -> DataFra
     """(text, pair): the first ``2 * edits + 1`` pairs of every string."""
     listed = strings.select("text", edits.alias("_edits"), F.explode(letter_pairs(F.col("text"))).alias("pair"))
     order = Window.partitionBy("text").orderBy(F.coalesce("often", F.lit(0)), "pair")
-    ranked = listed.join(frequency, "pair", "left").withColumn("_at", F.row_number().over(order))
+    ranked = unsent(listed).join(unsent(frequency), "pair", "left").withColumn("_at", F.row_number().over(order))
     return ranked.where(F.col("_at") <= PAIR * F.col("_edits") + 1).select("text", "pair")
 
 
@@ -102,14 +109,14 @@ def candidates(words: DataFrame, values: DataFrame) -> DataFrame:
     limit = allowed(length)
     full = F.greatest("left_out", "_phrase_out") == limit
     fits = (length - F.length("phrase") == F.col("left_out") - F.col("_phrase_out")) & full
-    found = left.join(right, "rest").where(near & fits).select("phrase", "text")
+    found = unsent(left).join(unsent(right), "rest").where(near & fits).select("phrase", "text")
 
     long = texts.where(length > MOST_LETTERS)
     frequency = long.select(F.explode(letter_pairs(F.col("text"))).alias("pair")).groupBy("pair").agg(F.count(F.lit(1)).alias("often"))
     asked = said.where(F.length("phrase") > MOST_LETTERS - most).select(F.col("phrase").alias("text"))
     left = prefixes(asked, frequency, F.lit(most)).toDF("phrase", "pair")
     right = prefixes(long, frequency, allowed(length))
-    return found.unionByName(left.join(right, "pair").where(near).select("phrase", "text")).distinct()
+    return found.unionByName(unsent(left).join(unsent(right), "pair").where(near).select("phrase", "text")).distinct()
 
 
 def match_values(questions: DataFrame, values: DataFrame, question_id: str = "question_id", question: str = "question") -> DataFrame:
@@ -119,11 +126,13 @@ def match_values(questions: DataFrame, values: DataFrame, question_id: str = "qu
     digit are never named, nor is any by an empty or NULL question.
     """
     known = values.select("table_name", "column_name", "value", plain(F.col("value")).alias("text")).where("text != ''")
+    # Read several times, and what it is made of is as large as the tables.
+    known = materialize(known, "known-values")
     words = phrases(questions, question_id, question)
     edits = allowed(F.length("text"))
     close = candidates(words, known).withColumn("distance", F.levenshtein("phrase", "text")).where(F.col("distance") <= edits)
     return (
-        words.join(close, "phrase").join(known, "text")
+        unsent(words).join(unsent(close), "phrase").join(unsent(known), "text")
         .groupBy(question_id, "table_name", "column_name", "value")
         .agg(F.min("distance").alias("distance"))
     )

@@ -92,3 +92,14 @@ def test_numbered_values_do_not_all_meet(spark):
 def test_long_values_same_as_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(V, "MOST_LETTERS", 6)
     test_same_as_all_pairs(spark)
+
+
+def test_many_rows_of_few_bytes_are_not_sent_through_the_driver(spark):
+    """Questions and values of a few bytes become many rows; only the table of lengths may go to all tasks."""
+    values = [f"Supplier#{i:09d}" for i in range(50)] + [f"a name of more than thirty letters {i:03d}" for i in range(50)]
+    q, known = tables(spark, {i: f"sell of {v}" for i, v in enumerate(values)}, values)
+    found = V.match_values(q, known)
+    assert len(found.collect()) >= len(values)
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    sent = [line for line in plan.splitlines() if "Broadcast" in line and "Join" in line]
+    assert "SortMergeJoin" in plan and all("_length" in line for line in sent)
