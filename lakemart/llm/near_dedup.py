@@ -4,6 +4,10 @@ Shingles of five lower-cased words weigh term frequency times inverse document
 frequency, log(N / df), scaled so that the rarest have 1 and rounded to steps of
 2^(1/4); the least is 1/8.  Document frequencies of all shingles come from a
 count-min sketch of fixed size: what lies below its noise counts as rare.
+Copies of one text count as one document, or a large group of copies would make
+its own shingles common and fall apart: a text of which COPIED or more is
+frequent belongs to the family of its least frequent-shingle hash, which few
+changes leave alone, and a family counts once.
 
 Equal texts share one node.  Each node gets SAMPLES weighted samples in BANDS
 bands; nodes with one equal band form a bucket.  The members of a bucket are
@@ -22,7 +26,7 @@ alone.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,6 +48,9 @@ SKETCH_ROWS, SKETCH_BITS = 2, 17
 AGREE = 18  # of SAMPLES: at a similarity of 0.8, fewer agree about once in 100,000 pairs
 MARGIN = 0.25  # how far a similarity may lie above its estimate from the samples
 OCTAVE = 4  # weights are powers of 2^(1 / OCTAVE)
+COPIED = 2 / 3  # texts of one length that have so much in common have a plain similarity of 1/2
+SMALL = 8  # families of fewer members than this part of the noise stay as they are
+UNIT = 1 << 20  # of a document, in whole numbers: sums come out the same in any order
 LEAST, MOST = -3 * OCTAVE, 12 * OCTAVE  # exponents
 NOISE = 4  # standard deviations of a count
 TABLE_BITS = 14
@@ -74,6 +81,12 @@ def cells(hashes: np.ndarray) -> np.ndarray:
     return np.stack([p + (row << SKETCH_BITS) for row, p in enumerate(place)])
 
 
+def noise_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What unrelated shingles put into a cell of each row, and how far that may vary."""
+    mean = counts.reshape(SKETCH_ROWS, -1).mean(axis=1, keepdims=True)
+    return mean, NOISE * np.sqrt(mean) + 1
+
+
 @dataclass(frozen=True)
 class Frequencies:
     """Weights that follow from a sketch of document frequencies."""
@@ -88,12 +101,15 @@ class Frequencies:
         the noise that is left no frequency can be told from another.
         """
         by_row = counts.reshape(SKETCH_ROWS, -1)
-        mean = by_row.mean(axis=1, keepdims=True)
-        noise = NOISE * np.sqrt(mean) + 1
+        mean, noise = noise_of(counts)
         seen, whole = np.maximum(by_row - mean, noise), np.maximum(documents, 2 * noise)
         rarity = np.clip(np.log(whole / seen) / np.log(whole / noise), 2.0 ** (LEAST / OCTAVE), 1)
         return cls(np.rint(np.log2(rarity) * OCTAVE).astype(np.int8).ravel())
 
+    def frequent(self, hashes: np.ndarray) -> np.ndarray:
+        """Which shingles weigh less than a rare one."""
+        return self.steps[cells(hashes)].max(axis=0) < 0
+
     def exponents(self, hashes: np.ndarray, times: np.ndarray) -> np.ndarray:
         """Weights as exponents: term frequency times inverse document frequency."""
         found = self.steps[cells(hashes)].max(axis=0).astype(np.int64)
@@ -103,22 +119,65 @@ class Frequencies:
 
 
 def frequencies(rows: DataFrame) -> Frequencies:
-    """Document frequencies over all rows, as a table of fixed size."""
+    """Document frequencies over all rows, as a table of fixed size; copies count once."""
+    counts, documents = _counted(rows.select("text"), lambda texts: np.ones(len(texts), dtype=np.int64))
+    known = Frequencies.of(counts, documents)
+    copies = stored(_families(rows, known), "near-families")
+    least = max(2, int(noise_of(counts)[1].min() / SMALL))
+    # A family listed takes up that much of the noise: their number grows as the square root of the documents.
+    large = copies.groupBy("family").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).orderBy("family").toPandas()
+    if large.empty:
+        return known
+    family, n = large.family.to_numpy(dtype=np.int64), large.n.to_numpy(dtype=np.int64)
+    shared = rows.sparkSession.sparkContext.broadcast((family, UNIT - np.maximum(UNIT // n, 1)))
+
+    def too_much(families: np.ndarray) -> np.ndarray:
+        listed, surplus = shared.value
+        place = np.minimum(np.searchsorted(listed, families), len(listed) - 1)
+        return np.where(listed[place] == families, surplus[place], 0)
+
+    less, fewer = _counted(copies, too_much, "family")
+    return Frequencies.of((counts * UNIT - less) / UNIT, (documents * UNIT - fewer) / UNIT)
+
+
+def _counted(rows: DataFrame, units: Callable, by: str = "text") -> tuple[np.ndarray, int]:
+    """Sums by cell and over all texts of a number for each text, which ``units`` gives from column ``by``."""
     last = SKETCH_ROWS << SKETCH_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(last + 1, dtype=np.int64)
-        for _, texts in slices(batches, "text"):
-            places = [cells(shingles(text)[0]).ravel() for text in texts]
-            total[:last] += np.bincount(np.concatenate(places), minlength=last)
-            total[last] += len(texts)
+        for batch, texts in slices(batches, "text"):
+            each = units(batch.column(by).to_numpy(zero_copy_only=False))
+            for n in np.unique(each[each > 0]):
+                places = [cells(shingles(texts[at])[0]).ravel() for at in np.flatnonzero(each == n)]
+                total[:last] += n * np.bincount(np.concatenate(places), minlength=last)
+            total[last] += each.sum()
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["cell", "n"])
 
-    found = rows.select("text").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    found = rows.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(last + 1, dtype=np.int64)
     counts[found.cell.to_numpy(dtype=np.int64)] = found.n.to_numpy(dtype=np.int64)
-    return Frequencies.of(counts[:last], int(counts[last]))
+    return counts[:last], int(counts[last])
+
+
+def _families(rows: DataFrame, known: Frequencies) -> DataFrame:
+    """(family, text) of the texts that consist mostly of frequent shingles."""
+    shared = rows.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in slices(batches, "text"):
+            family, chosen = [], []
+            for at, text in enumerate(texts):
+                hashes, _ = shingles(text)
+                frequent = hashes[shared.value.frequent(hashes)]
+                if len(frequent) and len(frequent) >= COPIED * len(hashes):
+                    family.append(mix(frequent).min())
+                    chosen.append(at)
+            texts = batch.column("text").take(pa.array(chosen, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(family, dtype=np.uint64).view(np.int64)), texts], names=["family", "text"])
+
+    return rows.select("text").mapInArrow(run, "family long, text string")
 
 
 def samples(hashes: np.ndarray, exponents: np.ndarray) -> np.ndarray:
@@ -213,10 +272,10 @@ def signatures(rows: DataFrame, known: Frequencies) -> DataFrame:
 
 
 def compared(pairs: DataFrame, texts: DataFrame, known: Frequencies) -> DataFrame:
-    """(a, b, similarity) of pairs of nodes.
+    """(a, b, similarity, bound) of pairs of nodes.
 
     Pairs whose samples rule a similarity of SIMILAR out are not compared word by
-    word; they get an upper bound that lies below it.
+    word; they get an upper ``bound`` that lies below it.
     """
     shared = pairs.sparkSession.sparkContext.broadcast(known)
     with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"), F.col("sketch").alias("sketch_a")), "a")
@@ -233,10 +292,11 @@ def compared(pairs: DataFrame, texts: DataFrame, known: Frequencies) -> DataFram
                     leader = {node: weighted(batch.column("text_a")[at].as_py(), shared.value)}  # rows of one leader often follow each other
                 similar[at] = weighted_jaccard(leader[node], weighted(texts_b[at], shared.value))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(similar, pa.float64())], names=["a", "b", "similarity"]
+                [batch.column("a"), batch.column("b"), pa.array(similar, pa.float64()), pa.array(alike * SAMPLES < AGREE)],
+                names=["a", "b", "similarity", "bound"],
             )
 
-    return with_both.mapInArrow(run, "a binary, b binary, similarity double")
+    return with_both.mapInArrow(run, "a binary, b binary, similarity double, bound boolean")
 
 
 def links(nodes: DataFrame, rows: DataFrame, known: Frequencies) -> DataFrame:
@@ -251,7 +311,7 @@ def links(nodes: DataFrame, rows: DataFrame, known: Frequencies) -> DataFrame:
     followers = members.where(F.col("node") != F.col("leader"))
     pairs = followers.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     results = stored(compared(pairs, texts, known), "near-compared")
-    told = followers.join(results.select(F.col("a").alias("leader"), F.col("b").alias("node"), "similarity"), ["leader", "node"])
+    told = followers.join(results.select(F.col("a").alias("leader"), F.col("b").alias("node"), "similarity", "bound"), ["leader", "node"])
     linked = results.where(F.col("similarity") >= SIMILAR).select("a", "b")
     return linked.unionByName(_rest(told, components(linked), texts, known))
 
@@ -267,15 +327,15 @@ def _rest(told: DataFrame, label: DataFrame, texts: DataFrame, known: Frequencie
     sided = (
         told.join(label.select("node", F.col("label").alias("own")), "node", "left")
         .join(label.select(F.col("node").alias("leader"), F.col("label").alias("theirs")), "leader", "left")
-        .select("bucket", "node", "similarity", own.alias("label"), (own != F.coalesce("theirs", "leader")).alias("other"))
+        .select("bucket", "node", "similarity", "bound", own.alias("label"), (own != F.coalesce("theirs", "leader")).alias("other"))
     )
     sided = stored(sided, "near-sided")
     sizes = sided.groupBy("bucket").agg(
         F.count_if("other").alias("others"), F.count_if(~F.col("other")).alias("side"), F.max(F.when(F.col("other"), F.col("similarity"))).alias("most")
     )
     sizes = sizes.where((F.col("others") > 1) | ((F.col("others") > 0) & (F.col("side") > 0)))
-    # A member that near to the leader cannot be linked to one that failed by more.
-    near = F.col("similarity") <= F.col("most") + (1 - SIMILAR)
+    # A member that near to the leader cannot be linked to one that failed by more; of a bound nobody knows how near.
+    near = F.col("bound") | (F.col("similarity") <= F.col("most") + (1 - SIMILAR))
     blocks = sided.join(sizes, "bucket").where(F.col("other") | near)
     many = F.ceil(F.col("others") / BLOCK).cast("int"), F.ceil(F.col("side") / BLOCK).cast("int")
     blocks = blocks.withColumns({"o": many[0], "c": many[1]})

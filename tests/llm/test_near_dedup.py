@@ -94,6 +94,47 @@ def test_weights_spread(spark):
     assert np.exp2(twice / near_dedup.OCTAVE)[0] == 2
 
 
+def test_large_group_of_copies_stays_together(spark):
+    """Copies do not make their own words common; a passage of unrelated texts does."""
+    draw = random.Random(6)
+    passage, source = [f"p{i}" for i in range(60)], [f"s{i}" for i in range(300)]
+    docs = {i: " ".join([*passage, *(f"d{i}w{n}" for n in range(240))]) for i in range(300)}
+    docs |= {i: " ".join(f"d{i}w{n}" for n in range(300)) for i in range(300, 600)}
+    for i in range(1000, 1300):  # near copies and exact ones
+        words = source.copy()
+        if i % 3:
+            for at in draw.sample(range(300), 2):
+                words[at] = f"c{i}n{at}"
+        docs[i] = " ".join(words)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(4)
+    known = near_dedup.frequencies(near_dedup.nodes_of(df, "doc_id", "text"))
+    weight = {name: near_dedup.weighted(" ".join(words), known)[1].mean() for name, words in (("passage", passage), ("source", source))}
+    assert weight["passage"] < 0.5 and weight["source"] > 0.9
+    found = {r.doc_id: r.class_id for r in near_dedup.near_classes(df).collect()}
+    assert {found[i] for i in range(1000, 1300)} == {1000}
+    assert all(found[i] == i for i in range(600))
+
+
+def test_bound_does_not_rule_a_member_out(spark):
+    """A member's similarity to the leader is only bounded from above, so it may be as far off as the one it is linked to."""
+    words = [f"w{i}" for i in range(200)]
+    texts = {b"l": " ".join(f"l{i}" for i in range(200)), b"o": " ".join(words), b"s": " ".join([*words[:-1], "end"])}
+    known = near_dedup.Frequencies.of(np.zeros(near_dedup.SKETCH_ROWS << near_dedup.SKETCH_BITS), 100)
+    rows = []
+    for node, text in texts.items():
+        hashes, times = near_dedup.shingles(text)
+        numbers = near_dedup.named([near_dedup.samples(hashes, known.exponents(hashes, times))])
+        rows.append((bytearray(node), near_dedup.bands(numbers)[0].tolist(), bytearray(numbers.astype(np.uint16)[0].tobytes()), text))
+    near_dedup.ship(spark)
+    frame = spark.createDataFrame(rows, "node binary, buckets array<long>, sketch binary, text string")
+    both = rows[1][1][int(np.argmax(np.array(rows[1][1]) == np.array(rows[2][1])))]
+    told = [(bytearray(b"l"), bytearray(b"o"), both, 0.3, False), (bytearray(b"l"), bytearray(b"s"), both, 0.7, True)]
+    told = spark.createDataFrame(told, "leader binary, node binary, bucket long, similarity double, bound boolean")
+    label = spark.createDataFrame([(bytearray(b"l"), bytearray(b"l")), (bytearray(b"s"), bytearray(b"l"))], "node binary, label binary")
+    found = near_dedup._rest(told, label, frame, known).collect()
+    assert [{bytes(r.a), bytes(r.b)} for r in found] == [{b"o", b"s"}]
+
+
 def test_samples_agree_as_weighted_jaccard_says():
     draw = np.random.default_rng(3)
     known = near_dedup.Frequencies.of(np.zeros(near_dedup.SKETCH_ROWS << near_dedup.SKETCH_BITS), 100)
